@@ -56,11 +56,13 @@ def split_records(records: DataFrame, key: str = "id") -> tuple[DataFrame, DataF
 def quarantine(bad: DataFrame, now, batch: str | Column = "") -> DataFrame:
     """Quarantine rows ``(raw_id, source_name, raw_payload, reason, extracted_at)``.
 
-    ``raw_id`` is a deterministic hash of (source, batch, page, pos), so replaying a
-    batch appends nothing new after an anti-join on ``raw_id``."""
+    ``raw_id`` = md5 of (source, batch, page, pos), so replaying a batch appends nothing
+    new after an anti-join on ``raw_id`` (see ``append_new``)."""
+    from linkmart.functions.scalars import surrogate_key
+
     b = batch if isinstance(batch, Column) else F.lit(batch)
     return bad.select(
-        F.xxhash64(F.col("source_name"), b, F.col("page"), F.col("pos")).alias("raw_id"),
+        surrogate_key(F.col("source_name"), b, F.col("page"), F.col("pos")).alias("raw_id"),
         "source_name",
         F.col("payload").alias("raw_payload"),
         "reason",

@@ -91,3 +91,34 @@ def upsert_replay(changes: DataFrame, key: str, batch_col: str, payload: str = "
         .agg(last.alias("_r"))
         .select(key, F.col("_r")[payload].alias(payload), F.col("_r._bt").alias("extracted_at"))
     )
+
+
+def upsert_sequence(current: DataFrame, incoming: DataFrame, order_cols: list[str],
+                    now_col: str, key: str = "id", payload: str = "payload",
+                    ts: str = "extracted_at") -> DataFrame:
+    """Apply several pages of one micro-batch in (page, pos) order, exactly as one
+    ``upsert_changed`` per record would: the current table is the first step of each
+    key's sequence, every later row counts as a change only if its payload differs from
+    the row before it. ``now_col`` on ``incoming`` is each row's load time.
+
+    One shuffle by key; a key's window holds its current row plus its rows in this
+    batch (bounded by the batch's pages)."""
+    rank = F.struct(*[F.col(c) for c in order_cols])
+    first = current.select(
+        key, payload, F.col(ts).alias("_now"),
+        F.struct(*[F.lit(None).cast(incoming.schema[c].dataType).alias(c)
+                   for c in order_cols]).alias("_ord"),
+        F.lit(0).alias("_step"))
+    rest = incoming.select(key, payload, F.col(now_col).cast("timestamp").alias("_now"),
+                           rank.alias("_ord"), F.lit(1).alias("_step"))
+    seq = first.unionByName(rest)
+    w = Window.partitionBy(key).orderBy("_step", "_ord")
+    marked = seq.select(
+        key, payload, "_now", "_step", "_ord",
+        (F.lag("_step").over(w).isNull() | ~F.lag(payload).over(w).eqNullSafe(F.col(payload)))
+        .alias("_chg"))
+    last = F.max_by(F.struct(F.col(payload), F.col("_now")), F.struct("_step", "_ord"))
+    return (
+        marked.where("_chg").groupBy(key).agg(last.alias("_r"))
+        .select(key, F.col("_r")[payload].alias(payload), F.col("_r._now").alias(ts))
+    )

@@ -17,8 +17,25 @@ from linkmart.operators.marts import dimension, fact
 from linkmart.operators.snapshots import scd2_merge, snapshot_source
 from linkmart.operators.staging import stage
 from linkmart.operators.upsert import upsert_changed
+from linkmart.operators.checks import (
+    Check, check_count, check_not_null, check_relationships, check_report, check_unique,
+    spec_checks,
+)
+from linkmart.operators.deadletters import (
+    dead_letter_fields, dead_letter_links, dead_letters, dead_letters_quarantine,
+)
+from linkmart.operators.records import label_records, load_metrics, quarantine
+from linkmart.operators.snapshots import scd2_replay
+from linkmart.operators.state import merge_state, resume_point, state_after_run
+from linkmart.operators.upsert import upsert_replay
 from linkmart.plans.catalog import TESTBED
+from linkmart.session import checkpoint_base, scratch_dir
 from linkmart.sources import testbed as tb
+from linkmart.sources.pages import (
+    explode_records, land_pages, malformed_pages, page_report, read_pages,
+)
+from linkmart.sources.tables import VersionedTable
+from linkmart.streaming.ingest import ingest_stream
 
 ORDERS = TESTBED.entity("orders")
 CUSTOMERS = TESTBED.entity("customers")
@@ -188,6 +205,186 @@ def upsert_two_batches(spark, sf_dir):
                       "extracted_at")
 
 
+# ---- pages, record split, quarantine, load metrics, run state ------------------------
+
+def land_customer_pages(spark, sf_dir) -> str:
+    """Land customers as 50-record API pages (some records and pages broken) into a
+    fresh folder under the shared checkpoint folder; returns the folder."""
+    out = scratch_dir(spark, "customer-pages")
+    land_pages(tb.customer_page_records(spark, sf_dir), out, corrupt=tb.corrupt_page())
+    return out
+
+
+def _labelled_pages(spark, sf_dir):
+    pages = read_pages(spark, land_customer_pages(spark, sf_dir))
+    return pages, label_records(explode_records(pages))
+
+
+def read_pages_rows(spark, sf_dir):
+    _, labelled = _labelled_pages(spark, sf_dir)
+    return labelled.select("source_name", "page", "pos", "id", "payload", "reason")
+
+
+def malformed_pages_q(spark, sf_dir):
+    pages, _ = _labelled_pages(spark, sf_dir)
+    return malformed_pages(pages)
+
+
+def split_records_counts(spark, sf_dir):
+    _, labelled = _labelled_pages(spark, sf_dir)
+    return load_metrics(labelled)
+
+
+def _quarantined(spark, sf_dir):
+    _, labelled = _labelled_pages(spark, sf_dir)
+    return quarantine(labelled.where(F.col("reason").isNotNull()), tb.T1, batch="b1")
+
+
+def quarantine_rows(spark, sf_dir):
+    return _quarantined(spark, sf_dir)
+
+
+def _run_state(spark, sf_dir):
+    pages, labelled = _labelled_pages(spark, sf_dir)
+    return state_after_run(load_metrics(labelled), tb.T1, tb.T2, malformed_pages(pages))
+
+
+def state_after_run_q(spark, sf_dir):
+    return _run_state(spark, sf_dir)
+
+
+def merge_state_q(spark, sf_dir):
+    """A new run starts over the stored state: status, start time, end time and error
+    are supplied (NULLs overwrite), page and count are kept."""
+    prior = _run_state(spark, sf_dir)
+    updates = prior.select(
+        "source_name", F.lit("in_progress").alias("status"),
+        F.lit(tb.T2).cast("timestamp").alias("run_started_at"),
+        F.lit(None).cast("timestamp").alias("run_ended_at"),
+        F.lit(None).cast("string").alias("error_message"))
+    return merge_state(prior, updates)
+
+
+def resume_point_q(spark, sf_dir):
+    return resume_point(_run_state(spark, sf_dir))
+
+
+def page_report_q(spark, sf_dir):
+    pages, _ = _labelled_pages(spark, sf_dir)
+    return page_report(pages)
+
+
+# ---- change log: upsert replay, SCD2 replay and merge, stream -------------------------
+
+def upsert_replay_events(spark, sf_dir):
+    ch = tb.user_changes(spark, sf_dir)
+    raw = upsert_replay(ch.select("id", "day", "payload"), "id", "day")
+    v = as_variant(F.col("payload"))
+    return raw.select(F.col("id").alias("user_id"), json_text(v, "event_type").alias("event_type"),
+                      json_value(v, "props").alias("props"), "extracted_at")
+
+
+def scd2_replay_events(spark, sf_dir):
+    ch = tb.user_changes(spark, sf_dir).select("id", "day", "name", "event_type", "props")
+    return scd2_replay(ch, "id", "day", ["name", "event_type", "props"])
+
+
+def scd2_merge_events(spark, sf_dir, checkpoint_every: int = 5):
+    """One ``scd2_merge`` per daily batch, in day order (the daily job, replayed).
+    The batch list is the distinct days (one row per batch); lineage is cut with a
+    reliable checkpoint every few merges."""
+    checkpoint_base(spark)
+    ch = tb.user_changes(spark, sf_dir).select("id", "day", "name", "event_type", "props")
+    days = [r["day"] for r in ch.select("day").distinct().orderBy("day").collect()]
+    snap = None
+    for i, day in enumerate(days, 1):
+        batch = ch.where(F.col("day") == F.lit(day)).drop("day")
+        snap = scd2_merge(snap, batch, F.lit(day).cast("timestamp"), "id",
+                          ["name", "event_type", "props"])
+        if i % checkpoint_every == 0:
+            snap = snap.checkpoint()
+    return snap
+
+
+def stream_upsert(spark, sf_dir):
+    """Users' daily changes landed as pages, ingested by the file stream (several pages
+    per micro-batch, applied in page order), then read back from the raw table."""
+    pages_dir = scratch_dir(spark, "user-pages")
+    out = scratch_dir(spark, "user-stream")
+    land_pages(tb.user_page_records(spark, sf_dir), pages_dir)
+    ingest_stream(spark, pages_dir, out, f"{out}/_checkpoint", now=tb.user_page_time(),
+                  files_per_trigger=64)
+    raw = VersionedTable(spark, f"{out}/raw/users").current()
+    v = as_variant(F.col("payload"))
+    return raw.select(F.col("id").alias("user_id"), json_text(v, "event_type").alias("event_type"),
+                      json_value(v, "props").alias("props"), "extracted_at")
+
+
+# ---- dead letters and checks ----------------------------------------------------------
+
+def dead_letter_fields_orders(spark, sf_dir):
+    _, raw = raw_two_batches(spark, sf_dir, "orders")
+    return dead_letter_fields(raw, "orders")
+
+
+def dead_letter_links_orders(spark, sf_dir):
+    _, raw_o = raw_two_batches(spark, sf_dir, "orders")
+    _, raw_c = raw_two_batches(spark, sf_dir, "customers")
+    return dead_letter_links(raw_o, "orders", "customers", raw_c.select("id"))
+
+
+def dead_letters_all(spark, sf_dir):
+    _, raw_o = raw_two_batches(spark, sf_dir, "orders")
+    _, raw_c = raw_two_batches(spark, sf_dir, "customers")
+    return dead_letters({"orders": raw_o, "customers": raw_c}, [ORDERS, CUSTOMERS],
+                        _quarantined(spark, sf_dir))
+
+
+def check_not_null_q(spark, sf_dir):
+    return check_not_null(stage_orders(spark, sf_dir), "order_name").select("order_id", "order_name")
+
+
+def check_unique_q(spark, sf_dir):
+    return check_unique(tb.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def check_relationships_q(spark, sf_dir):
+    dim_c = dim_customers_all(spark, sf_dir)
+    return check_relationships(fact_current(spark, sf_dir), "customer_id", dim_c, "customer_id")
+
+
+def check_relationships_labels(spark, sf_dir):
+    return check_relationships(tb.table(spark, sf_dir, "labels"), "doc_id",
+                               tb.table(spark, sf_dir, "documents"), "doc_id")
+
+
+def check_count_q(spark, sf_dir):
+    dl = dead_letters_quarantine(_quarantined(spark, sf_dir))
+    return check_count(dl, "error_type in ('missing_id', 'not_a_dict')", 0)
+
+
+def check_report_q(spark, sf_dir):
+    raw_o, snap_o = snapshot_two_batches(spark, sf_dir, "orders")
+    _, snap_c = snapshot_two_batches(spark, sf_dir, "customers")
+    stg = stage(raw_o, ORDERS)
+    d_o, d_c = dimension(snap_o, ORDERS), dimension(snap_c, CUSTOMERS)
+    links = unnest_spec(stg, ORDERS, "customers")
+    fct = fact(links, d_o, ORDERS, d_c, CUSTOMERS, ORDERS.link("customers"), "current")
+    tables = {
+        "stg_orders": stg, "dim_orders": d_o, "dim_orders__current": d_o.where("is_current"),
+        "dim_customers": d_c, "fct_order_customers": fct,
+        "dead_letters": dead_letters_quarantine(_quarantined(spark, sf_dir)),
+    }
+    checks = spec_checks(ORDERS, "stg_orders", "dim_orders") + [
+        Check("fct_order_customers", "not_null", "order_id"),
+        Check("fct_order_customers", "relationships", "order_id", "dim_orders", "order_id"),
+        Check("fct_order_customers", "relationships", "customer_id", "dim_customers",
+              "customer_id"),
+        Check("dead_letters", "count", predicate="error_type in ('missing_id', 'not_a_dict')"),
+    ]
+    return check_report(checks, tables)
+
+
 QUERIES = {
     "stage_orders": stage_orders,
     "stage_customers": stage_customers,
@@ -206,4 +403,25 @@ QUERIES = {
     "fact_unmatched": fact_unmatched,
     "fact_part_supplier": fact_part_supplier,
     "upsert_two_batches": upsert_two_batches,
+    "read_pages_rows": read_pages_rows,
+    "malformed_pages": malformed_pages_q,
+    "split_records_counts": split_records_counts,
+    "quarantine_rows": quarantine_rows,
+    "state_after_run": state_after_run_q,
+    "merge_state": merge_state_q,
+    "resume_point": resume_point_q,
+    "page_report": page_report_q,
+    "upsert_replay_events": upsert_replay_events,
+    "scd2_replay_events": scd2_replay_events,
+    "scd2_merge_events": scd2_merge_events,
+    "stream_upsert": stream_upsert,
+    "dead_letter_fields": dead_letter_fields_orders,
+    "dead_letter_links": dead_letter_links_orders,
+    "dead_letters": dead_letters_all,
+    "check_not_null": check_not_null_q,
+    "check_unique": check_unique_q,
+    "check_relationships": check_relationships_q,
+    "check_relationships_labels": check_relationships_labels,
+    "check_count": check_count_q,
+    "check_report": check_report_q,
 }

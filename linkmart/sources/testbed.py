@@ -173,3 +173,25 @@ def customer_page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def corrupt_page() -> Column:
     """Pages landed truncated (malformed JSON): page % 9 = 4."""
     return (F.col("page") % 9) == 4
+
+
+# Page numbers of the users change log: day (days since epoch) * DAY_PAGES + user_id div 50,
+# so page order is day order and each page holds at most PAGE_SIZE records.
+DAY_PAGES = 10000
+
+
+def user_page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ch = user_changes(spark, sf_dir)
+    uid = F.col("id").cast("long")
+    return ch.select(
+        F.lit("users").alias("source"),
+        (F.unix_date(F.to_date("day")) * DAY_PAGES + (uid / PAGE_SIZE).cast("long")).cast("long")
+        .alias("page"),
+        (uid % PAGE_SIZE).cast("int").alias("pos"),
+        F.col("payload").alias("json"),
+    )
+
+
+def user_page_time() -> Column:
+    """Load time of a users page: the start of its day."""
+    return F.timestamp_seconds((F.col("page") / DAY_PAGES).cast("long") * 86400)
