@@ -136,3 +136,237 @@ SELECT {VK} AS order_id, {ORDER_STATUS2} AS status, TRUE AS canonical,
        CASE WHEN {ORDER_CHANGED} THEN {TS2} ELSE {TS1} END AS extracted_at
 FROM orders""",
 }
+
+# ---- pages -------------------------------------------------------------------------------
+
+CK = "c_custkey"
+PAGE = f"CAST({CK} // 50 AS INTEGER)"
+POS = f"CAST({CK} % 50 AS INTEGER)"
+CORRUPT = f"({CK} // 50) % 9 = 4"
+C_BAD = f"({CK} % 97 = 0 OR {CK} % 89 = 0 OR {CK} % 83 = 0)"
+C_REASON = (f"CASE WHEN {CK} % 97 = 0 THEN 'not_a_dict' "
+            f"WHEN {CK} % 89 = 0 OR {CK} % 83 = 0 THEN 'missing_id' END")
+C_PAYLOAD = (f"CASE WHEN {CK} % 97 = 0 THEN '\"broken-' || CAST({CK} AS VARCHAR) || '\"' "
+             f"WHEN {CK} % 89 = 0 THEN '{{\"name\":\"' || c_name || '\"}}' "
+             f"WHEN {CK} % 83 = 0 THEN '{{\"id\":0,\"name\":\"' || c_name || '\"}}' "
+             f"ELSE '{{\"id\":\"' || CAST({CK} AS VARCHAR) || '\",\"name\":\"' || c_name "
+             f"|| '\",\"segment\":\"' || c_mktsegment || '\"}}' END")
+PAGE_ROWS = f"""
+pr AS (
+  SELECT 'customers' AS source_name, {PAGE} AS page, {POS} AS pos,
+         CASE WHEN {C_BAD} THEN NULL ELSE CAST({CK} AS VARCHAR) END AS id,
+         {C_PAYLOAD} AS payload, {C_REASON} AS reason
+  FROM customer WHERE NOT ({CORRUPT})
+)"""
+METRICS = f"""
+{PAGE_ROWS},
+m AS (
+  SELECT source_name, page,
+         CAST(count(*) FILTER (WHERE reason IS NULL) AS BIGINT) AS loaded,
+         CAST(count(*) FILTER (WHERE reason IS NOT NULL) AS BIGINT) AS quarantined,
+         CAST(count(*) AS BIGINT) AS records
+  FROM pr GROUP BY source_name, page
+)"""
+RUN_STATE = f"""
+{METRICS},
+allp AS (SELECT DISTINCT {PAGE} AS page FROM customer),
+stops AS (
+  SELECT (SELECT min(page) FROM m WHERE records < 50) AS s,
+         (SELECT min(page) FROM allp WHERE page % 9 = 4) AS b
+),
+rs AS (
+  SELECT 'customers' AS source_name,
+         CASE WHEN b IS NOT NULL AND (s IS NULL OR b < s) THEN 'failed' ELSE 'completed' END AS status,
+         CAST((SELECT max(page) FROM m WHERE (s IS NULL OR page <= s) AND (b IS NULL OR page < b))
+              AS INTEGER) AS last_completed_page,
+         {TS1} AS run_started_at, {TS2} AS run_ended_at,
+         CASE WHEN b IS NOT NULL AND (s IS NULL OR b < s) THEN 'malformed page ' || CAST(b AS VARCHAR)
+         END AS error_message,
+         CAST(coalesce((SELECT sum(loaded) FROM m WHERE (s IS NULL OR page <= s)
+                         AND (b IS NULL OR page < b)), 0) AS INTEGER) AS records_loaded
+  FROM stops
+)"""
+
+# ---- users change log ----------------------------------------------------------------------
+
+USER_DAYS = """
+ud AS (
+  SELECT CAST(user_id AS VARCHAR) AS id, day, 'user-' || CAST(user_id AS VARCHAR) AS name,
+         event_type, '{"k":' || json_extract_string(props, '$.k') || '}' AS props
+  FROM (SELECT user_id, date_trunc('day', ts) AS day, event_type, props,
+               row_number() OVER (PARTITION BY user_id, date_trunc('day', ts)
+                                  ORDER BY ts DESC, event_id DESC) AS rn
+        FROM events) t
+  WHERE rn = 1
+),
+uc AS (
+  SELECT * FROM (
+    SELECT *, lag(event_type) OVER w AS pe, lag(props) OVER w AS pp, lag(day) OVER w AS pd
+    FROM ud WINDOW w AS (PARTITION BY id ORDER BY day)) t
+  WHERE pd IS NULL OR pe IS DISTINCT FROM event_type OR pp IS DISTINCT FROM props
+)"""
+USER_FINAL = f"""
+WITH {USER_DAYS}
+SELECT id AS user_id, event_type, props, day AS extracted_at
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY day DESC) AS r FROM uc) t
+WHERE r = 1"""
+USER_VERSIONS = f"""
+WITH {USER_DAYS}
+SELECT id, name, event_type, props, md5(id || '|' || CAST(day AS VARCHAR)) AS scd_id,
+       day AS updated_at, day AS valid_from,
+       lead(day) OVER (PARTITION BY id ORDER BY day) AS valid_to
+FROM uc"""
+
+# ---- orders payload text (canonical JSON: sorted keys, no spaces) --------------------------
+
+_U = f"{CUST_URL} || CAST(o_custkey AS VARCHAR)"
+_CUSTOMERS_JSON = (
+    f"CASE WHEN {K} % 29 = 0 THEN '\"customers\":null,' WHEN {K} % 31 = 0 THEN '' "
+    f"WHEN {K} % 37 = 0 THEN '\"customers\":[],' "
+    f"ELSE '\"customers\":[\"' || {_U} || '\"' "
+    f"|| CASE WHEN {K} % 5 = 0 THEN ',\"' || {_U} || '\"' ELSE '' END "
+    f"|| CASE WHEN {K} % 11 = 0 THEN ',\"' || {CUST_URL} || 'x' || {VK} || '\"' ELSE '' END "
+    f"|| CASE WHEN {K} % 13 = 0 THEN ',\"' || {_U} || '/\"' ELSE '' END || '],' END")
+_NAME_JSON = (f"CASE WHEN {K} % 17 = 0 THEN '' WHEN {K} % 19 = 0 THEN '\"name\":\"   \",' "
+              f"WHEN {K} % 23 = 0 THEN '\"name\":null,' "
+              f"ELSE '\"name\":\" Order ' || {VK} || ' \",' END")
+ORDER_PAYLOAD = (f"'{{' || {_CUSTOMERS_JSON} || '\"id\":\"' || {VK} || '\",' || {_NAME_JSON} "
+                 f"|| '\"order_date\":\"' || {ORDER_DATE_TEXT} || '\",\"priority\":\"' "
+                 f"|| o_orderpriority || '\",\"status\":\"' || {ORDER_STATUS2} || '\"}}'")
+ORDER_EXTRACTED = f"CASE WHEN {ORDER_CHANGED} THEN {TS2} ELSE {TS1} END"
+DL_FIELDS = f"""
+SELECT 'orders' AS source_name, {VK} AS natural_key, {ORDER_PAYLOAD} AS raw_payload,
+       {ORDER_EXTRACTED} AS extracted_at,
+       CASE WHEN ({ORDER_NAME}) IS NULL THEN 'missing_name' ELSE 'empty_name' END AS error_type
+FROM orders WHERE ({ORDER_NAME}) IS NULL OR trim({ORDER_NAME}) = ''"""
+DL_LINKS = f"""
+SELECT 'orders' AS source_name, {VK} AS natural_key, {ORDER_PAYLOAD} AS raw_payload,
+       {ORDER_EXTRACTED} AS extracted_at, 'invalid_customers_link' AS error_type
+FROM orders
+WHERE NOT {NO_ARRAY}
+  AND ({K} % 11 = 0 OR {K} % 13 = 0
+       OR NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey))
+UNION ALL
+SELECT 'orders', {VK}, {ORDER_PAYLOAD}, {ORDER_EXTRACTED}, 'invalid_customers_type'
+FROM orders WHERE {K} % 29 = 0"""
+DL_QUARANTINE = f"""
+WITH {PAGE_ROWS}
+SELECT source_name, CAST(NULL AS VARCHAR) AS natural_key, payload AS raw_payload,
+       {TS1} AS extracted_at, reason AS error_type
+FROM pr WHERE reason IS NOT NULL"""
+
+ORACLE_SQL.update({
+    "read_pages_rows": f"WITH {PAGE_ROWS} SELECT * FROM pr",
+    "malformed_pages": f"""
+SELECT DISTINCT 'customers' AS source_name, {PAGE} AS page FROM customer WHERE {CORRUPT}""",
+    "split_records_counts": f"""
+WITH {METRICS}
+SELECT *, CAST(sum(loaded) OVER (PARTITION BY source_name ORDER BY page) AS BIGINT) AS loaded_total
+FROM m""",
+    "quarantine_rows": f"""
+WITH {PAGE_ROWS}
+SELECT md5(source_name || '|b1|' || CAST(page AS VARCHAR) || '|' || CAST(pos AS VARCHAR)) AS raw_id,
+       source_name, payload AS raw_payload, reason, {TS1} AS extracted_at
+FROM pr WHERE reason IS NOT NULL""",
+    "state_after_run": f"WITH {RUN_STATE} SELECT * FROM rs",
+    "merge_state": f"""
+WITH {RUN_STATE}
+SELECT source_name, 'in_progress' AS status, last_completed_page, {TS2} AS run_started_at,
+       CAST(NULL AS TIMESTAMP) AS run_ended_at, CAST(NULL AS VARCHAR) AS error_message,
+       records_loaded
+FROM rs""",
+    "resume_point": f"""
+WITH {RUN_STATE}
+SELECT source_name,
+       CAST(CASE WHEN status IN ('in_progress', 'failed') THEN coalesce(last_completed_page, -1) + 1
+            ELSE 0 END AS INTEGER) AS start_page,
+       CAST(CASE WHEN status IN ('in_progress', 'failed') THEN records_loaded ELSE 0 END
+            AS INTEGER) AS records_loaded
+FROM rs""",
+    "upsert_replay_events": USER_FINAL,
+    "stream_upsert": USER_FINAL,
+    "scd2_replay_events": USER_VERSIONS,
+    "scd2_merge_events": USER_VERSIONS,
+    "dead_letter_fields": DL_FIELDS,
+    "dead_letter_links": DL_LINKS,
+    "dead_letters": f"{DL_FIELDS} UNION ALL {DL_LINKS} UNION ALL SELECT * FROM ({DL_QUARANTINE}) q",
+    "check_not_null": f"""
+SELECT {VK} AS order_id, CAST(NULL AS VARCHAR) AS order_name
+FROM orders WHERE ({ORDER_NAME}) IS NULL""",
+    "check_unique": """
+SELECT l_orderkey, l_linenumber, count(*) AS n_records
+FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "check_relationships": f"""
+SELECT * FROM ({_fact(True)}) f
+WHERE customer_id IS NOT NULL
+  AND customer_id NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer)""",
+    "check_relationships_labels": """
+SELECT l.* FROM labels l
+WHERE l.doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id)""",
+    "check_count": f"""
+WITH q AS ({DL_QUARANTINE})
+SELECT count(*) AS bad_count FROM q WHERE error_type IN ('missing_id', 'not_a_dict')
+HAVING count(*) > 0""",
+})
+
+
+def _check_report() -> str:
+    fact_cur = f"({_fact(True)})"
+    rows = [
+        ("not_null__stg_orders__order_id", "stg_orders", "not_null",
+         f"SELECT count(*) FROM orders WHERE {K} IS NULL"),
+        ("unique__stg_orders__order_id", "stg_orders", "unique",
+         f"SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM orders WHERE {K} IS NOT NULL "
+         f"GROUP BY {K} HAVING count(*) > 1) t"),
+        ("not_null__stg_orders__order_name", "stg_orders", "not_null",
+         f"SELECT count(*) FROM orders WHERE ({ORDER_NAME}) IS NULL"),
+        ("not_null__dim_orders__order_sk", "dim_orders", "not_null",
+         "SELECT count(*) FROM dim_o WHERE order_sk IS NULL"),
+        ("unique__dim_orders__order_sk", "dim_orders", "unique",
+         "SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM dim_o GROUP BY order_sk "
+         "HAVING count(*) > 1) t"),
+        ("not_null__dim_orders__order_id", "dim_orders", "not_null",
+         "SELECT count(*) FROM dim_o WHERE order_id IS NULL"),
+        ("unique__dim_orders__current__order_id", "dim_orders__current", "unique",
+         "SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM dim_o WHERE is_current "
+         "GROUP BY order_id HAVING count(*) > 1) t"),
+        ("not_null__dim_orders__order_name", "dim_orders", "not_null",
+         "SELECT count(*) FROM dim_o WHERE order_name IS NULL"),
+        ("not_null__fct_order_customers__order_id", "fct_order_customers", "not_null",
+         f"SELECT count(*) FROM {fact_cur} f WHERE order_id IS NULL"),
+        ("relationships__fct_order_customers__order_id__dim_orders__order_id",
+         "fct_order_customers", "relationships",
+         f"SELECT count(*) FROM {fact_cur} f WHERE order_id NOT IN (SELECT order_id FROM dim_o)"),
+        ("relationships__fct_order_customers__customer_id__dim_customers__customer_id",
+         "fct_order_customers", "relationships",
+         f"SELECT count(*) FROM {fact_cur} f WHERE customer_id NOT IN "
+         "(SELECT customer_id FROM dim_c)"),
+        ("count__dead_letters", "dead_letters", "count",
+         "SELECT CASE WHEN n > 0 THEN n ELSE 0 END FROM (SELECT count(*) AS n FROM pr "
+         "WHERE reason IN ('missing_id', 'not_a_dict')) t"),
+    ]
+    body = "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS check_name, '{m}' AS model, '{t}' AS test, CAST(({q}) AS BIGINT) AS failures"
+        for n, m, t, q in rows)
+    return f"""
+WITH {DIM_ORDERS}, {DIM_CUSTOMERS}, {PAGE_ROWS},
+c AS ({body})
+SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM c"""
+
+
+ORACLE_SQL["check_report"] = _check_report()
+ORACLE_SQL["page_report"] = f"""
+WITH pg AS (
+  SELECT 'customers' AS source_name, {PAGE} AS page, bool_or({CORRUPT}) AS bad,
+         CASE WHEN bool_or({CORRUPT}) THEN 0 ELSE count(*) END AS n
+  FROM customer GROUP BY {PAGE}
+)
+SELECT source_name, count(*) AS pages, CAST(sum(n) AS BIGINT) AS records,
+       count(*) FILTER (WHERE bad) AS malformed,
+       CAST(max(page) + 1 - count(*) AS BIGINT) AS missing_pages,
+       arg_max(n, page) AS last_page_records,
+       count(*) FILTER (WHERE n < 50) AS short_pages,
+       (count(*) FILTER (WHERE bad) = 0 AND max(page) + 1 - count(*) = 0
+        AND arg_max(n, page) < 50 AND count(*) FILTER (WHERE n < 50) = 1) AS complete
+FROM pg GROUP BY source_name"""
