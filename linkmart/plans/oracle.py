@@ -370,3 +370,16 @@ SELECT source_name, count(*) AS pages, CAST(sum(n) AS BIGINT) AS records,
        (count(*) FILTER (WHERE bad) = 0 AND max(page) + 1 - count(*) = 0
         AND arg_max(n, page) < 50 AND count(*) FILTER (WHERE n < 50) = 1) AS complete
 FROM pg GROUP BY source_name"""
+
+ORACLE_SQL["refresh_counts"] = f"""
+WITH {ORDER_LINKS}, {DIM_ORDERS}, {DIM_CUSTOMERS}
+SELECT 'checks' AS table_name,
+       -- 8 generated checks per entity (2), 4 per fact (2), 1 dead-letter count check
+       CAST(2 * 8 + 2 * 4 + 1 AS BIGINT) AS n_rows
+UNION ALL SELECT 'dead_letters', CAST((SELECT count(*) FROM ({DL_FIELDS}) a)
+                                      + (SELECT count(*) FROM ({DL_LINKS}) b) AS BIGINT)
+UNION ALL SELECT 'dim_customers', CAST((SELECT count(*) FROM dim_c) AS BIGINT)
+UNION ALL SELECT 'dim_orders', CAST((SELECT count(*) FROM dim_o) AS BIGINT)
+UNION ALL SELECT 'fct_order_customers', CAST((SELECT count(*) FROM ({_fact(True)}) f) AS BIGINT)
+UNION ALL SELECT 'fct_order_customers_all', CAST((SELECT count(*) FROM ({_fact(False)}) f) AS BIGINT)
+"""

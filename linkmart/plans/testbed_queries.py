@@ -385,6 +385,21 @@ def check_report_q(spark, sf_dir):
     return check_report(checks, tables)
 
 
+# ---- the refresh job ---------------------------------------------------------------------
+
+def refresh_counts(spark, sf_dir):
+    """Two daily runs of the refresh job over orders and customers (batch 1 at T1,
+    batch 2 at T2), then the row count of every table the second run wrote."""
+    from linkmart.plans.refresh import refresh, table_counts
+
+    out = scratch_dir(spark, "refresh")
+    for batch, now in ((1, tb.T1), (2, tb.T2)):
+        incoming = {"orders": tb.order_records(spark, sf_dir, batch),
+                    "customers": tb.customer_records(spark, sf_dir, batch)}
+        written = refresh(spark, TESTBED, incoming, out, now)
+    return table_counts(written)
+
+
 QUERIES = {
     "stage_orders": stage_orders,
     "stage_customers": stage_customers,
@@ -424,4 +439,5 @@ QUERIES = {
     "check_relationships_labels": check_relationships_labels,
     "check_count": check_count_q,
     "check_report": check_report_q,
+    "refresh_counts": refresh_counts,
 }
