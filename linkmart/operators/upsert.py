@@ -101,24 +101,33 @@ def upsert_sequence(current: DataFrame, incoming: DataFrame, order_cols: list[st
     key's sequence, every later row counts as a change only if its payload differs from
     the row before it. ``now_col`` on ``incoming`` is each row's load time.
 
+    The result keeps ``_ord``: the (page, pos) of the last record applied per key.
+    Records older than that (a page that arrives after a newer one) are dropped, so
+    an old page never overwrites a newer payload.
+
     One shuffle by key; a key's window holds its current row plus its rows in this
     batch (bounded by the batch's pages)."""
-    rank = F.struct(*[F.col(c) for c in order_cols])
-    first = current.select(
-        key, payload, F.col(ts).alias("_now"),
-        F.struct(*[F.lit(None).cast(incoming.schema[c].dataType).alias(c)
-                   for c in order_cols]).alias("_ord"),
-        F.lit(0).alias("_step"))
+    ord_type = "struct<" + ",".join(f"{c}:bigint" for c in order_cols) + ">"
+    rank = F.struct(*[F.col(c).cast("bigint").alias(c) for c in order_cols])
+    cur_ord = F.col("_ord") if "_ord" in current.columns else F.lit(None).cast(ord_type)
+    first = current.select(key, payload, F.col(ts).alias("_now"), cur_ord.alias("_ord"),
+                           F.lit(0).alias("_step"))
     rest = incoming.select(key, payload, F.col(now_col).cast("timestamp").alias("_now"),
                            rank.alias("_ord"), F.lit(1).alias("_step"))
     seq = first.unionByName(rest)
+    whole = Window.partitionBy(key)
+    applied = F.max(F.when(F.col("_step") == 0, F.col("_ord"))).over(whole)
+    seq = seq.select("*", applied.alias("_applied")).where(
+        (F.col("_step") == 0) | F.col("_applied").isNull() | (F.col("_ord") > F.col("_applied")))
     w = Window.partitionBy(key).orderBy("_step", "_ord")
     marked = seq.select(
         key, payload, "_now", "_step", "_ord",
         (F.lag("_step").over(w).isNull() | ~F.lag(payload).over(w).eqNullSafe(F.col(payload)))
         .alias("_chg"))
-    last = F.max_by(F.struct(F.col(payload), F.col("_now")), F.struct("_step", "_ord"))
+    last = F.max_by(F.struct(F.col(payload), F.col("_now")),
+                    F.when(F.col("_chg"), F.struct("_step", "_ord")))
     return (
-        marked.where("_chg").groupBy(key).agg(last.alias("_r"))
-        .select(key, F.col("_r")[payload].alias(payload), F.col("_r._now").alias(ts))
+        marked.groupBy(key)
+        .agg(last.alias("_r"), F.max_by("_ord", F.struct("_step", "_ord")).alias("_ord"))
+        .select(key, F.col("_r")[payload].alias(payload), F.col("_r._now").alias(ts), "_ord")
     )

@@ -307,11 +307,16 @@ def scd2_merge_events(spark, sf_dir, checkpoint_every: int = 5):
 
 
 def stream_upsert(spark, sf_dir):
-    """Users' daily changes landed as pages, ingested by the file stream (several pages
-    per micro-batch, applied in page order), then read back from the raw table."""
+    """Users' daily changes landed as pages, one day after the other (as a daily
+    extractor lands them, so file times follow day order), ingested by the file stream
+    (several pages per micro-batch, applied in page order), then read back from the raw
+    table. The day list is the distinct days (one row per batch)."""
     pages_dir = scratch_dir(spark, "user-pages")
     out = scratch_dir(spark, "user-stream")
-    land_pages(tb.user_page_records(spark, sf_dir), pages_dir)
+    recs = tb.user_page_records(spark, sf_dir)
+    day = (F.col("page") / tb.DAY_PAGES).cast("long")
+    for (d,) in recs.select(day.alias("d")).distinct().orderBy("d").collect():
+        land_pages(recs.where(day == F.lit(d)), pages_dir, mode="append")
     ingest_stream(spark, pages_dir, out, f"{out}/_checkpoint", now=tb.user_page_time(),
                   files_per_trigger=64)
     raw = VersionedTable(spark, f"{out}/raw/users").current()

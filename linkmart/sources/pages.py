@@ -16,13 +16,14 @@ PAGE_SIZE = 50
 
 
 def land_pages(records: DataFrame, out_dir: str, source: str = "source", page: str = "page",
-               pos: str = "pos", json: str = "json", corrupt: Column | None = None) -> None:
+               pos: str = "pos", json: str = "json", corrupt: Column | None = None,
+               mode: str = "overwrite") -> None:
     """Write one JSON page file per (source, page) from one-record-per-row input.
 
     Pages are bounded groups (``pos < PAGE_SIZE``), so gathering a page's records is a
     bounded ``collect_list``; ``sort_array`` on (pos, json) fixes the record order.
     ``corrupt`` (a boolean Column over source/page) truncates those pages to test the
-    malformed-page path."""
+    malformed-page path. ``mode="append"`` lands more pages next to earlier ones."""
     grouped = records.groupBy(F.col(source).alias("source"), F.col(page).alias("page")).agg(
         F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(json).alias("j"))))
         .alias("_r"))
@@ -32,7 +33,7 @@ def land_pages(records: DataFrame, out_dir: str, source: str = "source", page: s
     if corrupt is not None:
         body = F.when(corrupt, F.expr("substring(_b, 1, length(_b) - 3)")).otherwise(body)
     (grouped.select("source", "page", body.alias("value"))
-     .write.mode("overwrite").partitionBy("source", "page").text(out_dir))
+     .write.mode(mode).partitionBy("source", "page").text(out_dir))
 
 
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
