@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from linkmart.functions.json_ops import as_variant, json_text, json_value
 from linkmart.functions.scalars import changed, surrogate_key
+from linkmart.operators.upsert import changed_keys
 from linkmart.operators.records import _ts
 from linkmart.plans.spec import EntitySpec
 
@@ -42,38 +43,32 @@ def scd2_merge(snapshot: DataFrame | None, source: DataFrame, now, key: str = "i
                check_cols: list[str] | None = None) -> DataFrame:
     """One snapshot run at ``now``.
 
-    Only the current slice takes part in the join (one shuffle on ``key``); closed
-    history is passed through untouched. New key -> version from ``now``; changed check
-    column (null-safe) -> close the current version at ``now`` and open a new one;
-    unchanged or absent from ``source`` -> untouched (idempotent re-runs)."""
+    New key -> version from ``now``; any check column changed (null-safe) -> close the
+    current version at ``now`` and open a new one; unchanged or absent from ``source``
+    -> untouched (idempotent re-runs). ``source`` must be unique on ``key``.
+
+    Plan: only the current slice takes part; closed history passes through untouched.
+    Changed keys come from joining (key, fingerprint of check columns) of the current
+    slice and the source, so only those narrow pairs are shuffled; the current slice is
+    then left-joined to the changed-key set (closing versions) and the source
+    semi-joined to it (new versions). AQE broadcasts the changed-key set when small."""
     check = check_cols or [c for c in source.columns if c != key]
     if snapshot is None:
         snapshot = empty_snapshot(source.select(key, *check))
     t = _ts(now)
-    cur = snapshot.where(F.col("valid_to").isNull())
-    hist = snapshot.where(F.col("valid_to").isNotNull())
-    c = cur.select(F.col(key).alias("_k"), *[F.col(x).alias(f"_c_{x}") for x in check],
-                   *[F.col(m).alias(f"_c_{m}") for m in META])
-    s = source.select(F.col(key).alias("_k"), *[F.col(x).alias(f"_s_{x}") for x in check],
-                      F.lit(True).alias("_in_src"))
-    j = c.join(s, "_k", "full_outer")
-    has_cur = F.col("_c_scd_id").isNotNull()
-    has_src = F.col("_in_src").isNotNull()
-    is_changed = has_cur & has_src & changed(
-        [F.col(f"_c_{x}") for x in check], [F.col(f"_s_{x}") for x in check])
-    old = F.when(has_cur, F.struct(
-        F.col("_k").alias(key), *[F.col(f"_c_{x}").alias(x) for x in check],
-        F.col("_c_scd_id").alias("scd_id"), F.col("_c_updated_at").alias("updated_at"),
-        F.col("_c_valid_from").alias("valid_from"),
-        F.when(is_changed, t).otherwise(F.col("_c_valid_to")).alias("valid_to"),
-    ))
-    new = F.when((has_src & ~has_cur) | is_changed, F.struct(
-        F.col("_k").alias(key), *[F.col(f"_s_{x}").alias(x) for x in check],
-        surrogate_key(F.col("_k"), t).alias("scd_id"), t.alias("updated_at"),
-        t.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"),
-    ))
-    versions = j.select(F.inline(F.filter(F.array(old, new), lambda x: x.isNotNull())))
-    return hist.select(key, *check, *META).unionByName(versions)
+    cur = snapshot.where(F.col("valid_to").isNull()).select(key, *check, *META)
+    hist = snapshot.where(F.col("valid_to").isNotNull()).select(key, *check, *META)
+    src = source.select(key, *check)
+    ch = changed_keys(cur, src, key, check)
+    closing = ch.where(~F.col("_new")).select(key, F.lit(True).alias("_close"))
+    cur_next = cur.join(closing, key, "left").select(
+        key, *check, "scd_id", "updated_at", "valid_from",
+        F.when(F.col("_close"), t).otherwise(F.col("valid_to")).alias("valid_to"))
+    opened = src.join(ch, key, "left_semi").select(
+        key, *check,
+        surrogate_key(F.col(key), t).alias("scd_id"), t.alias("updated_at"),
+        t.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"))
+    return hist.unionByName(cur_next).unionByName(opened)
 
 
 def scd2_replay(changes: DataFrame, key: str, order_col: str,

@@ -34,22 +34,42 @@ def latest_per_key(df: DataFrame, key: str, order_cols: list[str],
     return df.groupBy(key).agg(latest.alias("_r")).select(key, "_r.*")
 
 
+def fingerprint(*cols) -> Column:
+    """SHA-256 of the JSON text of the columns (NULL fields left out, so NULL and ''
+    differ), as 32 bytes. Used to find changed keys by shuffling (key, 32 bytes)
+    instead of whole rows; equal fingerprints mean equal values barring a SHA-256
+    collision."""
+    cs = [F.col(c) if isinstance(c, str) else c for c in cols]
+    return F.unhex(F.sha2(F.to_json(F.struct(*cs)), 256))
+
+
+def changed_keys(current: DataFrame, incoming: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """Keys of ``incoming`` that are new or whose ``cols`` differ from ``current``:
+    ``(key, _new)``. Only (key, fingerprint) pairs are shuffled."""
+    c = current.select(key, fingerprint(*cols).alias("_cf"))
+    i = incoming.select(key, fingerprint(*cols).alias("_if"))
+    d = i.join(c, key, "left")
+    return d.where(~F.col("_cf").eqNullSafe(F.col("_if"))).select(
+        key, F.col("_cf").isNull().alias("_new"))
+
+
 def upsert_changed(current: DataFrame, incoming: DataFrame, now, key: str = "id",
                    payload: str = "payload", ts: str = "extracted_at") -> DataFrame:
     """Next version of a keyed table ``(key, payload, ts)``.
 
-    New key -> inserted at ``now``; payload differs (null-safe) -> replaced, ``ts=now``;
-    same payload -> row untouched (old ``ts``); key absent from the batch -> kept.
-    ``incoming`` must be unique on ``key`` (see ``latest_per_key``)."""
-    c = current.select(F.col(key).alias("_k"), F.col(payload).alias("_p"), F.col(ts).alias("_t"))
-    i = incoming.select(F.col(key).alias("_k"), F.col(payload).alias("_np"))
-    j = c.join(i, "_k", "full_outer")
-    take_new = F.col("_np").isNotNull() & ~F.col("_p").eqNullSafe(F.col("_np"))
-    return j.select(
-        F.col("_k").alias(key),
-        F.when(take_new, F.col("_np")).otherwise(F.col("_p")).alias(payload),
-        F.when(take_new, _ts(now)).otherwise(F.col("_t")).alias(ts),
-    )
+    New key -> inserted at ``now``; payload differs -> replaced, ``ts=now``; same
+    payload -> row untouched (old ``ts``); key absent from the batch -> kept.
+    ``incoming`` must be unique on ``key`` (see ``latest_per_key``).
+
+    Plan: (key, payload fingerprint) of both sides are joined to find the changed keys;
+    the current table keeps its rows minus those keys (anti-join) and the incoming rows
+    for those keys are added (semi-join). When few keys change, AQE broadcasts the
+    changed-key set and the big sides are never shuffled whole."""
+    ch = changed_keys(current, incoming, key, [payload]).select(key)
+    kept = current.select(key, payload, ts).join(ch, key, "left_anti")
+    fresh = incoming.join(ch, key, "left_semi").select(
+        key, payload, _ts(now).alias(ts))
+    return kept.unionByName(fresh)
 
 
 def upsert_actions(current: DataFrame, incoming: DataFrame, key: str = "id",

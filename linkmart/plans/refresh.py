@@ -59,10 +59,11 @@ def generated_checks(catalog: Catalog, models) -> list[Check]:
     return checks
 
 
-def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str, now,
-            quarantine: DataFrame | None = None) -> dict[str, DataFrame]:
-    """One run at ``now``. ``incoming`` maps entity name -> records ``(id, payload)``
-    (one batch; the latest row per id wins). Returns the written tables, read back."""
+def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
+                        now) -> tuple[dict, dict]:
+    """The raw and snapshot layers of one run: upsert each entity's batch into its
+    versioned raw table, then merge the raw table into its versioned snapshot. Both are
+    committed and read back. Returns (raw, snapshots) by entity name."""
     out = out_dir.rstrip("/")
     raw, snaps = {}, {}
     for spec in catalog.entities:
@@ -82,7 +83,15 @@ def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
         st = VersionedTable(spark, f"{out}/snapshots/{spec.name}")
         snaps[spec.name] = _commit_and_read(
             st, scd2_merge(st.current(), snapshot_source(current, spec), now))
+    return raw, snaps
+
 
+def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str, now,
+            quarantine: DataFrame | None = None) -> dict[str, DataFrame]:
+    """One run at ``now``. ``incoming`` maps entity name -> records ``(id, payload)``
+    (one batch; the latest row per id wins). Returns the written tables, read back."""
+    out = out_dir.rstrip("/")
+    raw, snaps = ingest_and_snapshot(spark, catalog, incoming, out, now)
     models = build_models(catalog, raw, snaps)
     written: dict[str, DataFrame] = {}
     for name, df in models.dims.items():

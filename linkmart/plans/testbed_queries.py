@@ -35,7 +35,7 @@ from linkmart.sources.pages import (
     explode_records, land_pages, malformed_pages, page_report, read_pages,
 )
 from linkmart.sources.tables import VersionedTable
-from linkmart.streaming.ingest import ingest_stream
+from linkmart.streaming.ingest import ingest_stream, raw_table
 
 ORDERS = TESTBED.entity("orders")
 CUSTOMERS = TESTBED.entity("customers")
@@ -44,39 +44,43 @@ SUPPLIERS = TESTBED.entity("suppliers")
 USERS = TESTBED.entity("users")
 
 
-def _empty_raw(records: DataFrame) -> DataFrame:
-    return tb.as_raw(records).where(F.lit(False))
+def two_runs(spark: SparkSession, sf_dir: str, entities=("orders", "customers")) -> tuple[dict, dict]:
+    """Raw and snapshot layers after two daily runs (batch 1 at T1, batch 2 at T2) of
+    the given entities, committed under a fresh folder in the shared checkpoint folder.
+    Returns (raw, snapshots) by entity name, as read back after the second run."""
+    from linkmart.plans.refresh import ingest_and_snapshot
+
+    makers = {"orders": tb.order_records, "customers": tb.customer_records}
+    out = scratch_dir(spark, "runs")
+    for batch, now in ((1, tb.T1), (2, tb.T2)):
+        incoming = {e: makers[e](spark, sf_dir, batch) for e in entities}
+        raw, snaps = ingest_and_snapshot(spark, TESTBED, incoming, out, now)
+    return raw, snaps
 
 
-def raw_two_batches(spark: SparkSession, sf_dir: str, entity: str) -> tuple[DataFrame, DataFrame]:
-    """(raw after batch 1 at T1, raw after batch 2 at T2) via ``upsert_changed``."""
-    make = tb.order_records if entity == "orders" else tb.customer_records
-    b1, b2 = make(spark, sf_dir, 1), make(spark, sf_dir, 2)
-    r1 = upsert_changed(_empty_raw(b1), b1, tb.T1)
-    r2 = upsert_changed(r1, b2, tb.T2)
-    return r1, r2
+def raw_two_batches(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """Raw table of ``entity`` after both batches (see ``two_runs``)."""
+    raw, _ = two_runs(spark, sf_dir, (entity,))
+    return raw[entity]
 
 
 def snapshot_two_batches(spark, sf_dir, entity: str) -> tuple[DataFrame, DataFrame]:
     """(raw after both batches, snapshot after a run at T1 and one at T2)."""
-    spec = TESTBED.entity(entity)
-    r1, r2 = raw_two_batches(spark, sf_dir, entity)
-    s1 = scd2_merge(None, snapshot_source(r1, spec), tb.T1)
-    s2 = scd2_merge(s1, snapshot_source(r2, spec), tb.T2)
-    return r2, s2
+    raw, snaps = two_runs(spark, sf_dir, (entity,))
+    return raw[entity], snaps[entity]
 
 
 # ---- staging / JSON / scalar functions ----------------------------------------------
 
 def stage_orders(spark, sf_dir):
-    _, raw = raw_two_batches(spark, sf_dir, "orders")
+    raw = raw_two_batches(spark, sf_dir, "orders")
     s = stage(raw, ORDERS)
     return s.select("order_id", "order_name", "status", "priority", "order_date",
                     F.array_size("customers").alias("n_customers"), "extracted_at")
 
 
 def stage_customers(spark, sf_dir):
-    _, raw = raw_two_batches(spark, sf_dir, "customers")
+    raw = raw_two_batches(spark, sf_dir, "customers")
     return stage(raw, CUSTOMERS)
 
 
@@ -137,15 +141,14 @@ def surrogate_key_events(spark, sf_dir):
 # ---- links, dimensions, facts ----------------------------------------------------------
 
 def unnest_order_customers(spark, sf_dir):
-    _, raw = raw_two_batches(spark, sf_dir, "orders")
+    raw = raw_two_batches(spark, sf_dir, "orders")
     return unnest_spec(stage(raw, ORDERS), ORDERS, "customers")
 
 
 def _order_models(spark, sf_dir):
-    raw_o, snap_o = snapshot_two_batches(spark, sf_dir, "orders")
-    _, snap_c = snapshot_two_batches(spark, sf_dir, "customers")
-    links = unnest_spec(stage(raw_o, ORDERS), ORDERS, "customers")
-    return links, dimension(snap_o, ORDERS), dimension(snap_c, CUSTOMERS)
+    raw, snaps = two_runs(spark, sf_dir)
+    links = unnest_spec(stage(raw["orders"], ORDERS), ORDERS, "customers")
+    return links, dimension(snaps["orders"], ORDERS), dimension(snaps["customers"], CUSTOMERS)
 
 
 def dim_orders_all(spark, sf_dir):
@@ -198,7 +201,7 @@ def fact_part_supplier(spark, sf_dir):
 # ---- upsert ------------------------------------------------------------------------------
 
 def upsert_two_batches(spark, sf_dir):
-    _, raw = raw_two_batches(spark, sf_dir, "orders")
+    raw = raw_two_batches(spark, sf_dir, "orders")
     v = as_variant(F.col("payload"))
     return raw.select(F.col("id").alias("order_id"), json_text(v, "status").alias("status"),
                       canonical_json(F.col("payload")).eqNullSafe(F.col("payload")).alias("canonical"),
@@ -289,37 +292,38 @@ def scd2_replay_events(spark, sf_dir):
     return scd2_replay(ch, "id", "day", ["name", "event_type", "props"])
 
 
-def scd2_merge_events(spark, sf_dir, checkpoint_every: int = 5):
+def scd2_merge_events(spark, sf_dir):
     """One ``scd2_merge`` per daily batch, in day order (the daily job, replayed).
-    The batch list is the distinct days (one row per batch); lineage is cut with a
-    reliable checkpoint every few merges."""
-    checkpoint_base(spark)
-    ch = tb.user_changes(spark, sf_dir).select("id", "day", "name", "event_type", "props")
-    days = [r["day"] for r in ch.select("day").distinct().orderBy("day").collect()]
+
+    The change log is written once to the shared folder, partitioned by day, so each
+    run reads only its day (partition pruning). Like the daily job, each run's snapshot
+    is committed as a table version and read back before the next merge, which keeps
+    every plan one merge deep. The batch list is the distinct days (one row per batch)."""
+    base = scratch_dir(spark, "scd2-merge")
+    (tb.user_changes(spark, sf_dir).select("id", "day", "name", "event_type", "props")
+     .write.partitionBy("day").parquet(f"{base}/changes"))
+    changes = spark.read.parquet(f"{base}/changes")
+    days = [r["day"] for r in changes.select("day").distinct().orderBy("day").collect()]
+    table = VersionedTable(spark, f"{base}/snapshot")
     snap = None
-    for i, day in enumerate(days, 1):
-        batch = ch.where(F.col("day") == F.lit(day)).drop("day")
-        snap = scd2_merge(snap, batch, F.lit(day).cast("timestamp"), "id",
-                          ["name", "event_type", "props"])
-        if i % checkpoint_every == 0:
-            snap = snap.checkpoint()
+    for day in days:
+        batch = changes.where(F.col("day") == F.lit(day)).drop("day")
+        merged = scd2_merge(snap, batch, F.lit(day).cast("timestamp"), "id",
+                            ["name", "event_type", "props"])
+        snap = spark.read.parquet(table.path(table.commit(merged)))
     return snap
 
 
 def stream_upsert(spark, sf_dir):
-    """Users' daily changes landed as pages, one day after the other (as a daily
-    extractor lands them, so file times follow day order), ingested by the file stream
-    (several pages per micro-batch, applied in page order), then read back from the raw
-    table. The day list is the distinct days (one row per batch)."""
+    """Users' daily changes landed as pages, ingested by the file stream (several pages
+    per micro-batch, in whatever order the files arrive), then the keyed raw table
+    replayed from the change log in page order."""
     pages_dir = scratch_dir(spark, "user-pages")
     out = scratch_dir(spark, "user-stream")
-    recs = tb.user_page_records(spark, sf_dir)
-    day = (F.col("page") / tb.DAY_PAGES).cast("long")
-    for (d,) in recs.select(day.alias("d")).distinct().orderBy("d").collect():
-        land_pages(recs.where(day == F.lit(d)), pages_dir, mode="append")
+    land_pages(tb.user_page_records(spark, sf_dir), pages_dir)
     ingest_stream(spark, pages_dir, out, f"{out}/_checkpoint", now=tb.user_page_time(),
                   files_per_trigger=64)
-    raw = VersionedTable(spark, f"{out}/raw/users").current()
+    raw = raw_table(spark, out, "users")
     v = as_variant(F.col("payload"))
     return raw.select(F.col("id").alias("user_id"), json_text(v, "event_type").alias("event_type"),
                       json_value(v, "props").alias("props"), "extracted_at")
@@ -328,19 +332,19 @@ def stream_upsert(spark, sf_dir):
 # ---- dead letters and checks ----------------------------------------------------------
 
 def dead_letter_fields_orders(spark, sf_dir):
-    _, raw = raw_two_batches(spark, sf_dir, "orders")
+    raw = raw_two_batches(spark, sf_dir, "orders")
     return dead_letter_fields(raw, "orders")
 
 
 def dead_letter_links_orders(spark, sf_dir):
-    _, raw_o = raw_two_batches(spark, sf_dir, "orders")
-    _, raw_c = raw_two_batches(spark, sf_dir, "customers")
+    raw, _ = two_runs(spark, sf_dir)
+    raw_o, raw_c = raw["orders"], raw["customers"]
     return dead_letter_links(raw_o, "orders", "customers", raw_c.select("id"))
 
 
 def dead_letters_all(spark, sf_dir):
-    _, raw_o = raw_two_batches(spark, sf_dir, "orders")
-    _, raw_c = raw_two_batches(spark, sf_dir, "customers")
+    raw, _ = two_runs(spark, sf_dir)
+    raw_o, raw_c = raw["orders"], raw["customers"]
     return dead_letters({"orders": raw_o, "customers": raw_c}, [ORDERS, CUSTOMERS],
                         _quarantined(spark, sf_dir))
 
@@ -369,8 +373,8 @@ def check_count_q(spark, sf_dir):
 
 
 def check_report_q(spark, sf_dir):
-    raw_o, snap_o = snapshot_two_batches(spark, sf_dir, "orders")
-    _, snap_c = snapshot_two_batches(spark, sf_dir, "customers")
+    raw, snaps = two_runs(spark, sf_dir)
+    raw_o, snap_o, snap_c = raw["orders"], snaps["orders"], snaps["customers"]
     stg = stage(raw_o, ORDERS)
     d_o, d_c = dimension(snap_o, ORDERS), dimension(snap_c, CUSTOMERS)
     links = unnest_spec(stg, ORDERS, "customers")
