@@ -60,10 +60,11 @@ def generated_checks(catalog: Catalog, models) -> list[Check]:
 
 
 def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
-                        now) -> tuple[dict, dict]:
+                        now, snapshots: bool = True) -> tuple[dict, dict]:
     """The raw and snapshot layers of one run: upsert each entity's batch into its
     versioned raw table, then merge the raw table into its versioned snapshot. Both are
-    committed and read back. Returns (raw, snapshots) by entity name."""
+    committed and read back (``snapshots=False`` stops after the raw layer). Returns
+    (raw, snapshots) by entity name."""
     out = out_dir.rstrip("/")
     raw, snaps = {}, {}
     for spec in catalog.entities:
@@ -80,6 +81,8 @@ def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, o
         if current is None:
             continue
         raw[spec.name] = current
+        if not snapshots:
+            continue
         st = VersionedTable(spark, f"{out}/snapshots/{spec.name}")
         snaps[spec.name] = _commit_and_read(
             st, scd2_merge(st.current(), snapshot_source(current, spec), now))

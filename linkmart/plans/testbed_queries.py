@@ -44,7 +44,8 @@ SUPPLIERS = TESTBED.entity("suppliers")
 USERS = TESTBED.entity("users")
 
 
-def two_runs(spark: SparkSession, sf_dir: str, entities=("orders", "customers")) -> tuple[dict, dict]:
+def two_runs(spark: SparkSession, sf_dir: str, entities=("orders", "customers"),
+             snapshots: bool = True) -> tuple[dict, dict]:
     """Raw and snapshot layers after two daily runs (batch 1 at T1, batch 2 at T2) of
     the given entities, committed under a fresh folder in the shared checkpoint folder.
     Returns (raw, snapshots) by entity name, as read back after the second run."""
@@ -54,13 +55,13 @@ def two_runs(spark: SparkSession, sf_dir: str, entities=("orders", "customers"))
     out = scratch_dir(spark, "runs")
     for batch, now in ((1, tb.T1), (2, tb.T2)):
         incoming = {e: makers[e](spark, sf_dir, batch) for e in entities}
-        raw, snaps = ingest_and_snapshot(spark, TESTBED, incoming, out, now)
+        raw, snaps = ingest_and_snapshot(spark, TESTBED, incoming, out, now, snapshots)
     return raw, snaps
 
 
 def raw_two_batches(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """Raw table of ``entity`` after both batches (see ``two_runs``)."""
-    raw, _ = two_runs(spark, sf_dir, (entity,))
+    raw, _ = two_runs(spark, sf_dir, (entity,), snapshots=False)
     return raw[entity]
 
 
@@ -322,7 +323,7 @@ def stream_upsert(spark, sf_dir):
     out = scratch_dir(spark, "user-stream")
     land_pages(tb.user_page_records(spark, sf_dir), pages_dir)
     ingest_stream(spark, pages_dir, out, f"{out}/_checkpoint", now=tb.user_page_time(),
-                  files_per_trigger=64)
+                  files_per_trigger=256)
     raw = raw_table(spark, out, "users")
     v = as_variant(F.col("payload"))
     return raw.select(F.col("id").alias("user_id"), json_text(v, "event_type").alias("event_type"),
@@ -337,13 +338,13 @@ def dead_letter_fields_orders(spark, sf_dir):
 
 
 def dead_letter_links_orders(spark, sf_dir):
-    raw, _ = two_runs(spark, sf_dir)
+    raw, _ = two_runs(spark, sf_dir, snapshots=False)
     raw_o, raw_c = raw["orders"], raw["customers"]
     return dead_letter_links(raw_o, "orders", "customers", raw_c.select("id"))
 
 
 def dead_letters_all(spark, sf_dir):
-    raw, _ = two_runs(spark, sf_dir)
+    raw, _ = two_runs(spark, sf_dir, snapshots=False)
     raw_o, raw_c = raw["orders"], raw["customers"]
     return dead_letters({"orders": raw_o, "customers": raw_c}, [ORDERS, CUSTOMERS],
                         _quarantined(spark, sf_dir))

@@ -63,3 +63,14 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     if fs.exists(p):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that arrives in fewer partitions than the cluster can run at once
+    (e.g. one small file holding a single row group), so the CPU-heavy steps after it
+    (JSON building and parsing) use every core. A large input already has at least that
+    many partitions and is returned unchanged, without a shuffle."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmart.sources.pages import PAGE_SIZE
+from linkmart.sources.tables import spread
 
 # Fixed values used by both the Spark side and the oracle SQL.
 BASE_URL = "https://api.example.test/v1"
@@ -30,7 +31,9 @@ T2 = "2024-02-02 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, spread over the cluster's cores when it arrives as fewer
+    partitions (the generated files hold one row group each)."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def url(entity: str, key) -> Column:
