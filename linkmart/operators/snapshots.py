@@ -39,36 +39,52 @@ def empty_snapshot(source: DataFrame) -> DataFrame:
     )
 
 
-def scd2_merge(snapshot: DataFrame | None, source: DataFrame, now, key: str = "id",
-               check_cols: list[str] | None = None) -> DataFrame:
-    """One snapshot run at ``now``.
-
-    New key -> version from ``now``; any check column changed (null-safe) -> close the
-    current version at ``now`` and open a new one; unchanged or absent from ``source``
-    -> untouched (idempotent re-runs). ``source`` must be unique on ``key``.
-
-    Plan: only the current slice takes part; closed history passes through untouched.
-    Changed keys come from joining (key, fingerprint of check columns) of the current
-    slice and the source, so only those narrow pairs are shuffled; the current slice is
-    then left-joined to the changed-key set (closing versions) and the source
-    semi-joined to it (new versions). AQE broadcasts the changed-key set when small."""
+def scd2_step(current: DataFrame | None, source: DataFrame, now, key: str = "id",
+              check_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """One snapshot run over the *current slice* only: ``(closed, current_next)``.
+
+    ``closed`` are the current versions that end at ``now`` (``valid_to = now``);
+    ``current_next`` is the next current slice (untouched versions plus versions
+    opened at ``now``). History is not read at all, so a run costs O(entities).
+
+    Plan: changed keys come from joining (key, fingerprint of check columns) of the
+    current slice and the source, so only those narrow pairs are shuffled; the current
+    slice is then left-joined to the changed-key set and the source semi-joined to it.
+    AQE broadcasts the changed-key set when it is small."""
     check = check_cols or [c for c in source.columns if c != key]
-    if snapshot is None:
-        snapshot = empty_snapshot(source.select(key, *check))
+    if current is None:
+        current = empty_snapshot(source.select(key, *check))
     t = _ts(now)
-    cur = snapshot.where(F.col("valid_to").isNull()).select(key, *check, *META)
-    hist = snapshot.where(F.col("valid_to").isNotNull()).select(key, *check, *META)
+    cur = current.select(key, *check, *META)
     src = source.select(key, *check)
     ch = changed_keys(cur, src, key, check)
     closing = ch.where(~F.col("_new")).select(key, F.lit(True).alias("_close"))
-    cur_next = cur.join(closing, key, "left").select(
-        key, *check, "scd_id", "updated_at", "valid_from",
-        F.when(F.col("_close"), t).otherwise(F.col("valid_to")).alias("valid_to"))
+    marked = cur.join(closing, key, "left")
+    closed = marked.where(F.col("_close")).select(
+        key, *check, "scd_id", "updated_at", "valid_from", t.alias("valid_to"))
+    kept = marked.where(F.col("_close").isNull()).select(key, *check, *META)
     opened = src.join(ch, key, "left_semi").select(
         key, *check,
         surrogate_key(F.col(key), t).alias("scd_id"), t.alias("updated_at"),
         t.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"))
-    return hist.unionByName(cur_next).unionByName(opened)
+    return closed, kept.unionByName(opened)
+
+
+def scd2_merge(snapshot: DataFrame | None, source: DataFrame, now, key: str = "id",
+               check_cols: list[str] | None = None) -> DataFrame:
+    """One snapshot run at ``now`` over a whole snapshot (history + current).
+
+    New key -> version from ``now``; any check column changed (null-safe) -> close the
+    current version at ``now`` and open a new one; unchanged or absent from ``source``
+    -> untouched (idempotent re-runs). ``source`` must be unique on ``key``. Closed
+    history passes through untouched; see ``scd2_step`` for the plan."""
+    check = check_cols or [c for c in source.columns if c != key]
+    if snapshot is None:
+        snapshot = empty_snapshot(source.select(key, *check))
+    cur = snapshot.where(F.col("valid_to").isNull())
+    hist = snapshot.where(F.col("valid_to").isNotNull()).select(key, *check, *META)
+    closed, current_next = scd2_step(cur, source, now, key, check)
+    return hist.unionByName(closed).unionByName(current_next)
 
 
 def scd2_replay(changes: DataFrame, key: str, order_col: str,

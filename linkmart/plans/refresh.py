@@ -2,7 +2,8 @@
 
 Layers live under one folder:
   raw/<entity>/v=N        keyed raw tables (versioned; upserted each run)
-  snapshots/<entity>/v=N  type-2 history (versioned; one merge per run)
+  snapshots/<entity>/     type-2 history: append-only closed versions + versioned
+                          current slice (see SnapshotStore); a run never rewrites history
   marts/<table>           dimensions and facts, rebuilt each run
   intermediate/dead_letters, checks/report
 Staging and link models stay lazy (views). Every written table is read back before
@@ -20,11 +21,11 @@ from linkmart.operators.checks import Check, check_report, spec_checks
 from linkmart.operators.deadletters import dead_letters
 from linkmart.operators.marts import fact
 from linkmart.operators.records import _ts
-from linkmart.operators.snapshots import scd2_merge, snapshot_source
+from linkmart.operators.snapshots import scd2_step, snapshot_source
 from linkmart.operators.upsert import latest_per_key, upsert_changed
 from linkmart.plans.models import build_models
 from linkmart.plans.spec import Catalog
-from linkmart.sources.tables import VersionedTable
+from linkmart.sources.tables import SnapshotStore, VersionedTable
 
 
 def _commit_and_read(table: VersionedTable, df: DataFrame) -> DataFrame:
@@ -83,9 +84,10 @@ def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, o
         raw[spec.name] = current
         if not snapshots:
             continue
-        st = VersionedTable(spark, f"{out}/snapshots/{spec.name}")
-        snaps[spec.name] = _commit_and_read(
-            st, scd2_merge(st.current(), snapshot_source(current, spec), now))
+        store = SnapshotStore(spark, f"{out}/snapshots/{spec.name}")
+        closed, current_next = scd2_step(store.current(), snapshot_source(current, spec), now)
+        store.commit(closed, current_next, now)
+        snaps[spec.name] = store.snapshot()
     return raw, snaps
 
 

@@ -74,3 +74,62 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+class SnapshotStore:
+    """Type-2 history stored as two tables so a run never rewrites old versions:
+
+      <base>/history/closed_on=<date>   closed versions, append-only, partitioned by the
+                                        day they were closed
+      <base>/current/v=N                the current slice (one row per entity), versioned
+
+    A run reads only the current slice, appends the versions it closed and commits the
+    next slice. Re-running a run after a failure between the two writes appends nothing
+    twice: new history rows are anti-joined on ``scd_id`` against that day's partition
+    only (partition pruning), and the slice is recomputed from the last committed one."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark = spark
+        self.base = base.rstrip("/")
+        self.current_table = VersionedTable(spark, f"{self.base}/current")
+
+    def current(self) -> DataFrame | None:
+        return self.current_table.current()
+
+    def _history(self, like: DataFrame) -> DataFrame | None:
+        from pyspark.sql.types import DateType, StructField, StructType
+
+        fs, p = _fs(self.spark, f"{self.base}/history")
+        if not fs.exists(p):
+            return None
+        schema = StructType(like.schema.fields + [StructField("closed_on", DateType())])
+        return self.spark.read.schema(schema).parquet(f"{self.base}/history")
+
+    def history(self) -> DataFrame | None:
+        cur = self.current()
+        h = None if cur is None else self._history(cur)
+        return None if h is None else h.drop("closed_on")
+
+    def snapshot(self) -> DataFrame | None:
+        cur = self.current()
+        if cur is None:
+            return None
+        hist = self._history(cur)
+        return cur if hist is None else hist.drop("closed_on").unionByName(cur)
+
+    def commit(self, closed: DataFrame, current_next: DataFrame, now) -> DataFrame:
+        from pyspark.sql import functions as F
+
+        from linkmart.operators.records import _ts
+
+        day = F.to_date(_ts(now))
+        hist_path = f"{self.base}/history"
+        fs, p = _fs(self.spark, hist_path)
+        fresh = closed.withColumn("closed_on", day)
+        if fs.exists(p):
+            seen = (self._history(closed.drop("closed_on")).where(F.col("closed_on") == day)
+                    .select("scd_id"))
+            fresh = fresh.join(seen, "scd_id", "left_anti").select(*closed.columns, "closed_on")
+        fresh.write.mode("append").partitionBy("closed_on").parquet(hist_path)
+        n = self.current_table.commit(current_next)
+        return self.spark.read.parquet(self.current_table.path(n))
