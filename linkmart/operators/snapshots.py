@@ -52,9 +52,12 @@ def scd2_step(current: DataFrame | None, source: DataFrame, now, key: str = "id"
     slice is then left-joined to the changed-key set and the source semi-joined to it.
     AQE broadcasts the changed-key set when it is small."""
     check = check_cols or [c for c in source.columns if c != key]
-    if current is None:
-        current = empty_snapshot(source.select(key, *check))
     t = _ts(now)
+    if current is None:  # first run: every key opens a version, nothing to join
+        first = source.select(
+            key, *check, surrogate_key(F.col(key), t).alias("scd_id"), t.alias("updated_at"),
+            t.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"))
+        return empty_snapshot(source.select(key, *check)), first
     cur = current.select(key, *check, *META)
     src = source.select(key, *check)
     ch = changed_keys(cur, src, key, check)
@@ -80,7 +83,7 @@ def scd2_merge(snapshot: DataFrame | None, source: DataFrame, now, key: str = "i
     history passes through untouched; see ``scd2_step`` for the plan."""
     check = check_cols or [c for c in source.columns if c != key]
     if snapshot is None:
-        snapshot = empty_snapshot(source.select(key, *check))
+        return scd2_step(None, source, now, key, check)[1]
     cur = snapshot.where(F.col("valid_to").isNull())
     hist = snapshot.where(F.col("valid_to").isNotNull()).select(key, *check, *META)
     closed, current_next = scd2_step(cur, source, now, key, check)

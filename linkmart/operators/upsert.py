@@ -53,7 +53,7 @@ def changed_keys(current: DataFrame, incoming: DataFrame, key: str, cols: list[s
         key, F.col("_cf").isNull().alias("_new"))
 
 
-def upsert_changed(current: DataFrame, incoming: DataFrame, now, key: str = "id",
+def upsert_changed(current: DataFrame | None, incoming: DataFrame, now, key: str = "id",
                    payload: str = "payload", ts: str = "extracted_at") -> DataFrame:
     """Next version of a keyed table ``(key, payload, ts)``.
 
@@ -64,7 +64,10 @@ def upsert_changed(current: DataFrame, incoming: DataFrame, now, key: str = "id"
     Plan: (key, payload fingerprint) of both sides are joined to find the changed keys;
     the current table keeps its rows minus those keys (anti-join) and the incoming rows
     for those keys are added (semi-join). When few keys change, AQE broadcasts the
-    changed-key set and the big sides are never shuffled whole."""
+    changed-key set and the big sides are never shuffled whole. ``current=None`` (first
+    load) inserts the batch as is, with no join."""
+    if current is None:
+        return incoming.select(key, payload, _ts(now).alias(ts))
     ch = changed_keys(current, incoming, key, [payload]).select(key)
     kept = current.select(key, payload, ts).join(ch, key, "left_anti")
     fresh = incoming.join(ch, key, "left_semi").select(

@@ -75,9 +75,6 @@ def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, o
             batch = incoming[spec.name].select("id", "payload")
             if "_order" in incoming[spec.name].columns:
                 batch = latest_per_key(incoming[spec.name], "id", ["_order"]).select("id", "payload")
-            if current is None:
-                current = batch.select("id", "payload", F.lit(None).cast("timestamp")
-                                       .alias("extracted_at")).where(F.lit(False))
             current = _commit_and_read(table, upsert_changed(current, batch, now))
         if current is None:
             continue
