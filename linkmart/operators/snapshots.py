@@ -13,6 +13,7 @@ from linkmart.functions.json_ops import as_variant, json_text, json_value
 from linkmart.functions.scalars import changed, surrogate_key
 from linkmart.operators.upsert import changed_keys
 from linkmart.operators.records import _ts
+from linkmart.session import guard_union_partitioning
 from linkmart.plans.spec import EntitySpec
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
@@ -52,6 +53,7 @@ def scd2_step(current: DataFrame | None, source: DataFrame, now, key: str = "id"
     slice is then left-joined to the changed-key set and the source semi-joined to it.
     AQE broadcasts the changed-key set when it is small."""
     check = check_cols or [c for c in source.columns if c != key]
+    guard_union_partitioning(source.sparkSession)
     t = _ts(now)
     if current is None:  # first run: every key opens a version, nothing to join
         first = source.select(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkmart.operators.records import _ts
+from linkmart.session import guard_union_partitioning
 
 
 class DuplicateKeyError(ValueError):
@@ -68,6 +69,7 @@ def upsert_changed(current: DataFrame | None, incoming: DataFrame, now, key: str
     load) inserts the batch as is, with no join."""
     if current is None:
         return incoming.select(key, payload, _ts(now).alias(ts))
+    guard_union_partitioning(incoming.sparkSession)
     ch = changed_keys(current, incoming, key, [payload]).select(key)
     kept = current.select(key, payload, ts).join(ch, key, "left_anti")
     fresh = incoming.join(ch, key, "left_semi").select(

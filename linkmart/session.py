@@ -19,6 +19,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Spark 4.1: a union of hash-partitioned join outputs with different partition counts
+    # that feeds another join on the same key fails to plan ("PartitioningCollection
+    # requires all of its partitionings have the same numPartitions" / "Can't zip RDDs").
+    # Chained upserts and snapshot merges build exactly that shape.
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 
@@ -50,3 +55,13 @@ def checkpoint_base(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     return f"{checkpoint_base(spark)}/linkmart/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def guard_union_partitioning(spark: SparkSession) -> None:
+    """Apply the union output-partitioning workaround (see DEFAULT_CONF) to a session
+    the library did not create, e.g. the caller's."""
+    try:
+        if spark.conf.get("spark.sql.unionOutputPartitioning", "true") != "false":
+            spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+    except Exception:  # noqa: BLE001 - older Spark without the setting
+        pass
