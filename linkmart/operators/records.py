@@ -75,15 +75,37 @@ def append_new(existing: DataFrame, fresh: DataFrame, key: str = "raw_id") -> Da
     return fresh.join(existing.select(key).distinct(), key, "left_anti")
 
 
+def running_total(df: DataFrame, group: str, order: str, value: str, out: str,
+                  block: int = 4096) -> DataFrame:
+    """``out`` = running sum of ``value`` over ``order`` within ``group``, without a
+    window over a whole group (one group may hold a third of all rows).
+
+    Two levels: rows are cut into blocks of ``block`` consecutive ``order`` values; the
+    running sum over the per-block totals (one row per block) gives each block's offset,
+    and a window over (group, block) adds the running sum inside the block. Every window
+    holds at most ``block`` rows, or one row per block. ``order`` must be integral."""
+    blk = F.floor(F.col(order) / block)
+    with_blk = df.withColumn("_blk", blk)
+    totals = with_blk.groupBy(group, "_blk").agg(F.sum(value).alias("_bt"))
+    w_blocks = Window.partitionBy(group).orderBy("_blk").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = totals.select(group, "_blk",
+                            F.coalesce(F.sum("_bt").over(w_blocks), F.lit(0)).alias("_off"))
+    w_in = Window.partitionBy(group, "_blk").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return (
+        with_blk.join(offsets, [group, "_blk"], "left")
+        .withColumn(out, (F.col("_off") + F.sum(value).over(w_in)).cast("long"))
+        .drop("_blk", "_off")
+    )
+
+
 def load_metrics(labelled: DataFrame) -> DataFrame:
     """Per (source, page): loaded (good) and quarantined counts, records seen, and the
-    running loaded total in page order. The window runs over per-page rows only."""
+    running loaded total in page order (see ``running_total``)."""
     per_page = labelled.groupBy("source_name", "page").agg(
         F.count_if(F.col("reason").isNull()).alias("loaded"),
         F.count_if(F.col("reason").isNotNull()).alias("quarantined"),
         F.count(F.lit(1)).alias("records"),
     )
-    w = Window.partitionBy("source_name").orderBy("page").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return per_page.withColumn("loaded_total", F.sum("loaded").over(w))
+    return running_total(per_page, "source_name", "page", "loaded", "loaded_total")

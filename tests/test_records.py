@@ -58,3 +58,16 @@ def test_pages_edge_cases(spark, scratch):
     rep = {r["source_name"]: r for r in page_report(pages).collect()}
     assert rep["a"]["complete"] and rep["a"]["records"] == 52
     assert not rep["c"]["complete"] and rep["c"]["malformed"] == 1
+
+
+def test_running_total_blocks_match_plain_window(spark):
+    from pyspark.sql import Window
+
+    from linkmart.operators.records import running_total
+
+    rows = [("a" if i % 3 else "b", i, (i * 7) % 5) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, o int, v int")
+    w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    want = {(r["g"], r["o"]): r["t"] for r in df.select("g", "o", F.sum("v").over(w).alias("t")).collect()}
+    got = {(r["g"], r["o"]): r["t"] for r in running_total(df, "g", "o", "v", "t", block=7).collect()}
+    assert got == want

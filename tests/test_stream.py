@@ -54,6 +54,23 @@ def test_stream_resume_equals_uninterrupted(spark, scratch):
     assert sorted(r["reason"] for r in q.collect()) == ["missing_id", "not_a_dict"]
     st = stream_state(spark, part_out).first()
     assert st["last_completed_page"] == 2 and st["records_loaded"] == 5
+    assert st["status"] == "completed" and st["error_message"] is None
+
+
+def test_stream_failure_marks_run_failed_and_resumes(spark, scratch):
+    import pytest
+
+    src, out = scratch("in"), scratch("out")
+    _land(src, 0, PAGES[0])
+    bad = os.path.join(src, "source=things", "page=1")
+    os.makedirs(bad, exist_ok=True)
+    with open(os.path.join(bad, "p.json"), "w") as f:
+        f.write('{"data": [1, 2')
+    with pytest.raises(Exception):
+        ingest_stream(spark, src, out, f"{out}/_ck", now=_now())
+    st = stream_state(spark, out).first()
+    assert st["status"] == "failed" and "malformed page 1" in st["error_message"]
+    assert st["last_completed_page"] == 0 and st["records_loaded"] == 2
 
 
 def test_stream_out_of_order_pages_same_result(spark, scratch):
