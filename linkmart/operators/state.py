@@ -42,6 +42,12 @@ def merge_state(state: DataFrame, updates: DataFrame) -> DataFrame:
     return j.select("source_name", *out)
 
 
+def read_state(state: DataFrame, source_name: str) -> DataFrame:
+    """Status, last completed page and records loaded of one source (0 or 1 row)."""
+    return state.where(F.col("source_name") == source_name).select(
+        "status", "last_completed_page", "records_loaded")
+
+
 def resume_point(state: DataFrame) -> DataFrame:
     """``source_name, start_page, records_loaded``: an interrupted or failed run resumes
     after its last completed page (none -> 0) and keeps its count; otherwise start at 0.

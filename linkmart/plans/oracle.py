@@ -383,3 +383,7 @@ UNION ALL SELECT 'dim_orders', CAST((SELECT count(*) FROM dim_o) AS BIGINT)
 UNION ALL SELECT 'fct_order_customers', CAST((SELECT count(*) FROM ({_fact(True)}) f) AS BIGINT)
 UNION ALL SELECT 'fct_order_customers_all', CAST((SELECT count(*) FROM ({_fact(False)}) f) AS BIGINT)
 """
+
+ORACLE_SQL["pages_to_raw"] = f"""
+WITH {PAGE_ROWS}
+SELECT id, payload, {TS1} AS extracted_at FROM pr WHERE reason IS NULL"""

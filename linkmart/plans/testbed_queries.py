@@ -412,6 +412,19 @@ def check_report_q(spark, sf_dir):
 
 # ---- the refresh job ---------------------------------------------------------------------
 
+def pages_to_raw(spark, sf_dir):
+    """Batch path: landed customer pages -> records (malformed pages quarantined) ->
+    the refresh job's raw layer for customers."""
+    from linkmart.plans.refresh import ingest_and_snapshot
+    from linkmart.sources.pages import ingest_pages
+
+    pages = read_pages(spark, land_customer_pages(spark, sf_dir))
+    incoming, _ = ingest_pages(pages, tb.T1, on_malformed="quarantine")
+    raw, _ = ingest_and_snapshot(spark, TESTBED, incoming, scratch_dir(spark, "pages-raw"),
+                                 tb.T1, snapshots=False)
+    return raw["customers"]
+
+
 def refresh_counts(spark, sf_dir):
     """Two daily runs of the refresh job over orders and customers (batch 1 at T1,
     batch 2 at T2), then the row count of every table the second run wrote."""
@@ -465,4 +478,5 @@ QUERIES = {
     "check_count": check_count_q,
     "check_report": check_report_q,
     "refresh_counts": refresh_counts,
+    "pages_to_raw": pages_to_raw,
 }

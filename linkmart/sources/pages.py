@@ -89,3 +89,34 @@ def page_report(pages: DataFrame) -> DataFrame:
         (F.col("malformed") == 0) & (F.col("missing_pages") == 0)
         & (F.col("last_page_records") < PAGE_SIZE) & (F.col("short_pages") == 1),
     )
+
+
+def ingest_pages(pages: DataFrame, now, on_malformed: str = "fail") -> tuple[dict, DataFrame]:
+    """Batch ingestion of landed pages: ``({source: incoming records}, quarantine)``.
+
+    Incoming records are ``(id, payload, _order)`` with ``_order = (page, pos)``, so the
+    refresh job keeps the latest record per id (``latest_per_key``, a partial aggregate).
+    Malformed pages raise (``on_malformed="fail"``) or become ``malformed_page``
+    quarantine rows (``"quarantine"``). The source list is the distinct source names."""
+    from linkmart.operators.records import label_records, quarantine
+
+    bad_pages = malformed_pages(pages)
+    if on_malformed == "fail":
+        first = bad_pages.orderBy("source_name", "page").first()
+        if first is not None:
+            raise ValueError(f"malformed page {first['page']} of {first['source_name']}")
+    labelled = label_records(explode_records(pages))
+    good = labelled.where(F.col("reason").isNull())
+    bad = labelled.where(F.col("reason").isNotNull())
+    if on_malformed == "quarantine":
+        bad = bad.unionByName(bad_pages.select(
+            "source_name", "page", F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("id"),
+            F.lit(None).cast("string").alias("payload"), F.lit("malformed_page").alias("reason")))
+    sources = [r[0] for r in labelled.select("source_name").distinct().collect()]
+    incoming = {
+        s: good.where(F.col("source_name") == s).select(
+            "id", "payload", F.struct(F.col("page").cast("long").alias("page"),
+                                      F.col("pos").cast("long").alias("pos")).alias("_order"))
+        for s in sources
+    }
+    return incoming, quarantine(bad, now)

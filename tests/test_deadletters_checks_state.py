@@ -65,3 +65,21 @@ def test_merge_state_explicit_null_overwrites(spark):
     got = {r["source_name"]: r for r in merge_state(st, upd).collect()}
     assert got["a"]["error_message"] is None and got["a"]["last_completed_page"] == 3
     assert got["a"]["records_loaded"] == 200 and got["z"]["records_loaded"] == 0
+
+
+def test_read_state(spark):
+    from linkmart.operators.state import read_state
+
+    st = _state(spark, [("a", "failed", 3, T, T, "e", 200), ("b", "completed", 1, T, T, None, 9)])
+    assert [tuple(r) for r in read_state(st, "a").collect()] == [("failed", 3, 200)]
+    assert read_state(st, "zz").count() == 0
+
+
+def test_register_views(spark):
+    from linkmart.plans.catalog import TESTBED
+    from linkmart.plans.models import build_models, register_views
+
+    raw = {"orders": _raw(spark, [("1", '{"id":"1","name":"n","customers":["https://h/c/9"]}')])}
+    names = register_views(build_models(TESTBED, raw, {}), prefix="t_")
+    assert sorted(names) == ["t_int_orders__customers", "t_stg_orders"]
+    assert spark.sql("select customer_id from t_int_orders__customers").first()[0] == "9"
