@@ -75,7 +75,7 @@ def page_report(pages: DataFrame) -> DataFrame:
     sizes = pages.select(
         F.col("source").alias("source_name"), "page", F.col("body").isNull().alias("bad"),
         F.size(F.coalesce(F.try_variant_get("body", "$.data", "array<variant>"),
-                          F.array().cast("array<variant>"))).alias("n"))
+                          F.array().cast("array<variant>"))).cast("long").alias("n"))
     agg = sizes.groupBy("source_name").agg(
         F.count(F.lit(1)).alias("pages"),
         F.sum("n").alias("records"),
