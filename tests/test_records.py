@@ -71,3 +71,22 @@ def test_running_total_blocks_match_plain_window(spark):
     want = {(r["g"], r["o"]): r["t"] for r in df.select("g", "o", F.sum("v").over(w).alias("t")).collect()}
     got = {(r["g"], r["o"]): r["t"] for r in running_total(df, "g", "o", "v", "t", block=7).collect()}
     assert got == want
+
+
+def test_good_plus_quarantined_equals_input(spark):
+    from hypothesis import given, settings, strategies as st
+
+    values = st.one_of(st.none(), st.booleans(), st.integers(-2, 2), st.text("ab ", max_size=2),
+                       st.fixed_dictionaries({}, optional={"id": st.one_of(
+                           st.none(), st.integers(0, 2), st.text("x", max_size=1)),
+                           "n": st.integers(0, 1)}))
+
+    @settings(max_examples=10, deadline=None)
+    @given(st.lists(values, max_size=12))
+    def check(vals):
+        good, bad = split_records(_records(spark, vals))
+        assert good.count() + bad.count() == len(vals)
+        for r in good.collect():
+            assert isinstance(vals[r["pos"]], dict) and bool(vals[r["pos"]].get("id"))
+
+    check()

@@ -100,3 +100,22 @@ def test_replayed_batch_changes_nothing(spark, scratch):
     _process(spark, batch, 0, out, _now(), "fail")
     twice = (_final(spark, out), spark.read.parquet(f"{out}/quarantine").count())
     assert once == twice and once[1] == 2
+
+
+def test_stream_result_equals_batch_result(spark, scratch):
+    """The stream's raw table equals applying the same pages in one batch (page order)."""
+    from linkmart.operators.upsert import upsert_sequence
+    from linkmart.sources.pages import ingest_pages, read_pages
+
+    src, out = scratch("in"), scratch("out")
+    for i, p in enumerate(PAGES):
+        _land(src, i, p)
+    ingest_stream(spark, src, out, f"{out}/_ck", now=_now(), files_per_trigger=2)
+    incoming, quarantined = ingest_pages(read_pages(spark, src), "2024-01-01")
+    inc = incoming["things"].select("id", "payload", "_order.page", "_order.pos").withColumn(
+        "now", _now())
+    empty = spark.createDataFrame([], "id string, payload string, extracted_at timestamp")
+    batch = upsert_sequence(empty, inc, ["page", "pos"], "now").drop("_ord")
+    got = sorted((r["id"], r["payload"], str(r["extracted_at"])) for r in batch.collect())
+    assert got == _final(spark, out)
+    assert quarantined.count() == spark.read.parquet(f"{out}/quarantine").count()
