@@ -387,3 +387,25 @@ UNION ALL SELECT 'fct_order_customers_all', CAST((SELECT count(*) FROM ({_fact(F
 ORACLE_SQL["pages_to_raw"] = f"""
 WITH {PAGE_ROWS}
 SELECT id, payload, {TS1} AS extracted_at FROM pr WHERE reason IS NULL"""
+
+ORACLE_SQL["lineitem_latest_per_key"] = """
+SELECT line_id, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
+       l_tax, l_returnflag, l_linestatus
+FROM (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS line_id, *,
+         row_number() OVER (
+           PARTITION BY l_orderkey, l_linenumber
+           ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
+                    l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC,
+                    l_linestatus DESC) AS rn
+  FROM lineitem) t
+WHERE rn = 1"""
+
+# users pages: page = days since epoch * 10000 + user_id div 50 (see testbed.DAY_PAGES)
+ORACLE_SQL["stream_state_users"] = """
+WITH ud AS (SELECT DISTINCT user_id, date_trunc('day', ts) AS day FROM events)
+SELECT 'users' AS source_name, 'completed' AS status,
+       CAST(max(CAST(datediff('day', DATE '1970-01-01', CAST(day AS DATE)) AS BIGINT) * 10000
+                + user_id // 50) AS INTEGER) AS last_completed_page,
+       CAST(count(*) AS INTEGER) AS records_loaded, CAST(NULL AS VARCHAR) AS error_message
+FROM ud"""
