@@ -119,3 +119,17 @@ def test_stream_result_equals_batch_result(spark, scratch):
     got = sorted((r["id"], r["payload"], str(r["extracted_at"])) for r in batch.collect())
     assert got == _final(spark, out)
     assert quarantined.count() == spark.read.parquet(f"{out}/quarantine").count()
+
+
+def test_stream_quarantines_malformed_pages(spark, scratch):
+    src, out = scratch("in"), scratch("out")
+    _land(src, 0, PAGES[0])
+    bad = os.path.join(src, "source=things", "page=1")
+    os.makedirs(bad, exist_ok=True)
+    with open(os.path.join(bad, "p.json"), "w") as f:
+        f.write('{"data": [1, 2')
+    _land(src, 2, PAGES[2])
+    ingest_stream(spark, src, out, f"{out}/_ck", now=_now(), on_malformed="quarantine")
+    reasons = sorted(r["reason"] for r in spark.read.parquet(f"{out}/quarantine").collect())
+    assert reasons == ["malformed_page", "not_a_dict"]
+    assert stream_state(spark, out).first()["status"] == "completed"

@@ -61,3 +61,15 @@ def test_refresh_builds_every_fact_and_check(spark, scratch):
     assert rep["unique__dim_games__game_sk"] == 0
     assert rep["relationships__fct_character_appearances__game_id__dim_games__game_id"] == 1
     assert rep["count__dead_letters"] == 0
+
+
+def test_refresh_with_some_entities_only(spark, scratch):
+    out = scratch("partial")
+    batch = _batch(spark)
+    w = refresh(spark, WAREHOUSE, {"games": batch["games"], "staff": batch["staff"]}, out,
+                "2024-01-01 00:00:00")
+    assert set(w) == {"dim_games", "dim_staff", "fct_staff_games", "dead_letters", "checks"}
+    assert w["fct_staff_games"].count() == 2
+    # a later run with only games keeps staff from the previous run
+    w2 = refresh(spark, WAREHOUSE, {"games": batch["games"]}, out, "2024-01-02 00:00:00")
+    assert w2["fct_staff_games"].count() == 2 and w2["dim_staff"].count() == 1
