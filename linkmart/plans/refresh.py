@@ -12,6 +12,7 @@ use, which also cuts the lineage between layers.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,15 +61,25 @@ def generated_checks(catalog: Catalog, models) -> list[Check]:
     return checks
 
 
+def _parallel(fn, items, workers: int = 4) -> list:
+    """Run independent per-entity/per-table Spark jobs from a few driver threads, so
+    small jobs overlap on the cluster instead of queueing one after the other."""
+    items = list(items)
+    if len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(workers, len(items))) as pool:
+        return list(pool.map(fn, items))
+
+
 def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
                         now, snapshots: bool = True) -> tuple[dict, dict]:
     """The raw and snapshot layers of one run: upsert each entity's batch into its
-    versioned raw table, then merge the raw table into its versioned snapshot. Both are
-    committed and read back (``snapshots=False`` stops after the raw layer). Returns
-    (raw, snapshots) by entity name."""
+    versioned raw table, then merge the raw table into its snapshot store. Both are
+    committed and read back (``snapshots=False`` stops after the raw layer). Entities
+    are independent and processed concurrently. Returns (raw, snapshots) by name."""
     out = out_dir.rstrip("/")
-    raw, snaps = {}, {}
-    for spec in catalog.entities:
+
+    def one(spec):
         table = VersionedTable(spark, f"{out}/raw/{spec.name}")
         current = table.current()
         if spec.name in incoming:
@@ -76,15 +87,19 @@ def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, o
             if "_order" in incoming[spec.name].columns:
                 batch = latest_per_key(incoming[spec.name], "id", ["_order"]).select("id", "payload")
             current = _commit_and_read(table, upsert_changed(current, batch, now))
-        if current is None:
-            continue
-        raw[spec.name] = current
-        if not snapshots:
-            continue
+        if current is None or not snapshots:
+            return spec.name, current, None
         store = SnapshotStore(spark, f"{out}/snapshots/{spec.name}")
         closed, current_next = scd2_step(store.current(), snapshot_source(current, spec), now)
         store.commit(closed, current_next, now)
-        snaps[spec.name] = store.snapshot()
+        return spec.name, current, store.snapshot()
+
+    raw, snaps = {}, {}
+    for name, r, snap in _parallel(one, catalog.entities):
+        if r is not None:
+            raw[name] = r
+        if snap is not None:
+            snaps[name] = snap
     return raw, snaps
 
 
@@ -96,23 +111,27 @@ def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
     raw, snaps = ingest_and_snapshot(spark, catalog, incoming, out, now)
     models = build_models(catalog, raw, snaps)
     written: dict[str, DataFrame] = {}
-    for name, df in models.dims.items():
-        written[f"dim_{name}"] = _write(df, f"{out}/marts/dim_{name}")
+    dims = _parallel(lambda kv: (kv[0], _write(kv[1], f"{out}/marts/dim_{kv[0]}")),
+                     models.dims.items())
+    written.update({f"dim_{k}": v for k, v in dims})
     models.dims = {k: written[f"dim_{k}"] for k in models.dims}
-    # facts over the written dimensions
+    # facts over the written dimensions, and dead letters, written concurrently
+    jobs = []
     for f in catalog.facts:
         left = catalog.entity(f.entity)
         lk = left.link(f.link)
         right = catalog.entity(lk.target)
         key = (f.entity, f.link)
         if key in models.links and f.entity in models.dims and right.name in models.dims:
-            written[f.name] = _write(
-                fact(models.links[key], models.dims[f.entity], left, models.dims[right.name],
-                     right, lk, f.versions, f.left_extras, f.right_extras),
-                f"{out}/marts/{f.name}")
-    models.facts = {k: v for k, v in written.items() if not k.startswith("dim_")}
-    dl = dead_letters(raw, catalog.entities, quarantine)
-    written["dead_letters"] = _write(dl, f"{out}/intermediate/dead_letters")
+            jobs.append((f.name, f"{out}/marts/{f.name}", fact(
+                models.links[key], models.dims[f.entity], left, models.dims[right.name],
+                right, lk, f.versions, f.left_extras, f.right_extras)))
+    jobs.append(("dead_letters", f"{out}/intermediate/dead_letters",
+                 dead_letters(raw, catalog.entities, quarantine)))
+    for name, df in _parallel(lambda j: (j[0], _write(j[2], j[1])), jobs):
+        written[name] = df
+    models.facts = {k: v for k, v in written.items()
+                    if not k.startswith("dim_") and k != "dead_letters"}
 
     tables = dict(models.tables())
     tables.update(written)
