@@ -15,23 +15,23 @@ def _recs(spark, rows):
                                   for r in rows], "id string, payload string")
 
 
-def _batch(spark, boss_name="Ganon"):
+def _batch(spark, boss_name="Boss One"):
     g = lambda i: f"{H}/games/{i}"
     return {
         "games": _recs(spark, [
-            {"id": "g1", "name": "Ocarina", "description": "d", "developer": "N", "publisher": "N",
+            {"id": "g1", "name": "Game One", "description": "d", "developer": "N", "publisher": "N",
              "released_date": "November 21, 1998"},
-            {"id": "g2", "name": "Majora", "released_date": "2000-04-27"},
+            {"id": "g2", "name": "Game Two", "released_date": "2000-04-27"},
         ]),
-        "staff": _recs(spark, [{"id": "s1", "name": "Miyamoto", "worked_on": [g("g1"), g("g2")]}]),
-        "characters": _recs(spark, [{"id": "c1", "name": "Link", "gender": "m", "race": "Hylian",
+        "staff": _recs(spark, [{"id": "s1", "name": "Staffer", "worked_on": [g("g1"), g("g2")]}]),
+        "characters": _recs(spark, [{"id": "c1", "name": "Hero", "gender": "m", "race": "human",
                                      "appearances": [g("g1"), g("missing")]}]),
-        "monsters": _recs(spark, [{"id": "m1", "name": "Octorok", "description": "spits",
+        "monsters": _recs(spark, [{"id": "m1", "name": "Crawler", "description": "spits",
                                    "appearances": [g("g1")]}]),
-        "dungeons": _recs(spark, [{"id": "d1", "name": "Deku Tree", "appearances": [g("g1")]}]),
+        "dungeons": _recs(spark, [{"id": "d1", "name": "Old Cave", "appearances": [g("g1")]}]),
         "bosses": _recs(spark, [{"id": "b1", "name": boss_name, "appearances": [g("g1")],
                                  "dungeons": [f"{H}/dungeons/d1"]}]),
-        "places": _recs(spark, [{"id": "p1", "name": "Kokiri", "appearances": [g("g1")],
+        "places": _recs(spark, [{"id": "p1", "name": "Village", "appearances": [g("g1")],
                                  "inhabitants": [f"{H}/characters/c1"]}]),
         "items": _recs(spark, [{"id": "i1", "name": "  ", "games": [g("g2") + "/"]}]),
     }
@@ -40,7 +40,7 @@ def _batch(spark, boss_name="Ganon"):
 def test_refresh_builds_every_fact_and_check(spark, scratch):
     out = scratch("warehouse")
     refresh(spark, WAREHOUSE, _batch(spark), out, "2024-01-01 00:00:00")
-    w = refresh(spark, WAREHOUSE, _batch(spark, "Ganondorf"), out, "2024-01-02 00:00:00")
+    w = refresh(spark, WAREHOUSE, _batch(spark, "Boss Two"), out, "2024-01-02 00:00:00")
     assert {f.name for f in WAREHOUSE.facts} <= set(w)
     sg = w["fct_staff_games"]
     assert sg.columns == ["staff_sk", "staff_id", "staff_name", "game_sk", "game_id", "game_name",
@@ -49,11 +49,11 @@ def test_refresh_builds_every_fact_and_check(spark, scratch):
     assert str(dates["g1"]) == "1998-11-21" and dates["g2"] is None
     assert w["fct_monster_appearances"].columns[3] == "monster_description"
     inh = w["fct_place_inhabitants"].first()
-    assert inh["inhabitant_id"] == "c1" and inh["character_name"] == "Link"
+    assert inh["inhabitant_id"] == "c1" and inh["character_name"] == "Hero"
     # boss renamed in run 2: two versions; "current" facts see only the new name
     assert w["dim_bosses"].count() == 2
     ba = w["fct_boss_appearances"].collect()
-    assert [r["boss_name"] for r in ba] == ["Ganondorf"]
+    assert [r["boss_name"] for r in ba] == ["Boss Two"]
     dl = {(r["source_name"], r["error_type"]) for r in w["dead_letters"].collect()}
     assert ("characters", "invalid_appearances_link") in dl
     assert ("items", "empty_name") in dl and ("items", "invalid_games_link") in dl
