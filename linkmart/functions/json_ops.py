@@ -11,7 +11,6 @@ import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import VariantType
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -88,6 +87,6 @@ def variant_field(v, key: str) -> Column:
 
 
 __all__ = [
-    "VariantType", "as_variant", "canonical_json", "is_truthy", "json_array_text",
+    "as_variant", "canonical_json", "is_truthy", "json_array_text",
     "json_kind", "json_path", "json_text", "json_value", "variant_field",
 ]

@@ -5,18 +5,11 @@ Each function takes ``(spark, sf_dir)``, reads whole tables and returns a DataFr
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmart.functions.json_ops import as_variant, canonical_json, json_text, json_value
 from linkmart.functions.scalars import parse_long_date, surrogate_key, url_tail_regex, url_tail_split
-from linkmart.operators.links import unnest_spec
-from linkmart.operators.marts import dimension, fact
-from linkmart.operators.snapshots import scd2_merge, snapshot_source
-from linkmart.operators.staging import stage
-from linkmart.operators.upsert import upsert_changed
 from linkmart.operators.checks import (
     Check, check_count, check_not_null, check_relationships, check_report, check_unique,
     spec_checks,
@@ -24,12 +17,16 @@ from linkmart.operators.checks import (
 from linkmart.operators.deadletters import (
     dead_letter_fields, dead_letter_links, dead_letters, dead_letters_quarantine,
 )
+from linkmart.operators.links import unnest_spec
+from linkmart.operators.marts import dimension, fact
 from linkmart.operators.records import label_records, load_metrics, quarantine
-from linkmart.operators.snapshots import scd2_replay
+from linkmart.operators.snapshots import scd2_merge, scd2_replay, snapshot_source
+from linkmart.operators.staging import stage
 from linkmart.operators.state import merge_state, resume_point, state_after_run
 from linkmart.operators.upsert import latest_per_key, upsert_replay
 from linkmart.plans.catalog import TESTBED
-from linkmart.session import checkpoint_base, scratch_dir
+from linkmart.plans.spec import Link
+from linkmart.session import scratch_dir
 from linkmart.sources import testbed as tb
 from linkmart.sources.pages import (
     explode_records, land_pages, malformed_pages, page_report, read_pages,
@@ -208,7 +205,6 @@ def fact_part_supplier(spark, sf_dir):
     snap_p = scd2_merge(None, snapshot_source(tb.as_raw(tb.part_records(spark, sf_dir)), PARTS), tb.T1)
     snap_s = scd2_merge(None, snapshot_source(tb.as_raw(tb.supplier_records(spark, sf_dir)),
                                               SUPPLIERS), tb.T1)
-    from linkmart.plans.spec import Link
     lk = Link("suppliers", "suppliers", "suppliers", "supplier_url", "supplier_id")
     return fact(links, dimension(snap_p, PARTS), PARTS, dimension(snap_s, SUPPLIERS), SUPPLIERS,
                 lk, "current", ("brand",), ())
