@@ -72,11 +72,13 @@ def _parallel(fn, items, workers: int = 4) -> list:
 
 
 def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
-                        now, snapshots: bool = True) -> tuple[dict, dict]:
+                        now, snapshots: bool = True,
+                        keep_versions: int | None = None) -> tuple[dict, dict]:
     """The raw and snapshot layers of one run: upsert each entity's batch into its
     versioned raw table, then merge the raw table into its snapshot store. Both are
     committed and read back (``snapshots=False`` stops after the raw layer). Entities
-    are independent and processed concurrently. Returns (raw, snapshots) by name."""
+    are independent and processed concurrently. ``keep_versions`` vacuums older
+    versions after the commit. Returns (raw, snapshots) by name."""
     out = out_dir.rstrip("/")
 
     def one(spec):
@@ -87,11 +89,15 @@ def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, o
             if "_order" in incoming[spec.name].columns:
                 batch = latest_per_key(incoming[spec.name], "id", ["_order"]).select("id", "payload")
             current = _commit_and_read(table, upsert_changed(current, batch, now))
+            if keep_versions:
+                table.vacuum(keep_versions)
         if current is None or not snapshots:
             return spec.name, current, None
         store = SnapshotStore(spark, f"{out}/snapshots/{spec.name}")
         closed, current_next = scd2_step(store.current(), snapshot_source(current, spec), now)
         store.commit(closed, current_next, now)
+        if keep_versions:
+            store.current_table.vacuum(keep_versions)
         return spec.name, current, store.snapshot()
 
     raw, snaps = {}, {}
@@ -104,11 +110,15 @@ def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, o
 
 
 def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str, now,
-            quarantine: DataFrame | None = None) -> dict[str, DataFrame]:
+            quarantine: DataFrame | None = None,
+            keep_versions: int | None = None) -> dict[str, DataFrame]:
     """One run at ``now``. ``incoming`` maps entity name -> records ``(id, payload)``
-    (one batch; the latest row per id wins). Returns the written tables, read back."""
+    (one batch; the latest row per id wins; with an ``_order`` column the greatest
+    order wins). ``keep_versions`` keeps only that many raw / current-slice versions.
+    Returns the written tables, read back."""
     out = out_dir.rstrip("/")
-    raw, snaps = ingest_and_snapshot(spark, catalog, incoming, out, now)
+    raw, snaps = ingest_and_snapshot(spark, catalog, incoming, out, now,
+                                     keep_versions=keep_versions)
     models = build_models(catalog, raw, snaps)
     written: dict[str, DataFrame] = {}
     dims = _parallel(lambda kv: (kv[0], _write(kv[1], f"{out}/marts/dim_{kv[0]}")),

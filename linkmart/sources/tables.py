@@ -50,6 +50,24 @@ class VersionedTable:
         w.parquet(self.path(n))
         return n
 
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` committed versions (and any uncommitted
+        folder older than them). Returns the removed version numbers. Run it only when no
+        reader still uses an old version."""
+        keep = max(1, keep)
+        vs = self.versions()
+        if len(vs) <= keep:
+            return []
+        oldest_kept = vs[-keep]
+        fs, p = _fs(self.spark, self.base)
+        removed = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("v=") and int(name[2:]) < oldest_kept:
+                fs.delete(st.getPath(), True)
+                removed.append(int(name[2:]))
+        return sorted(removed)
+
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("append")

@@ -73,3 +73,14 @@ def test_refresh_with_some_entities_only(spark, scratch):
     # a later run with only games keeps staff from the previous run
     w2 = refresh(spark, WAREHOUSE, {"games": batch["games"]}, out, "2024-01-02 00:00:00")
     assert w2["fct_staff_games"].count() == 2 and w2["dim_staff"].count() == 1
+
+
+def test_refresh_keeps_requested_versions(spark, scratch):
+    from linkmart.sources.tables import VersionedTable
+
+    out = scratch("vacuum")
+    for day in (1, 2, 3):
+        refresh(spark, WAREHOUSE, {"games": _batch(spark)["games"]}, out,
+                f"2024-01-0{day} 00:00:00", keep_versions=2)
+    assert VersionedTable(spark, f"{out}/raw/games").versions() == [2, 3]
+    assert VersionedTable(spark, f"{out}/snapshots/games/current").versions() == [2, 3]
