@@ -353,12 +353,27 @@ def lineitem_latest_per_key(spark, sf_dir):
     return latest_per_key(keyed, "line_id", order)
 
 
+_STREAMS: dict = {}
+
+
 def _user_stream(spark, sf_dir) -> str:
+    """Land the users change log as pages and ingest them with the file stream; returns
+    the stream's output folder. One ingestion run per session and table folder: the
+    stream queries read its raw table and its state."""
+    from linkmart.sources.tables import _fs
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    hit = _STREAMS.get(key)
+    if hit is not None:
+        fs, p = _fs(spark, f"{hit}/state_log")
+        if fs.exists(p):
+            return hit
     pages_dir = scratch_dir(spark, "user-pages")
     out = scratch_dir(spark, "user-stream")
     land_pages(tb.user_page_records(spark, sf_dir), pages_dir)
     ingest_stream(spark, pages_dir, out, f"{out}/_checkpoint", now=tb.user_page_time(),
                   files_per_trigger=256)
+    _STREAMS[key] = out
     return out
 
 
