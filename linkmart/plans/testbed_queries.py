@@ -56,7 +56,8 @@ def two_runs(spark: SparkSession, sf_dir: str, entities=("orders", "customers"),
     from linkmart.plans.refresh import ingest_and_snapshot
     from linkmart.sources.tables import _fs
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
+           spark.conf.get("spark.sql.session.timeZone"))
     hit = _RUNS.get(key)
     if hit is not None:
         fs, p = _fs(spark, hit[0])
@@ -231,7 +232,8 @@ def land_customer_pages(spark, sf_dir) -> str:
     source data: they are landed once per session and read by every page query."""
     from linkmart.sources.tables import _fs
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
+           spark.conf.get("spark.sql.session.timeZone"))
     out = _LANDED.get(key)
     if out is not None:
         fs, p = _fs(spark, out)
@@ -362,7 +364,8 @@ def _user_stream(spark, sf_dir) -> str:
     stream queries read its raw table and its state."""
     from linkmart.sources.tables import _fs
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
+           spark.conf.get("spark.sql.session.timeZone"))
     hit = _STREAMS.get(key)
     if hit is not None:
         fs, p = _fs(spark, f"{hit}/state_log")

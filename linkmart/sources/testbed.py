@@ -196,5 +196,6 @@ def user_page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_page_time() -> Column:
-    """Load time of a users page: the start of its day."""
-    return F.timestamp_seconds((F.col("page") / DAY_PAGES).cast("long") * 86400)
+    """Load time of a users page: the start of its day, in the session time zone (the
+    same wall-clock midnight ``date_trunc('day', ...)`` gives)."""
+    return F.date_from_unix_date((F.col("page") / DAY_PAGES).cast("int")).cast("timestamp")
