@@ -94,13 +94,17 @@ def page_report(pages: DataFrame) -> DataFrame:
     )
 
 
-def ingest_pages(pages: DataFrame, now, on_malformed: str = "fail") -> tuple[dict, DataFrame]:
+def ingest_pages(pages: DataFrame, now, on_malformed: str = "fail",
+                 on_duplicate: str = "last") -> tuple[dict, DataFrame]:
     """Batch ingestion of landed pages: ``({source: incoming records}, quarantine)``.
 
     Incoming records are ``(id, payload, _order)`` with ``_order = (page, pos)``, so the
     refresh job keeps the latest record per id (``latest_per_key``, a partial aggregate).
     Malformed pages raise (``on_malformed="fail"``) or become ``malformed_page``
-    quarantine rows (``"quarantine"``). The source list is the distinct source names."""
+    quarantine rows (``"quarantine"``). ``on_duplicate="error"`` raises when one page
+    holds the same id twice (a single-page upsert in the modelled database fails the
+    same way); ``"last"`` lets the later position win. The source list is the distinct
+    source names."""
     from linkmart.operators.records import label_records, quarantine
 
     bad_pages = malformed_pages(pages)
@@ -111,6 +115,14 @@ def ingest_pages(pages: DataFrame, now, on_malformed: str = "fail") -> tuple[dic
     labelled = label_records(explode_records(pages))
     good = labelled.where(F.col("reason").isNull())
     bad = labelled.where(F.col("reason").isNotNull())
+    if on_duplicate == "error":
+        from linkmart.operators.upsert import DuplicateKeyError
+
+        dup = (good.groupBy("source_name", "page", "id").count()
+               .where(F.col("count") > 1).first())
+        if dup is not None:
+            raise DuplicateKeyError(
+                f"id {dup['id']!r} twice on page {dup['page']} of {dup['source_name']}")
     if on_malformed == "quarantine":
         bad = bad.unionByName(bad_pages.select(
             "source_name", "page", F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("id"),

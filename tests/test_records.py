@@ -90,3 +90,22 @@ def test_good_plus_quarantined_equals_input(spark):
             assert isinstance(vals[r["pos"]], dict) and bool(vals[r["pos"]].get("id"))
 
     check()
+
+
+def test_ingest_pages_duplicate_policy(spark, scratch):
+    import pytest
+
+    from linkmart.operators.upsert import DuplicateKeyError
+    from linkmart.sources.pages import ingest_pages
+
+    root = scratch("dups")
+    _land(root, "s", 0, json.dumps({"data": [{"id": "1", "v": 1}, {"id": "1", "v": 2}]}))
+    _land(root, "s", 1, json.dumps({"data": [{"id": "1", "v": 3}]}))
+    pages = read_pages(spark, root)
+    with pytest.raises(DuplicateKeyError):
+        ingest_pages(pages, "2024-01-01", on_duplicate="error")
+    incoming, _ = ingest_pages(pages, "2024-01-01")
+    from linkmart.operators.upsert import latest_per_key
+
+    last = latest_per_key(incoming["s"], "id", ["_order"]).first()
+    assert last["payload"] == '{"id":"1","v":3}'
