@@ -409,3 +409,5 @@ SELECT 'users' AS source_name, 'completed' AS status,
                 + user_id // 50) AS INTEGER) AS last_completed_page,
        CAST(count(*) AS INTEGER) AS records_loaded, CAST(NULL AS VARCHAR) AS error_message
 FROM ud"""
+
+ORACLE_SQL["upsert_sequence_users"] = USER_FINAL

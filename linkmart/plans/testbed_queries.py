@@ -23,7 +23,7 @@ from linkmart.operators.records import label_records, load_metrics, quarantine
 from linkmart.operators.snapshots import scd2_merge, scd2_replay, snapshot_source
 from linkmart.operators.staging import stage
 from linkmart.operators.state import merge_state, resume_point, state_after_run
-from linkmart.operators.upsert import latest_per_key, upsert_replay
+from linkmart.operators.upsert import latest_per_key, upsert_replay, upsert_sequence
 from linkmart.plans.catalog import TESTBED
 from linkmart.plans.spec import Link
 from linkmart.session import scratch_dir
@@ -341,6 +341,18 @@ def scd2_merge_events(spark, sf_dir):
     return snap
 
 
+def upsert_sequence_users(spark, sf_dir):
+    """Cross-page order in one batch: every users page record applied to an empty raw
+    table in (page, pos) order, each with its page's load time (``upsert_sequence``)."""
+    recs = tb.user_page_records(spark, sf_dir).select(
+        "id", F.col("json").alias("payload"), "page", "pos", tb.user_page_time().alias("now"))
+    empty = spark.createDataFrame([], "id string, payload string, extracted_at timestamp")
+    raw = upsert_sequence(empty, recs, ["page", "pos"], "now")
+    v = as_variant(F.col("payload"))
+    return raw.select(F.col("id").alias("user_id"), json_text(v, "event_type").alias("event_type"),
+                      json_value(v, "props").alias("props"), "extracted_at")
+
+
 def lineitem_latest_per_key(spark, sf_dir):
     """Batch key uniqueness with the "last" policy: lineitem rows keyed by
     (order, line number) — 60,000 rows, 45,832 keys at sf0.01 — reduced to the greatest
@@ -534,5 +546,6 @@ QUERIES = {
     "refresh_counts": refresh_counts,
     "pages_to_raw": pages_to_raw,
     "lineitem_latest_per_key": lineitem_latest_per_key,
+    "upsert_sequence_users": upsert_sequence_users,
     "stream_state_users": stream_state_users,
 }

@@ -192,6 +192,7 @@ def user_page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("page"),
         (uid % PAGE_SIZE).cast("int").alias("pos"),
         F.col("payload").alias("json"),
+        "id",
     )
 
 
