@@ -26,9 +26,9 @@ def latest_per_key(df: DataFrame, key: str, order_cols: list[str],
     ``on_duplicate="error"`` raises when a key occurs twice (a single page upsert in
     the modelled database fails the same way)."""
     if on_duplicate == "error":
-        dups = df.groupBy(key).count().where("count > 1").limit(1).count()
-        if dups:
-            raise DuplicateKeyError(f"duplicate {key} in one batch")
+        dup = df.groupBy(key).count().where("count > 1").first()  # existence check
+        if dup is not None:
+            raise DuplicateKeyError(f"duplicate {key} {dup[key]!r} in one batch")
     others = [c for c in df.columns if c != key]
     order = F.struct(*[F.col(c) for c in order_cols])
     latest = F.max_by(F.struct(*[F.col(c) for c in others]), order)
