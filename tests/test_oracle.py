@@ -49,3 +49,11 @@ def test_query_matches_oracle_in_another_time_zone(spark, con, name):
         spark.conf.set("spark.sql.session.timeZone", old)
     odf = con.execute(E.oracle_sql()[name]).df()
     assert frame_digest(sdf)[:3] == frame_digest(odf)[:3]
+
+
+def test_every_query_has_an_oracle_with_the_same_columns(spark, con):
+    assert set(E.queries()) == set(E.oracle_sql())
+    for name in ("fact_current", "dead_letters", "check_report", "state_after_run"):
+        spark_cols = sorted(E.queries()[name](spark, SF).columns)
+        oracle_cols = sorted(con.sql(E.oracle_sql()[name]).columns)
+        assert spark_cols == oracle_cols, name
