@@ -1,0 +1,84 @@
+import random
+
+import pytest
+import xxhash
+
+from linkmart.llm import simhash as S
+
+
+def brute_fingerprint(text, width=3):
+    words = [w for w in "".join(c.lower() if c.isascii() else c for c in text or "").replace("\t", " ")
+             .replace("\n", " ").replace("\x0b", " ").replace("\x0c", " ").replace("\r", " ").split(" ") if w]
+    if not words:
+        return 0
+    grams = [" ".join(words[i:i + width]) for i in range(max(1, len(words) - width + 1))]
+    hs = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def brute_components(rows, bits):
+    ids = [i for i, _ in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if bin(rows[i][1] ^ rows[j][1]).count("1") <= bits:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    least = {}
+    for i, d in enumerate(ids):
+        least[find(i)] = min(d, least.get(find(i), d))
+    return sorted((ids[i], rows[i][1], least[find(i)]) for i in range(len(rows)))
+
+
+def test_fingerprint_rules():
+    for text in ["", " \t\n", "one", "One two", "A b C d", "x y z\x0bw q", "É é É é", "w " * 5000]:
+        assert S.fingerprint(text.encode()) % 2**64 == brute_fingerprint(text)
+
+
+@pytest.mark.parametrize("hot", [2, 32, 10**6])
+@pytest.mark.parametrize("bits", [1, 2])
+def test_links_match_brute_force(spark, hot, bits):
+    rng = random.Random(7)
+    fps = set()
+    for _ in range(12):
+        base = rng.getrandbits(64)
+        for _ in range(25):
+            x = base
+            for _ in range(rng.randrange(6)):
+                x ^= 1 << rng.randrange(64)
+            fps.add(x)
+    signed = sorted({x - 2**64 if x >> 63 else x for x in fps})
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    from linkmart.llm.components import connected_components
+
+    got = dict(connected_components(spark, S.links(spark, df, bits, hot)).collect())
+    want = brute_components([(x, x % 2**64) for x in signed], bits)
+    assert {x: got.get(x, x) for x in signed} == {x: c for x, _, c in want}
+
+
+def test_components_of_documents(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(0, 60, 3):
+        t = [rng.choice(words) for _ in range(400)]
+        edited = t[:200] + ["edit"] + t[201:]
+        rows += [(i, " ".join(t)), (i + 1, " ".join(t).upper()), (i + 2, " ".join(edited))]
+    rows += [(100, None), (101, ""), (102, "  "), (103, "long " * 20000), (5, rows[5][1])]
+    df = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, fp string")
+    got = sorted((r.id, r.fp % 2**64, r.component) for r in S.simhash_components(spark, df).collect())
+    assert got == brute_components([(i, brute_fingerprint(t)) for i, t in rows], 2)
+
+
+def test_empty_and_null_ids(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert S.simhash_components(spark, df).collect() == []
+    df = spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (None, "q r s t")], "doc_id long, text string")
+    got = {(r.id, r.component) for r in S.simhash_components(spark, df).collect()}
+    assert got == {(None, 4), (4, 4), (None, None)}
