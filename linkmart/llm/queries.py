@@ -5,13 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkmart.llm import chat
+from linkmart.llm.ann import nearest
+from linkmart.llm.packing import pack_documents
 from linkmart.llm.simhash import simhash_components
+from linkmart.llm.warc import archive_and_index
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The public byte-level BPE vocabulary installed beside the libraries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(r"\### Assistant: </turn> ok").alias("text"))
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    nodes, members = chat.prefix_tree(spark, turns, tokenizer_path())
+    return chat.digests(chat.read_back(nodes, members, tokenizer_path())).withColumnRenamed("conv", "conv_id")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens", "sequence_id", "offset",
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(spark, _table(spark, sf_dir, "documents"))
     return found.select(
@@ -21,8 +49,27 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` has no capture time: a page's is its id in seconds (modulo a year) from 2024."""
+    at = F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(31_536_000)))
+    captures = _table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("id"), "url", at.alias("at"), F.col("html").alias("payload"))
+    return archive_and_index(spark, captures).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to",
+        "urlkey", "position", "capture_no",
+    )
+
+
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark, _table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 QUERIES = {
+    "op2_chat": op2_chat,
+    "op3_packing": op3_packing,
     "op5_simhash": op5_simhash,
+    "op8_warc": op8_warc,
+    "op9_ann": op9_ann,
 }
 
 ORACLE_SQL: dict[str, str] = {}
