@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 from linkmart.llm import chat
 from linkmart.llm.ann import nearest
+from linkmart.llm.common import crc_mod
+from linkmart.llm.decontam import contaminated
+from linkmart.llm.langid import label_documents
+from linkmart.llm.lm import score_documents
 from linkmart.llm.packing import pack_documents
 from linkmart.llm.simhash import simhash_components
+from linkmart.llm.toxicity import score_toxicity
 from linkmart.llm.warc import archive_and_index
 
 
@@ -40,6 +45,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(spark, _table(spark, sf_dir, "documents"))
     return found.select(
@@ -49,6 +59,16 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = label_documents(spark, _table(spark, sf_dir, "documents"), crc_mod("id", 4) == 2)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = score_documents(spark, _table(spark, sf_dir, "documents"), crc_mod("id", 7) == 2)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` has no capture time: a page's is its id in seconds (modulo a year) from 2024."""
     at = F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(31_536_000)))
@@ -64,12 +84,22 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(spark, _table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = score_toxicity(
+        spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), crc_mod("id", 5) == 0)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op2_chat": op2_chat,
     "op3_packing": op3_packing,
+    "op4_decontamination": op4_decontamination,
     "op5_simhash": op5_simhash,
+    "op6_language_id": op6_language_id,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_warc": op8_warc,
     "op9_ann": op9_ann,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -64,7 +64,7 @@ def test_invalid_vectors_take_no_part(spark):
 def test_repeated_ids_and_ties(spark):
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (7, [2.0, 0.0]), (3, [2.0, 5.0]), (3, [2.0, 5.0]), (9, [-1.0, 1.0])]
     got = run(spark, rows, F.col("id") % 20 == 0, k=3)
-    assert got == {0: [(3, 2.0), (3, 2.0), (7, 2.0)] * 2}
+    assert got == {0: [(3, 2.0)] * 4 + [(7, 2.0)] * 2}  # both rows with id 0 ask
 
 
 def test_empty_tables_and_no_queries(spark):
