@@ -278,33 +278,37 @@ class Labeller:
 _LABELLERS: dict[str, Labeller] = {}
 
 
-def label_documents(
-    spark: SparkSession, docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
-    lang_col: str = "lang", train_docs: int = TRAIN_DOCS,
-) -> DataFrame:
-    """One row per row of ``docs``: id, held_out, lang_pred and score. ``held_out`` is a
-    condition over the column ``id``; rows for which it is true, and rows without a
-    language, teach nothing."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    held = F.coalesce(held_out, F.lit(False))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    teach = rows.where(~held & F.col("lang").isNotNull() & F.col("text").isNotNull())
+def fit_sample(docs: DataFrame, train_docs: int) -> list[tuple[str, str]]:
+    """(text, language) of at most ``train_docs`` rows per language of ``docs(id, text, lang)``,
+    chosen by hash: about twice as many are looked at."""
+    teach = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = teach.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    chosen = teach.limit(0)
+    if not counts:
+        return []
     place = F.pmod(F.xxhash64("id", "lang"), F.lit(1 << 30))
-    if counts:
-        share = F.create_map(*[x for r in counts for x in (F.lit(r.lang), F.lit(int(min(1.0, 2 * train_docs / r["count"]) * (1 << 30))))])
-        chosen = teach.where(place < share[F.col("lang")])
-    # about 2 * train_docs of each language are looked at, train_docs of them kept
-    most = 2 * train_docs * max(1, len(counts))
-    sample = chosen.select("lang", "text", place.alias("place")).orderBy("place").limit(most).collect()
+    share = F.create_map(*[x for r in counts for x in (F.lit(r.lang), F.lit(int(min(1.0, 2 * train_docs / r["count"]) * (1 << 30))))])
+    sample = teach.where(place < share[F.col("lang")]).select("lang", "text", place.alias("place"))
     kept: Counter[str] = Counter()
     examples = []
-    for r in sorted(sample, key=lambda r: (r.place, r.lang, r.text)):
+    for r in sorted(sample.orderBy("place").limit(2 * train_docs * len(counts)).collect(), key=lambda r: (r.place, r.lang, r.text)):
         if kept[r.lang] < train_docs:
             kept[r.lang] += 1
             examples.append((r.text, r.lang))
-    shared, key = spark.sparkContext.broadcast(train(examples)), uuid.uuid4().hex
+    return examples
+
+
+def label_documents(
+    spark: SparkSession, docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
+    lang_col: str = "lang", train_docs: int = TRAIN_DOCS, keep: bool = False,
+) -> DataFrame:
+    """One row per row of ``docs``: id, held_out, lang_pred and score. ``held_out`` is a
+    condition over the column ``id``; rows for which it is true, and rows without a
+    language, teach nothing. With ``keep`` the columns of ``docs`` come along in a struct
+    ``doc``."""
+    held = F.coalesce(held_out, F.lit(False))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    field = train(fit_sample(rows.where(~held), train_docs))
+    shared, key = spark.sparkContext.broadcast(field), uuid.uuid4().hex
 
     def run(batches):
         field = shared.value
@@ -312,25 +316,21 @@ def label_documents(
             _LABELLERS.clear()
             _LABELLERS[key] = Labeller(field)
         label = _LABELLERS[key].label if field is not None else lambda ds: [(UNDETERMINED, 0.0)] * len(ds)
-
-        def flush(ids, texts):
-            found = label(texts)
-            return pa.record_batch([pa.array(ids, id_type), pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.float64())],
-                                   names=["id", "lang_pred", "score"])
-
-        ids, texts, held_chars = [], [], 0
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            found, docs_, size = [], [], 0
+            for text in batch.column(1):
                 text = text.as_py()
-                ids.append(i)
-                texts.append(words_of(text))
-                held_chars += len(text or "")
-                if held_chars >= _CHUNK_CHARS:
-                    yield flush(ids, texts)
-                    ids, texts, held_chars = [], [], 0
-        if ids:
-            yield flush(ids, texts)
-
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    found = rows.select("id", "text").mapInArrow(run, f"id {kind}, lang_pred string, score double")
-    return found.select("id", held.alias("held_out"), "lang_pred", "score")
+                docs_.append(words_of(text))
+                size += len(text or "")
+                if size >= _CHUNK_CHARS:
+                    found += label(docs_)
+                    docs_, size = [], 0
+            found += label(docs_)
+            rest = [c for i, c in enumerate(batch.columns) if i != 1]
+            yield pa.record_batch([*rest, pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.float64())],
+                                  names=[*(n for n in batch.schema.names if n != "text"), "lang_pred", "score"])
+
+    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *([F.struct(*docs.columns).alias("doc")] if keep else []))
+    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in read.schema if f.name != "text")
+    found = read.mapInArrow(run, f"{out}, lang_pred string, score double")
+    return found.select("id", held.alias("held_out"), "lang_pred", "score", *(["doc"] if keep else []))

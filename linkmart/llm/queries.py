@@ -12,11 +12,16 @@ from linkmart.llm.decontam import contaminated
 from linkmart.llm.langid import label_documents
 from linkmart.llm.lm import score_documents
 from linkmart.llm.packing import pack_documents
+from linkmart.llm.pii import pseudonymise
 from linkmart.llm.simhash import simhash_components
 from linkmart.llm.toxicity import score_toxicity
 from linkmart.llm.warc import archive_and_index
 
 
+#: Of the registered queries; a real corpus has its own secret.
+PSEUDONYM_KEY = "linkmart-pseudonyms"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -28,6 +33,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, PSEUDONYM_KEY, count_col="n_replaced")
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -91,6 +101,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_chat": op2_chat,
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
