@@ -22,7 +22,9 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections import defaultdict
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +36,20 @@ WINDOW = 1024
 END_ID = 0
 BLOCK_TOKENS = 8_000_000
 MAX_GAP = 16
-CACHE_UNITS = 300_000
+CACHE_UNITS = 600_000
 _CHUNK_CHARS = 300_000
 _OUT_ROWS = 4000
+_LINE_UNITS = 1000
 
 # -- token ids ---------------------------------------------------------------------------
 
 #: Where single spaces alone separate the units of a text, byte-level pre-tokenisation
 #: starts a new piece at each of them, so units encode on their own.
-_NOT_PLAIN = re.compile(r" (?=\s)|\A\s|\s\Z|\A\Z")
+_WIDE = re.compile(r" \s")
+
+
+def _plain(text: str) -> bool:
+    return bool(text) and not (text[0].isspace() or text[-1].isspace() or _WIDE.search(text))
 
 
 class Encoder:
@@ -56,39 +63,53 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
         self.limit, self.cache = cache_units, {}
+        self.after_space = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.after_space[i] = token.startswith("\u0120")  # the byte-level sign of a space
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [np.frombuffer(array("I", e.ids), "<u4") for e in found]
+
+    def _encode_units(self, units: list[str]) -> list[bytes]:
+        """Ids of each unit after a space: encoded in lines, cut where a token holds a space."""
+        out = []
+        lines = [" " + " ".join(units[i:i + _LINE_UNITS]) for i in range(0, len(units), _LINE_UNITS)]
+        for ids in self._encode(lines):
+            raw = ids.tobytes()
+            cuts = [*(4 * np.flatnonzero(self.after_space[ids])).tolist(), len(raw)]
+            out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cache, plain, other, new = self.cache, {}, [], set()
-        for i, text in enumerate(texts):
-            if _NOT_PLAIN.search(text):
-                other.append(i)
+        get = self.cache.get
+        whole, split, new = [], [], {}
+        for text in texts:
+            if _plain(text):
+                units = text.split(" ")
+                whole.append(units[0])
+                del units[0]
+                found = list(map(get, units))
+                if None in found:
+                    new.update((u, None) for u, x in zip(units, found) if x is None)
+                split.append((units, found))
             else:
-                first, *units = text.split(" ")
-                plain[i] = units
-                new.update(u for u in units if u not in cache)
-                other.append(~i)
-        whole = [texts[i] if i >= 0 else texts[~i].split(" ", 1)[0] for i in other]
-        starts = {i: x for i, x in zip(other, self._encode(whole))}
-        new = list(new)
-        fresh = dict(zip(new, self._encode([" " + u for u in new])))
-        room = self.limit - len(cache)
-        if len(fresh) <= room:
-            cache.update(fresh)
-            fresh = cache
-        else:
-            for u in new[:max(0, room)]:
-                cache[u] = fresh[u]
+                whole.append(text)
+                split.append(None)
+        fresh = dict(zip(new, self._encode_units(list(new))))
         out = []
-        for i in range(len(texts)):
-            if i in plain:
-                get = (lambda u: cache.get(u) or fresh[u]) if fresh is not cache else cache.__getitem__
-                out.append(starts[~i] + b"".join(map(get, plain[i])))
+        for start, parts in zip(self._encode(whole), split):
+            start = start.tobytes()
+            if parts is None:
+                out.append(start)
             else:
-                out.append(starts[i])
+                if None in parts[1]:
+                    start += b"".join([fresh[u] if x is None else x for u, x in zip(*parts)])
+                else:
+                    start += b"".join(parts[1])
+                out.append(start)
+        room = self.limit - len(self.cache)
+        self.cache.update(fresh if len(fresh) <= room else islice(fresh.items(), max(0, room)))
         return out
 
 
