@@ -17,6 +17,7 @@ from linkmart.functions.json_ops import is_truthy, json_kind, variant_field
 NOT_A_DICT = "not_a_dict"
 MISSING_ID = "missing_id"
 MALFORMED_PAGE = "malformed_page"
+UNPARSEABLE_JSON = "unparseable_json"
 
 
 def _ts(now) -> Column:
@@ -29,7 +30,9 @@ def _ts(now) -> Column:
 
 def label_records(records: DataFrame, key: str = "id") -> DataFrame:
     """Add ``id`` (text of a truthy id), canonical ``payload`` text and ``reason``
-    (NULL for good rows, else ``not_a_dict`` / ``missing_id``)."""
+    (NULL for good rows, else ``unparseable_json`` / ``not_a_dict`` / ``missing_id``). A
+    record that did not parse has a NULL ``value`` and its ``text``, which is its payload."""
+    text = F.col("text") if "text" in records.columns else F.lit(None).cast("string")
     v = F.col("value")
     is_obj = json_kind(v) == "object"
     id_v = variant_field(v, key)
@@ -37,11 +40,12 @@ def label_records(records: DataFrame, key: str = "id") -> DataFrame:
     return records.select(
         "*",
         F.when(good, F.try_variant_get(id_v, "$", "string")).alias("id"),
-        F.to_json(v).alias("payload"),
-        F.when(~is_obj | v.isNull(), F.lit(NOT_A_DICT))
+        F.coalesce(F.to_json(v), text).alias("payload"),
+        F.when(v.isNull() & text.isNotNull(), F.lit(UNPARSEABLE_JSON))
+        .when(~is_obj | v.isNull(), F.lit(NOT_A_DICT))
         .when(~is_truthy(id_v), F.lit(MISSING_ID))
         .alias("reason"),
-    ).drop("value")
+    ).drop("value", "text")
 
 
 def split_records(records: DataFrame, key: str = "id") -> tuple[DataFrame, DataFrame]:
@@ -57,7 +61,8 @@ def quarantine(bad: DataFrame, now, batch: str | Column = "") -> DataFrame:
     """Quarantine rows ``(raw_id, source_name, raw_payload, reason, extracted_at)``.
 
     ``raw_id`` = md5 of (source, batch, page, pos), so replaying a batch appends nothing
-    new after an anti-join on ``raw_id`` (see ``append_new``)."""
+    new after an anti-join on ``raw_id`` (see ``append_new``). ``batch`` names the load the
+    row came from: the same place of a page that is loaded again is another row."""
     from linkmart.functions.scalars import surrogate_key
 
     b = batch if isinstance(batch, Column) else F.lit(batch)

@@ -6,12 +6,12 @@ Snapshot columns: key, check columns, ``scd_id``, ``updated_at``, ``valid_from``
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkmart.functions.json_ops import as_variant, json_text, json_value
 from linkmart.functions.scalars import changed, surrogate_key
-from linkmart.operators.upsert import changed_keys
+from linkmart.operators.upsert import changed_keys, require_unique
 from linkmart.operators.records import _ts
 from linkmart.session import guard_union_partitioning
 from linkmart.plans.spec import EntitySpec
@@ -51,7 +51,8 @@ def scd2_step(current: DataFrame | None, source: DataFrame, now, key: str = "id"
     Plan: changed keys come from joining (key, fingerprint of check columns) of the
     current slice and the source, so only those narrow pairs are shuffled; the current
     slice is then left-joined to the changed-key set and the source semi-joined to it.
-    AQE broadcasts the changed-key set when it is small."""
+    AQE broadcasts the changed-key set when it is small. A key twice in ``source`` raises."""
+    require_unique(source, key)
     check = check_cols or [c for c in source.columns if c != key]
     guard_union_partitioning(source.sparkSession)
     t = _ts(now)
@@ -111,11 +112,3 @@ def scd2_replay(changes: DataFrame, key: str, order_col: str,
         F.col(order_col).alias("valid_from"),
         F.lead(order_col).over(w).alias("valid_to"),
     )
-
-
-def current_slice(snapshot: DataFrame) -> DataFrame:
-    return snapshot.where(F.col("valid_to").isNull())
-
-
-def is_current(valid_to: str | Column = "valid_to") -> Column:
-    return (F.col(valid_to) if isinstance(valid_to, str) else valid_to).isNull()

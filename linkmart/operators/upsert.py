@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkmart.functions.json_ops import canonical_json
 from linkmart.operators.records import _ts
 from linkmart.session import guard_union_partitioning
 
@@ -18,17 +19,23 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+def require_unique(df: DataFrame, key: str) -> DataFrame:
+    """``df`` itself; raises if a key occurs twice (one existence check, partial counts)."""
+    dup = df.groupBy(key).count().where("count > 1").first()
+    if dup is not None:
+        raise DuplicateKeyError(f"duplicate {key} {dup[key]!r} in one batch")
+    return df
+
+
 def latest_per_key(df: DataFrame, key: str, order_cols: list[str],
-                   on_duplicate: str = "last") -> DataFrame:
-    """One row per key: the one with the greatest ``order_cols`` (later page/pos wins).
+                   on_duplicate: str = "error") -> DataFrame:
+    """One row per key. ``on_duplicate="error"`` (the default, as the modelled database's
+    page upsert) raises when a key occurs twice; ``"last"`` keeps the row with the
+    greatest ``order_cols`` (later page/pos wins).
 
-    ``max_by`` is a partial aggregate: a hot key is combined map-side, never collected.
-    ``on_duplicate="error"`` raises when a key occurs twice (a single page upsert in
-    the modelled database fails the same way)."""
+    ``max_by`` is a partial aggregate: a hot key is combined map-side, never collected."""
     if on_duplicate == "error":
-        dup = df.groupBy(key).count().where("count > 1").first()  # existence check
-        if dup is not None:
-            raise DuplicateKeyError(f"duplicate {key} {dup[key]!r} in one batch")
+        require_unique(df, key)
     others = [c for c in df.columns if c != key]
     order = F.struct(*[F.col(c) for c in order_cols])
     latest = F.max_by(F.struct(*[F.col(c) for c in others]), order)
@@ -46,27 +53,35 @@ def fingerprint(*cols) -> Column:
 
 def changed_keys(current: DataFrame, incoming: DataFrame, key: str, cols: list[str]) -> DataFrame:
     """Keys of ``incoming`` that are new or whose ``cols`` differ from ``current``:
-    ``(key, _new)``. Only (key, fingerprint) pairs are shuffled."""
+    ``(key, _new)``, each once. Only (key, fingerprint) pairs are shuffled."""
     c = current.select(key, fingerprint(*cols).alias("_cf"))
     i = incoming.select(key, fingerprint(*cols).alias("_if"))
     d = i.join(c, key, "left")
     return d.where(~F.col("_cf").eqNullSafe(F.col("_if"))).select(
-        key, F.col("_cf").isNull().alias("_new"))
+        key, F.col("_cf").isNull().alias("_new")).dropDuplicates([key])
 
 
 def upsert_changed(current: DataFrame | None, incoming: DataFrame, now, key: str = "id",
-                   payload: str = "payload", ts: str = "extracted_at") -> DataFrame:
+                   payload: str = "payload", ts: str = "extracted_at",
+                   on_duplicate: str = "error") -> DataFrame:
     """Next version of a keyed table ``(key, payload, ts)``.
 
     New key -> inserted at ``now``; payload differs -> replaced, ``ts=now``; same
     payload -> row untouched (old ``ts``); key absent from the batch -> kept.
-    ``incoming`` must be unique on ``key`` (see ``latest_per_key``).
+    A key twice in ``incoming`` raises, or with ``on_duplicate="last"`` the row with the
+    greatest payload text is taken (see ``latest_per_key`` for an order). Payloads are
+    stored as canonical JSON text, so JSON values are compared, not their spelling; text
+    that is not JSON is kept as it is.
 
     Plan: (key, payload fingerprint) of both sides are joined to find the changed keys;
     the current table keeps its rows minus those keys (anti-join) and the incoming rows
     for those keys are added (semi-join). When few keys change, AQE broadcasts the
     changed-key set and the big sides are never shuffled whole. ``current=None`` (first
     load) inserts the batch as is, with no join."""
+    text = F.coalesce(canonical_json(payload), F.col(payload))
+    incoming = incoming.select(key, text.alias(payload))
+    incoming = (latest_per_key(incoming, key, [payload], "last") if on_duplicate == "last"
+                else require_unique(incoming, key))
     if current is None:
         return incoming.select(key, payload, _ts(now).alias(ts))
     guard_union_partitioning(incoming.sparkSession)
@@ -77,21 +92,6 @@ def upsert_changed(current: DataFrame | None, incoming: DataFrame, now, key: str
     return kept.unionByName(fresh)
 
 
-def upsert_actions(current: DataFrame, incoming: DataFrame, key: str = "id",
-                   payload: str = "payload") -> DataFrame:
-    """Per incoming key: ``insert``, ``update`` or ``unchanged``."""
-    c = current.select(F.col(key), F.col(payload).alias("_p"))
-    i = incoming.select(F.col(key), F.col(payload).alias("_np"))
-    j = i.join(c, key, "left")
-    return j.select(
-        key,
-        F.when(F.col("_p").isNull(), "insert")
-        .when(F.col("_p") != F.col("_np"), "update")
-        .otherwise("unchanged")
-        .alias("action"),
-    )
-
-
 def upsert_replay(changes: DataFrame, key: str, batch_col: str, payload: str = "payload",
                   batch_ts: str | Column | None = None) -> DataFrame:
     """The table after applying every batch in ``batch_col`` order, in one plan.

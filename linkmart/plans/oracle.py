@@ -401,13 +401,28 @@ FROM (
   FROM lineitem) t
 WHERE rn = 1"""
 
-# users pages: page = days since epoch * 10000 + user_id div 50 (see testbed.DAY_PAGES)
+# users runs are days, a page is user_id div 50: the state is that of the last day
 ORACLE_SQL["stream_state_users"] = """
 WITH ud AS (SELECT DISTINCT user_id, date_trunc('day', ts) AS day FROM events)
 SELECT 'users' AS source_name, 'completed' AS status,
-       CAST(max(CAST(datediff('day', DATE '1970-01-01', CAST(day AS DATE)) AS BIGINT) * 10000
-                + user_id // 50) AS INTEGER) AS last_completed_page,
+       CAST(max(user_id // 50) AS INTEGER) AS last_completed_page,
        CAST(count(*) AS INTEGER) AS records_loaded, CAST(NULL AS VARCHAR) AS error_message
-FROM ud"""
+FROM ud WHERE day = (SELECT max(day) FROM ud)"""
+
+ORACLE_SQL["stream_reextract_customers"] = f"""
+SELECT CAST({CK} AS VARCHAR) AS customer_id,
+       CASE WHEN {CK} % 3 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS segment,
+       CASE WHEN {CK} % 3 = 0 AND lower(c_mktsegment) <> c_mktsegment THEN {TS2} ELSE {TS1} END AS extracted_at
+FROM customer WHERE NOT ({CORRUPT}) AND NOT ({C_BAD})"""
+
+ORACLE_SQL["stream_reextract_quarantine"] = f"""
+WITH {PAGE_ROWS},
+one AS (
+  SELECT reason, count(*) AS n FROM pr WHERE reason IS NOT NULL GROUP BY reason
+  UNION ALL
+  SELECT 'malformed_page', count(DISTINCT {PAGE}) FROM customer WHERE {CORRUPT} HAVING count(*) > 0
+)
+SELECT t AS extracted_at, reason, CAST(n AS BIGINT) AS n_rows, CAST(n AS BIGINT) AS n_ids
+FROM one, (SELECT {TS1} AS t UNION ALL SELECT {TS2}) r"""
 
 ORACLE_SQL["upsert_sequence_users"] = USER_FINAL

@@ -72,8 +72,8 @@ def _parallel(fn, items, workers: int = 4) -> list:
 
 
 def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
-                        now, snapshots: bool = True,
-                        keep_versions: int | None = None) -> tuple[dict, dict]:
+                        now, snapshots: bool = True, keep_versions: int | None = None,
+                        on_duplicate: str = "error") -> tuple[dict, dict]:
     """The raw and snapshot layers of one run: upsert each entity's batch into its
     versioned raw table, then merge the raw table into its snapshot store. Both are
     committed and read back (``snapshots=False`` stops after the raw layer). Entities
@@ -85,10 +85,11 @@ def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, o
         table = VersionedTable(spark, f"{out}/raw/{spec.name}")
         current = table.current()
         if spec.name in incoming:
-            batch = incoming[spec.name].select("id", "payload")
-            if "_order" in incoming[spec.name].columns:
-                batch = latest_per_key(incoming[spec.name], "id", ["_order"]).select("id", "payload")
-            current = _commit_and_read(table, upsert_changed(current, batch, now))
+            batch = incoming[spec.name].withColumn("id", F.trim("id"))
+            if "_order" in batch.columns:
+                batch = latest_per_key(batch, "id", ["_order"], "last")
+            current = _commit_and_read(table, upsert_changed(
+                current, batch.select("id", "payload"), now, on_duplicate=on_duplicate))
             if keep_versions:
                 table.vacuum(keep_versions)
         if current is None or not snapshots:
@@ -110,15 +111,16 @@ def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, o
 
 
 def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str, now,
-            quarantine: DataFrame | None = None,
-            keep_versions: int | None = None) -> dict[str, DataFrame]:
+            quarantine: DataFrame | None = None, keep_versions: int | None = None,
+            on_duplicate: str = "error") -> dict[str, DataFrame]:
     """One run at ``now``. ``incoming`` maps entity name -> records ``(id, payload)``
-    (one batch; the latest row per id wins; with an ``_order`` column the greatest
-    order wins). ``keep_versions`` keeps only that many raw / current-slice versions.
+    (one batch; ids are trimmed; with an ``_order`` column the row of the greatest order
+    wins, else an id twice raises, or with ``on_duplicate="last"`` the greatest payload
+    wins). ``keep_versions`` keeps only that many raw / current-slice versions.
     Returns the written tables, read back."""
     out = out_dir.rstrip("/")
     raw, snaps = ingest_and_snapshot(spark, catalog, incoming, out, now,
-                                     keep_versions=keep_versions)
+                                     keep_versions=keep_versions, on_duplicate=on_duplicate)
     models = build_models(catalog, raw, snaps)
     written: dict[str, DataFrame] = {}
     dims = _parallel(lambda kv: (kv[0], _write(kv[1], f"{out}/marts/dim_{kv[0]}")),

@@ -240,7 +240,7 @@ def land_customer_pages(spark, sf_dir) -> str:
         if fs.exists(p):
             return out
     out = scratch_dir(spark, "customer-pages")
-    land_pages(tb.customer_page_records(spark, sf_dir), out, corrupt=tb.corrupt_page())
+    land_pages(tb.customer_page_records(spark, sf_dir), out, body=tb.corrupt_page())
     _LANDED[key] = out
     return out
 
@@ -257,7 +257,7 @@ def read_pages_rows(spark, sf_dir):
 
 def malformed_pages_q(spark, sf_dir):
     pages, _ = _labelled_pages(spark, sf_dir)
-    return malformed_pages(pages)
+    return malformed_pages(pages).drop("run")
 
 
 def split_records_counts(spark, sf_dir):
@@ -276,7 +276,7 @@ def quarantine_rows(spark, sf_dir):
 
 def _run_state(spark, sf_dir):
     pages, labelled = _labelled_pages(spark, sf_dir)
-    return state_after_run(load_metrics(labelled), tb.T1, tb.T2, malformed_pages(pages))
+    return state_after_run(load_metrics(labelled), tb.T1, tb.T2, malformed_pages(pages).drop("run"))
 
 
 def state_after_run_q(spark, sf_dir):
@@ -345,9 +345,10 @@ def upsert_sequence_users(spark, sf_dir):
     """Cross-page order in one batch: every users page record applied to an empty raw
     table in (page, pos) order, each with its page's load time (``upsert_sequence``)."""
     recs = tb.user_page_records(spark, sf_dir).select(
-        "id", F.col("json").alias("payload"), "page", "pos", tb.user_page_time().alias("now"))
+        "id", F.col("json").alias("payload"), F.unix_date(F.to_date("run")).alias("run"), "page", "pos",
+        tb.user_page_time().alias("now"))
     empty = spark.createDataFrame([], "id string, payload string, extracted_at timestamp")
-    raw = upsert_sequence(empty, recs, ["page", "pos"], "now")
+    raw = upsert_sequence(empty, recs, ["run", "page", "pos"], "now")
     v = as_variant(F.col("payload"))
     return raw.select(F.col("id").alias("user_id"), json_text(v, "event_type").alias("event_type"),
                       json_value(v, "props").alias("props"), "extracted_at")
@@ -364,7 +365,7 @@ def lineitem_latest_per_key(spark, sf_dir):
         "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_returnflag", "l_linestatus")
     order = [c for c in keyed.columns if c != "line_id"]
-    return latest_per_key(keyed, "line_id", order)
+    return latest_per_key(keyed, "line_id", order, "last")
 
 
 _STREAMS: dict = {}
@@ -385,7 +386,7 @@ def _user_stream(spark, sf_dir) -> str:
             return hit
     pages_dir = scratch_dir(spark, "user-pages")
     out = scratch_dir(spark, "user-stream")
-    land_pages(tb.user_page_records(spark, sf_dir), pages_dir)
+    land_pages(tb.user_page_records(spark, sf_dir), pages_dir, run="run")
     ingest_stream(spark, pages_dir, out, f"{out}/_checkpoint", now=tb.user_page_time(),
                   files_per_trigger=256)
     _STREAMS[key] = out
@@ -411,6 +412,43 @@ def stream_upsert(spark, sf_dir):
                       json_value(v, "props").alias("props"), "extracted_at")
 
 
+def _customer_stream(spark, sf_dir) -> str:
+    """Customers landed by two extractions of the same pages (broken records and pages
+    included) and ingested by the file stream; returns the stream's output folder."""
+    from linkmart.sources.tables import _fs
+
+    key = ("customers", spark.sparkContext.applicationId, sf_dir.rstrip("/"),
+           spark.conf.get("spark.sql.session.timeZone"))
+    hit = _STREAMS.get(key)
+    if hit is not None:
+        fs, p = _fs(spark, f"{hit}/state_log")
+        if fs.exists(p):
+            return hit
+    pages_dir, out = scratch_dir(spark, "customer-runs"), scratch_dir(spark, "customer-stream")
+    land_pages(tb.customer_runs(spark, sf_dir), pages_dir, run="run", body=tb.corrupt_page())
+    now = F.when(F.col("run") == "1", F.lit(tb.T1)).otherwise(F.lit(tb.T2)).cast("timestamp")
+    ingest_stream(spark, pages_dir, out, f"{out}/_checkpoint", now=now, files_per_trigger=256,
+                  on_malformed="quarantine")
+    _STREAMS[key] = out
+    return out
+
+
+def stream_reextract_customers(spark, sf_dir):
+    """The keyed raw table after two extractions of the same pages: changed records carry
+    the second run's payload and time, the rest keep the first's."""
+    raw = raw_table(spark, _customer_stream(spark, sf_dir), "customers")
+    v = as_variant(F.col("payload"))
+    return raw.select(F.col("id").alias("customer_id"), json_text(v, "segment").alias("segment"), "extracted_at")
+
+
+def stream_reextract_quarantine(spark, sf_dir):
+    """Quarantined rows over both extractions, by load time and reason."""
+    from linkmart.streaming.ingest import quarantine_table
+
+    q = quarantine_table(spark, _customer_stream(spark, sf_dir))
+    return q.groupBy("extracted_at", "reason").agg(F.count("*").alias("n_rows"), F.count_distinct("raw_id").alias("n_ids"))
+
+
 # ---- dead letters and checks ----------------------------------------------------------
 
 def dead_letter_fields_orders(spark, sf_dir):
@@ -548,4 +586,6 @@ QUERIES = {
     "lineitem_latest_per_key": lineitem_latest_per_key,
     "upsert_sequence_users": upsert_sequence_users,
     "stream_state_users": stream_state_users,
+    "stream_reextract_customers": stream_reextract_customers,
+    "stream_reextract_quarantine": stream_reextract_quarantine,
 }

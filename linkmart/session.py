@@ -46,6 +46,8 @@ def checkpoint_base(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="linkmart-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
@@ -58,10 +60,8 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def guard_union_partitioning(spark: SparkSession) -> None:
-    """Apply the union output-partitioning workaround (see DEFAULT_CONF) to a session
-    the library did not create, e.g. the caller's."""
-    try:
-        if spark.conf.get("spark.sql.unionOutputPartitioning", "true") != "false":
-            spark.conf.set("spark.sql.unionOutputPartitioning", "false")
-    except Exception:  # noqa: BLE001 - older Spark without the setting
-        pass
+    """Apply the union output-partitioning workaround (see DEFAULT_CONF) to a session the
+    library did not create. The setting stays for the session: plans are made lazily,
+    after this returns."""
+    if spark.conf.get("spark.sql.unionOutputPartitioning", "true") != "false":
+        spark.conf.set("spark.sql.unionOutputPartitioning", "false")

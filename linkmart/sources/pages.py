@@ -1,9 +1,11 @@
 """Paged JSON sources.
 
 A page is one JSON document ``{"data": [record, ...], ...}`` with up to ``PAGE_SIZE``
-records, landed as ``<root>/source=<name>/page=<n>/<file>``. Partition discovery turns
-the folder names into ``source`` and ``page`` columns; the body is read as VARIANT so
-strings, numbers, nulls and arrays stay distinguishable.
+records, landed as ``<root>/source=<name>[/run=<id>]/page=<n>/<file>``. Files are read
+whole; source, run and page come from the path; the body is a VARIANT so strings, numbers,
+nulls and arrays stay distinguishable. A run is one extraction of a source: its pages are
+applied after those of runs with smaller ids (as text); pages without a run folder are
+one run, in which a page landed again comes after its earlier landing.
 """
 
 from __future__ import annotations
@@ -11,65 +13,127 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkmart.functions.json_ops import json_kind
+
 # Records per page; pages end at the first empty or short page.
 PAGE_SIZE = 50
 
 
 def land_pages(records: DataFrame, out_dir: str, source: str = "source", page: str = "page",
-               pos: str = "pos", json: str = "json", corrupt: Column | None = None,
-               mode: str = "overwrite") -> None:
-    """Write one JSON page file per (source, page) from one-record-per-row input.
+               pos: str = "pos", json: str = "json", run: str | None = None,
+               body: Column | None = None, mode: str = "overwrite") -> None:
+    """Write one JSON page file per (source[, run], page) from one-record-per-row input.
 
     Pages are bounded groups (``pos < PAGE_SIZE``), so gathering a page's records is a
     bounded ``collect_list``; ``sort_array`` on (pos, json) fixes the record order.
-    ``corrupt`` (a boolean Column over source/page) truncates those pages to test the
-    malformed-page path. ``mode="append"`` lands more pages next to earlier ones."""
-    grouped = records.groupBy(F.col(source).alias("source"), F.col(page).alias("page")).agg(
+    ``body`` (over source/page and the page's text ``_b``) replaces what is written.
+    ``mode="append"`` lands more pages next to earlier ones."""
+    keys = ["source", *(["run"] if run else []), "page"]
+    columns = dict(zip(keys, [source, *([run] if run else []), page]))
+    grouped = records.groupBy(*[F.col(c).alias(k) for k, c in columns.items()]).agg(
         F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(json).alias("j"))))
         .alias("_r"))
     grouped = grouped.withColumn("_b", F.concat(
         F.lit('{"data":['), F.array_join(F.transform("_r", lambda x: x["j"]), ","), F.lit("]}")))
-    body = F.col("_b")
-    if corrupt is not None:
-        body = F.when(corrupt, F.expr("substring(_b, 1, length(_b) - 3)")).otherwise(body)
-    (grouped.select("source", "page", body.alias("value"))
-     .write.mode(mode).partitionBy("source", "page").text(out_dir))
+    (grouped.select(*keys, (F.col("_b") if body is None else body).alias("value"))
+     .write.mode(mode).partitionBy(*keys).text(out_dir))
 
 
-def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """``body VARIANT, source, page``; an unparseable file gives a NULL body."""
-    return (
-        spark.read.option("singleVariantColumn", "body").option("multiLine", multi_line)
-        .json(path)
-    )
+def _place(name: str) -> Column:
+    """The value of folder ``name=<value>`` in the file's path, NULL if there is none."""
+    found = F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
+    return F.when(found != "", F.coalesce(F.try_url_decode(F.try_url_decode(found)), found))
+
+
+def _located(files: DataFrame) -> DataFrame:
+    """``body VARIANT, text, source, run, page, file, modified`` of whole files.
+
+    A page that is not one JSON object, and one whose ``data`` is neither an array nor
+    missing, has a NULL body. Source and run are text (``007`` stays ``007``)."""
+    text = F.try_validate_utf8(F.col("content").cast("string"))
+    v = F.try_parse_json(text)
+    data = json_kind(F.try_variant_get(v, "$.data", "variant"))
+    usable = (json_kind(v) == "object") & (data.isNull() | data.isin("array", "null"))
+    return files.select(
+        F.when(usable, v).alias("body"), text.alias("text"), _place("source").alias("source"),
+        F.coalesce(_place("run"), F.lit("")).alias("run"), _place("page").cast("int").alias("page"),
+        F.col("path").alias("file"), F.col("modificationTime").alias("modified"))
+
+
+_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """Zero-byte page files under ``path``, in the columns of a binary file scan. Spark's
+    scans leave such files out, so they are taken from the listing (on the driver, as the
+    scan's own listing; a file stream does not see them)."""
+    jvm = spark.sparkContext._jvm
+    found = []
+    for pattern in ("source=*/page=*/*", "source=*/run=*/page=*/*", "page=*/*", "run=*/page=*/*"):
+        glob = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{pattern}")
+        fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for st in fs.globStatus(glob) or []:
+            if st.isFile() and st.getLen() == 0 and st.getPath().getName()[:1] not in "_.":
+                found.append((st.getPath().toString(), st.getModificationTime()))
+    rows = spark.createDataFrame(found, "path string, ms bigint")
+    return rows.select("path", F.timestamp_millis("ms").alias("modificationTime"),
+                       F.lit(0).cast("long").alias("length"), F.lit("").cast("binary").alias("content"))
 
 
-def read_pages_stream(spark: SparkSession, path: str, multi_line: bool = False,
-                      files_per_trigger: int = 1) -> DataFrame:
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed pages, one row per file (see ``_located``), however their JSON is laid out."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return _located(files.unionByName(empty_files(spark, path)))
+
+
+def read_pages_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
     """Same columns as ``read_pages`` as a file stream; one page per micro-batch by
-    default. File order is not page order: ``page`` travels as a column."""
-    return (
-        spark.readStream.format("json").option("singleVariantColumn", "body")
-        .option("multiLine", multi_line).option("maxFilesPerTrigger", files_per_trigger)
-        .load(path)
-    )
+    default. File order is not page order: ``run`` and ``page`` travel as columns."""
+    return _located(
+        spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", files_per_trigger).load(path))
+
+
+def _page_records(text: Column) -> Column:
+    """Texts of the elements of ``data`` in a page that does not parse as a whole."""
+    return F.from_json(text, "data array<string>")["data"]
+
+
+def _closed(text: Column) -> Column:
+    """Whether a text is an object by its first and last character: one that fails to
+    parse then fails inside (a record with a duplicate key), else it is cut off."""
+    return text.rlike(r"^\s*\{") & text.rlike(r"\}\s*$") & _page_records(text).isNotNull()
+
+
+def load_id(rows: DataFrame) -> Column:
+    """Names the landing a row came from: the same for a replay, another for each landing."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("run", "file", "modified") if c in rows.columns]
+    return F.concat_ws("|", *parts) if parts else F.lit("")
 
 
 def explode_records(pages: DataFrame) -> DataFrame:
-    """One row per element of ``data``: ``source_name, page, pos, value VARIANT``.
-    A missing or JSON-null ``data`` is an empty page; malformed pages (NULL body) give
-    no rows here — see ``malformed_pages``. (``posexplode_outer`` + ``pos IS NOT NULL``:
-    the same rows as ``posexplode`` without an inferred pre-filter re-reading ``data``.)"""
+    """One row per element of ``data``: ``source_name, run, page, file, modified, pos, value
+    VARIANT, text``. A missing or JSON-null ``data`` is an empty page; malformed pages give
+    no rows here (see ``malformed_pages``). In a whole page in which single records do not
+    parse, the others do, and those have a NULL value and their ``text``.
+    (``posexplode_outer`` + ``pos IS NOT NULL``: the same rows as ``posexplode`` without an
+    inferred pre-filter re-reading ``data``.)"""
     data = F.try_variant_get(F.col("body"), "$.data", "array<variant>")
+    parts = F.when(F.col("body").isNull() & _closed(F.col("text")), F.transform(
+        _page_records(F.col("text")), lambda x: F.struct(F.try_parse_json(x).alias("value"), x.alias("text"))))
+    whole = F.transform(data, lambda x: F.struct(x.alias("value"), F.lit(None).cast("string").alias("text")))
     return (
-        pages.select(F.col("source").alias("source_name"), "page",
-                     F.posexplode_outer(data).alias("pos", "value"))
+        pages.select(F.col("source").alias("source_name"), "run", "page", "file", "modified",
+                     F.posexplode_outer(F.coalesce(whole, parts)).alias("pos", "_r"))
         .where(F.col("pos").isNotNull())
+        .select("source_name", "run", "page", "file", "modified", "pos", "_r.value", "_r.text")
     )
 
 
 def malformed_pages(pages: DataFrame) -> DataFrame:
-    return pages.where(F.col("body").isNull()).select(F.col("source").alias("source_name"), "page")
+    """Pages that are cut off, empty, no JSON object, or whose ``data`` is no array."""
+    bad = F.col("body").isNull() & ~F.coalesce(_closed(F.col("text")) & F.try_parse_json("text").isNull(), F.lit(False))
+    return pages.where(bad).select(F.col("source").alias("source_name"), "run", "page")
 
 
 def page_report(pages: DataFrame) -> DataFrame:
@@ -98,7 +162,7 @@ def ingest_pages(pages: DataFrame, now, on_malformed: str = "fail",
                  on_duplicate: str = "last") -> tuple[dict, DataFrame]:
     """Batch ingestion of landed pages: ``({source: incoming records}, quarantine)``.
 
-    Incoming records are ``(id, payload, _order)`` with ``_order = (page, pos)``, so the
+    Incoming records are ``(id, payload, _order)`` with ``_order = (run, page, pos)``, so the
     refresh job keeps the latest record per id (``latest_per_key``, a partial aggregate).
     Malformed pages raise (``on_malformed="fail"``) or become ``malformed_page``
     quarantine rows (``"quarantine"``). ``on_duplicate="error"`` raises when one page
@@ -118,20 +182,21 @@ def ingest_pages(pages: DataFrame, now, on_malformed: str = "fail",
     if on_duplicate == "error":
         from linkmart.operators.upsert import DuplicateKeyError
 
-        dup = (good.groupBy("source_name", "page", "id").count()
+        dup = (good.groupBy("source_name", "run", "page", "file", "id").count()
                .where(F.col("count") > 1).first())
         if dup is not None:
             raise DuplicateKeyError(
                 f"id {dup['id']!r} twice on page {dup['page']} of {dup['source_name']}")
     if on_malformed == "quarantine":
         bad = bad.unionByName(bad_pages.select(
-            "source_name", "page", F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("id"),
-            F.lit(None).cast("string").alias("payload"), F.lit("malformed_page").alias("reason")))
-    sources = [r[0] for r in labelled.select("source_name").distinct().collect()]
+            "source_name", "run", "page", F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("id"),
+            F.lit(None).cast("string").alias("payload"), F.lit("malformed_page").alias("reason")),
+            allowMissingColumns=True)
+    sources = [r[0] for r in pages.select("source").distinct().collect()]  # one per folder
     incoming = {
         s: good.where(F.col("source_name") == s).select(
-            "id", "payload", F.struct(F.col("page").cast("long").alias("page"),
-                                      F.col("pos").cast("long").alias("pos")).alias("_order"))
+            "id", "payload", F.struct("run", F.col("page").cast("long").alias("page"),
+                                      "modified", F.col("pos").cast("long").alias("pos")).alias("_order"))
         for s in sources
     }
-    return incoming, quarantine(bad, now)
+    return incoming, quarantine(bad, now, load_id(bad))

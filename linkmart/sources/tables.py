@@ -9,6 +9,8 @@ succeeded). A failed or lost job leaves the previous version as the current one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 
 def _fs(spark: SparkSession, path: str):
@@ -41,10 +43,15 @@ class VersionedTable:
         vs = self.versions()
         return self.spark.read.parquet(self.path(vs[-1])) if vs else None
 
-    def commit(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
+    def next_version(self) -> int:
         vs = self.versions()
-        n = (vs[-1] + 1) if vs else 1
-        w = df.write.mode("errorifexists")
+        return (vs[-1] + 1) if vs else 1
+
+    def commit(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
+        """Write the next version. A folder of that number that a failed job left behind is
+        not a version (it has no ``_SUCCESS``), and is replaced."""
+        n = self.next_version()
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(n))
@@ -69,13 +76,6 @@ class VersionedTable:
         return sorted(removed)
 
 
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     fs, p = _fs(spark, path)
     if fs.exists(p):
@@ -83,28 +83,18 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that arrives in fewer partitions than the cluster can run at once
-    (e.g. one small file holding a single row group), so the CPU-heavy steps after it
-    (JSON building and parsing) use every core. A large input already has at least that
-    many partitions and is returned unchanged, without a shuffle."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
 class SnapshotStore:
     """Type-2 history stored as two tables so a run never rewrites old versions:
 
-      <base>/history/closed_on=<date>   closed versions, append-only, partitioned by the
-                                        day they were closed
-      <base>/current/v=N                the current slice (one row per entity), versioned
+      <base>/history/slice_v=N/closed_on=<date>   the versions closed by the run that committed
+                                            slice N, partitioned by the day they closed
+      <base>/current/v=N                    the current slice (one row per entity)
 
-    A run reads only the current slice, appends the versions it closed and commits the
-    next slice. Re-running a run after a failure between the two writes appends nothing
-    twice: new history rows are anti-joined on ``scd_id`` against that day's partition
-    only (partition pruning), and the slice is recomputed from the last committed one."""
+    A run reads only the current slice, writes the versions it closed under the number of
+    the slice it is about to commit, then commits the slice. Readers ignore history above
+    the committed slice, so a run that fails between the two writes leaves nothing behind,
+    and its retry, at whatever time, replaces what it wrote. Versions that the same day
+    has already closed are not closed twice."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
@@ -115,13 +105,14 @@ class SnapshotStore:
         return self.current_table.current()
 
     def _history(self, like: DataFrame) -> DataFrame | None:
-        from pyspark.sql.types import DateType, StructField, StructType
-
+        """Committed history with ``closed_on``."""
         fs, p = _fs(self.spark, f"{self.base}/history")
         if not fs.exists(p):
             return None
-        schema = StructType(like.schema.fields + [StructField("closed_on", DateType())])
-        return self.spark.read.schema(schema).parquet(f"{self.base}/history")
+        schema = StructType(like.schema.fields + [
+            StructField("slice_v", IntegerType()), StructField("closed_on", DateType())])
+        rows = self.spark.read.schema(schema).parquet(f"{self.base}/history")
+        return rows.where(F.col("slice_v") < self.current_table.next_version()).drop("slice_v")
 
     def history(self) -> DataFrame | None:
         cur = self.current()
@@ -136,18 +127,16 @@ class SnapshotStore:
         return cur if hist is None else hist.drop("closed_on").unionByName(cur)
 
     def commit(self, closed: DataFrame, current_next: DataFrame, now) -> DataFrame:
-        from pyspark.sql import functions as F
-
         from linkmart.operators.records import _ts
 
+        n = self.current_table.next_version()
         day = F.to_date(_ts(now))
-        hist_path = f"{self.base}/history"
-        fs, p = _fs(self.spark, hist_path)
         fresh = closed.withColumn("closed_on", day)
-        if fs.exists(p):
-            seen = (self._history(closed.drop("closed_on")).where(F.col("closed_on") == day)
-                    .select("scd_id"))
+        seen = self._history(closed)
+        if seen is not None:
+            seen = seen.where(F.col("closed_on") == day).select("scd_id")
             fresh = fresh.join(seen, "scd_id", "left_anti").select(*closed.columns, "closed_on")
-        fresh.write.mode("append").partitionBy("closed_on").parquet(hist_path)
-        n = self.current_table.commit(current_next)
+        (fresh.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("closed_on").parquet(f"{self.base}/history/slice_v={n}"))
+        assert self.current_table.commit(current_next) == n
         return self.spark.read.parquet(self.current_table.path(n))

@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmart.sources.pages import PAGE_SIZE
-from linkmart.sources.tables import spread
 
 # Fixed values used by both the Spark side and the oracle SQL.
 BASE_URL = "https://api.example.test/v1"
@@ -31,9 +30,8 @@ T2 = "2024-02-02 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over the cluster's cores when it arrives as fewer
-    partitions (the generated files hold one row group each)."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A driver table. ``spark.sql.files.maxPartitionBytes`` sets the size of its splits."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def url(entity: str, key) -> Column:
@@ -152,13 +150,15 @@ def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_page_records(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
     """Customers as API records for landing: page = c_custkey div 50, pos = c_custkey % 50.
     Record faults: k%97=0 a JSON string (not_a_dict); k%89=0 no id; k%83=0 id 0 (falsy)."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    good = _payload(id=_var(k.cast("string")), name=_var(F.col("c_name")),
-                    segment=_var(F.col("c_mktsegment")))
+    seg = F.col("c_mktsegment")
+    if batch == 2:
+        seg = F.when(_mod(k, 3), F.lower(seg)).otherwise(seg)
+    good = _payload(id=_var(k.cast("string")), name=_var(F.col("c_name")), segment=_var(seg))
     json = (
         F.when(_mod(k, 97), F.concat(F.lit('"broken-'), k.cast("string"), F.lit('"')))
         .when(_mod(k, 89), _payload(name=_var(F.col("c_name"))))
@@ -174,22 +174,19 @@ def customer_page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corrupt_page() -> Column:
-    """Pages landed truncated (malformed JSON): page % 9 = 4."""
-    return (F.col("page") % 9) == 4
-
-
-# Page numbers of the users change log: day (days since epoch) * DAY_PAGES + user_id div 50,
-# so page order is day order and each page holds at most PAGE_SIZE records.
-DAY_PAGES = 10000
+    """Page text in which pages with page % 9 = 4 are cut off (malformed JSON)."""
+    return F.when((F.col("page") % 9) == 4, F.expr("substring(_b, 1, length(_b) - 3)")).otherwise(F.col("_b"))
 
 
 def user_page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users change log as daily extractions: run = day, page = user_id div 50, so every
+    run lands the same pages again with what changed; a page holds at most PAGE_SIZE records."""
     ch = user_changes(spark, sf_dir)
     uid = F.col("id").cast("long")
     return ch.select(
         F.lit("users").alias("source"),
-        (F.unix_date(F.to_date("day")) * DAY_PAGES + (uid / PAGE_SIZE).cast("long")).cast("long")
-        .alias("page"),
+        F.date_format("day", "yyyy-MM-dd").alias("run"),
+        (uid / PAGE_SIZE).cast("long").alias("page"),
         (uid % PAGE_SIZE).cast("int").alias("pos"),
         F.col("payload").alias("json"),
         "id",
@@ -197,6 +194,14 @@ def user_page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_page_time() -> Column:
-    """Load time of a users page: the start of its day, in the session time zone (the
+    """Load time of a users page: the start of its run's day, in the session time zone (the
     same wall-clock midnight ``date_trunc('day', ...)`` gives)."""
-    return F.date_from_unix_date((F.col("page") / DAY_PAGES).cast("int")).cast("timestamp")
+    return F.to_date("run").cast("timestamp")
+
+
+def customer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers extracted twice (runs 1 and 2): the second time lower(segment) where
+    c_custkey%3=0; the same broken records both times."""
+    first = customer_page_records(spark, sf_dir).withColumn("run", F.lit("1"))
+    again = customer_page_records(spark, sf_dir, batch=2).withColumn("run", F.lit("2"))
+    return first.unionByName(again)

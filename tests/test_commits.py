@@ -1,0 +1,71 @@
+"""Commits survive failed jobs, and histories survive repeated input."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from linkmart.operators.snapshots import scd2_step
+from linkmart.operators.upsert import DuplicateKeyError, upsert_changed
+from linkmart.plans.catalog import WAREHOUSE
+from linkmart.plans.refresh import ingest_and_snapshot
+from linkmart.sources.tables import SnapshotStore, VersionedTable
+
+
+def _failing(df):
+    return df.withColumn("v", F.when(F.col("id") == "1", F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+
+
+def test_a_failed_write_does_not_block_the_table(spark, scratch):
+    t = VersionedTable(spark, scratch("t"))
+    df = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, v string")
+    t.commit(df)
+    with pytest.raises(Exception, match="lost"):
+        t.commit(_failing(df))
+    assert t.versions() == [1]
+    assert t.commit(df) == 2 and t.current().count() == 2
+
+
+@pytest.mark.parametrize("retry", [dt.datetime(2024, 1, 2, 5), dt.datetime(2024, 1, 3)])
+def test_a_crash_between_history_and_slice_leaves_one_history(spark, scratch, retry):
+    src = lambda *rows: spark.createDataFrame(rows, "id string, v string")
+    store = SnapshotStore(spark, scratch("s"))
+    store.commit(*scd2_step(None, src(("1", "a"), ("2", "x")), dt.datetime(2024, 1, 1)), dt.datetime(2024, 1, 1))
+    now = dt.datetime(2024, 1, 2)
+    closed, nxt = scd2_step(store.current(), src(("1", "b"), ("2", "x")), now)
+    with pytest.raises(Exception, match="lost"):
+        store.commit(closed, _failing(nxt), now)
+    assert store.history().count() == 0 and store.snapshot().count() == 2
+    closed, nxt = scd2_step(store.current(), src(("1", "b"), ("2", "x")), retry)
+    store.commit(closed, nxt, retry)
+    one = sorted((r["v"], r["valid_from"], r["valid_to"]) for r in store.snapshot().where("id = '1'").collect())
+    assert one == [("a", dt.datetime(2024, 1, 1), retry), ("b", retry, None)]
+
+
+def test_duplicates_raise_or_take_one(spark):
+    df = spark.createDataFrame([("a", '{"n":1}'), ("a", '{"n":2}')], "id string, payload string")
+    with pytest.raises(DuplicateKeyError):
+        upsert_changed(None, df, "2024-01-01")
+    got = upsert_changed(None, df, "2024-01-01", on_duplicate="last").collect()
+    assert [(r["id"], r["payload"]) for r in got] == [("a", '{"n":2}')]
+    with pytest.raises(DuplicateKeyError):
+        scd2_step(None, df, "2024-01-01")
+
+
+def test_json_values_are_compared_not_their_text(spark):
+    first = upsert_changed(None, spark.createDataFrame([("a", '{ "n": 1, "id": "a"}'), ("b", "not json")], "id string, payload string"), "2024-01-01")
+    nxt = upsert_changed(first, spark.createDataFrame([("a", '{"id":"a",  "n":1}'), ("b", "not json")], "id string, payload string"), "2024-01-02")
+    rows = {r["id"]: (r["payload"], str(r["extracted_at"])[:10]) for r in nxt.collect()}
+    assert rows == {"a": ('{"id":"a","n":1}', "2024-01-01"), "b": ("not json", "2024-01-01")}
+
+
+def test_identical_runs_with_duplicates_and_untrimmed_ids_leave_one_version(spark, scratch):
+    rows = [("a", '{"id":"a","name":"x"}'), ("a ", '{"id":"a ","name":"x"}'), ("b", '{"id":"b","name":"y"}')]
+    batch = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "id string, payload string, _order int")
+    out, counts = scratch("w"), []
+    for day in (1, 2, 3):
+        _, snaps = ingest_and_snapshot(spark, WAREHOUSE, {"staff": batch}, out, dt.datetime(2024, 1, day))
+        counts.append(snaps["staff"].count())
+    assert counts == [2, 2, 2]
+    with pytest.raises(DuplicateKeyError):
+        ingest_and_snapshot(spark, WAREHOUSE, {"staff": batch.drop("_order")}, scratch("w"), dt.datetime(2024, 1, 1))

@@ -51,7 +51,7 @@ def test_pages_edge_cases(spark, scratch):
     recs = explode_records(pages)
     assert recs.where("source_name = 'a'").count() == 52
     assert recs.where("source_name != 'a'").count() == 0
-    assert [tuple(r) for r in malformed_pages(pages).collect()] == [("c", 0)]
+    assert [tuple(r) for r in malformed_pages(pages).select("source_name", "page").collect()] == [("c", 0)]
     m = {(r["source_name"], r["page"]): (r["loaded"], r["quarantined"], r["loaded_total"])
          for r in load_metrics(label_records(recs)).collect()}
     assert m == {("a", 0): (50, 0, 50), ("a", 1): (1, 1, 51)}
@@ -107,5 +107,5 @@ def test_ingest_pages_duplicate_policy(spark, scratch):
     incoming, _ = ingest_pages(pages, "2024-01-01")
     from linkmart.operators.upsert import latest_per_key
 
-    last = latest_per_key(incoming["s"], "id", ["_order"]).first()
+    last = latest_per_key(incoming["s"], "id", ["_order"], "last").first()
     assert last["payload"] == '{"id":"1","v":3}'

@@ -133,3 +133,43 @@ def test_stream_quarantines_malformed_pages(spark, scratch):
     reasons = sorted(r["reason"] for r in spark.read.parquet(f"{out}/quarantine").collect())
     assert reasons == ["malformed_page", "not_a_dict"]
     assert stream_state(spark, out).first()["status"] == "completed"
+
+
+def test_reextraction_applies_every_load(spark, scratch):
+    """The same pages landed day after day, without and with a run folder: every load
+    counts, in its order, and each bad record is kept per load."""
+    for with_run in (False, True):
+        src, out = scratch("in"), scratch("out")
+        for day, v in enumerate("abca"):
+            folder = os.path.join(src, "source=things", *([f"run=2024-01-0{day + 1}"] if with_run else []), "page=0")
+            os.makedirs(folder, exist_ok=True)
+            path = os.path.join(folder, f"p{day}.json")
+            with open(path, "w") as f:
+                f.write(json.dumps({"data": [{"id": "1", "v": v}, {"id": "2", "v": "same"}, "junk"]}))
+            t = 1_700_000_000 + 86400 * day
+            os.utime(path, (t, t))
+            ingest_stream(spark, src, out, f"{out}/_ck",
+                          now=F.date_trunc("day", F.col("modified")).cast("timestamp"))
+        raw = {r["id"]: r for r in raw_table(spark, out, "things").collect()}
+        assert raw["1"]["payload"] == '{"id":"1","v":"a"}' and str(raw["1"]["extracted_at"])[:10] == "2023-11-17"
+        assert str(raw["2"]["extracted_at"])[:10] == "2023-11-14"
+        assert spark.read.parquet(f"{out}/quarantine").count() == 4
+        st = stream_state(spark, out).first()
+        assert st["records_loaded"] == (2 if with_run else 8) and st["status"] == "completed"
+
+
+def test_a_malformed_page_fails_its_own_source(spark, scratch):
+    import pytest
+
+    src, out = scratch("in"), scratch("out")
+    _land(src, 0, PAGES[0])
+    ingest_stream(spark, src, out, f"{out}/_ck", now=_now())
+    bad = os.path.join(src, "source=other", "page=3")
+    os.makedirs(bad, exist_ok=True)
+    with open(os.path.join(bad, "p.json"), "w") as f:
+        f.write('{"data": [1')
+    with pytest.raises(Exception):
+        ingest_stream(spark, src, out, f"{out}/_ck", now=_now())
+    st = {r["source_name"]: r for r in stream_state(spark, out).collect()}
+    assert st["other"]["status"] == "failed" and st["other"]["error_message"] == "malformed page 3 of other"
+    assert st["things"]["status"] == "in_progress" and st["things"]["records_loaded"] == 2

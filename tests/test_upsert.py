@@ -47,7 +47,7 @@ def test_duplicate_policy(spark):
                                "id string, payload string, page int, pos int")
     with pytest.raises(DuplicateKeyError):
         latest_per_key(df, "id", ["page", "pos"], on_duplicate="error")
-    got = {r["id"]: r["payload"] for r in latest_per_key(df, "id", ["page", "pos"]).collect()}
+    got = {r["id"]: r["payload"] for r in latest_per_key(df, "id", ["page", "pos"], "last").collect()}
     assert got == {"1": "b", "2": "c"}
 
 
