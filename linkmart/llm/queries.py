@@ -85,9 +85,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = _table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("id"), "url", at.alias("at"), F.col("html").alias("payload"))
     return archive_and_index(spark, captures).select(
-        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to",
-        "urlkey", "position", "capture_no",
-    )
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,4 +111,35 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The others have no SQL form (models, tokenizers, XXH64, look-around patterns); their
+#: tests compare them with brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+),
+x AS (
+  SELECT *, '### ' || regexp_replace(role, '([\\:#<])', '\\\1', 'g') || ': '
+            || regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g') || '</turn>' || chr(10) AS segment
+  FROM t
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(segment)) AS BIGINT) AS formatted_chars
+FROM x GROUP BY conv_id""",
+    "op8_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages
+),
+m AS (
+  SELECT digest, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY digest HAVING count(*) > 1
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN top IS NOT NULL AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN top IS NOT NULL AND page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM p LEFT JOIN m ON p.digest = m.digest""",
+}
