@@ -25,7 +25,7 @@ from linkmart.llm.simhash import simhash_components
 from linkmart.session import scratch_dir
 
 #: The largest share of a text's words that one language must have.
-MIN_SHARE = 0.4
+MIN_SHARE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
