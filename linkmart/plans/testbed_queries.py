@@ -31,7 +31,7 @@ from linkmart.sources import testbed as tb
 from linkmart.sources.pages import (
     explode_records, land_pages, malformed_pages, page_report, read_pages,
 )
-from linkmart.sources.tables import VersionedTable
+from linkmart.sources.tables import SnapshotStore, VersionedTable
 from linkmart.streaming.ingest import ingest_stream, raw_table
 
 ORDERS = TESTBED.entity("orders")
@@ -72,6 +72,14 @@ def two_runs(spark: SparkSession, sf_dir: str, entities=("orders", "customers"),
     return raw, snaps
 
 
+def current_slice(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The committed current slice of ``entity`` after both runs; history is not read."""
+    two_runs(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
+           spark.conf.get("spark.sql.session.timeZone"))
+    return SnapshotStore(spark, f"{_RUNS[key][0]}/snapshots/{entity}").current()
+
+
 def raw_two_batches(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """Raw table of ``entity`` after both batches (see ``two_runs``)."""
     raw, _ = two_runs(spark, sf_dir, (entity,), snapshots=False)
@@ -171,7 +179,7 @@ def dim_orders_all(spark, sf_dir):
 
 
 def dim_orders_current(spark, sf_dir):
-    return dim_orders_all(spark, sf_dir).where(F.col("is_current"))
+    return dimension(current_slice(spark, sf_dir, "orders"), ORDERS)
 
 
 def dim_customers_all(spark, sf_dir):
@@ -181,6 +189,9 @@ def dim_customers_all(spark, sf_dir):
 
 def _order_fact(spark, sf_dir, versions):
     links, d_o, d_c = _order_models(spark, sf_dir)
+    if versions == "current":
+        d_o = dimension(current_slice(spark, sf_dir, "orders"), ORDERS)
+        d_c = dimension(current_slice(spark, sf_dir, "customers"), CUSTOMERS)
     return fact(links, d_o, ORDERS, d_c, CUSTOMERS, ORDERS.link("customers"), versions,
                 ("order_date",), ("segment",))
 

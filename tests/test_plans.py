@@ -24,7 +24,7 @@ def test_no_cartesian_or_python_operators(spark, name):
 
 @pytest.mark.parametrize("name,scans", [
     ("stage_orders", 1), ("unnest_order_customers", 1), ("dead_letter_fields", 1),
-    ("dead_letter_links", 3), ("fact_current", 1),
+    ("dead_letter_links", 2), ("fact_current", 1),
 ])
 def test_one_json_parse_per_raw_scan(spark, name, scans):
     plan = _plan(E.queries()[name](spark, SF))
