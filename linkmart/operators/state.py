@@ -1,5 +1,5 @@
-"""Extraction state per source: partial keyed updates, the resume rule, and the state a
-finished run leaves behind."""
+"""Extraction state per source: partial keyed updates and the resume rule. The state
+itself is written by ``plans/extract.py`` and ``streaming/ingest.py``."""
 
 from __future__ import annotations
 
@@ -60,46 +60,3 @@ def resume_point(state: DataFrame) -> DataFrame:
         F.when(resumable, F.col("records_loaded")).otherwise(F.lit(0)).cast("int")
         .alias("records_loaded"),
     )
-
-
-def state_after_run(metrics: DataFrame, started, ended,
-                    malformed: DataFrame | None = None) -> DataFrame:
-    """The state a sequential page-by-page run leaves behind, per source.
-
-    Pages are taken in order until the first short page (the run completes after it) or
-    the first malformed page (the run fails there, keeping the pages before it).
-    ``metrics`` comes from ``load_metrics``; ``malformed`` lists (source_name, page).
-    Works on per-page rows only, so its size is the number of pages."""
-    from linkmart.operators.records import _ts
-    from linkmart.sources.pages import PAGE_SIZE
-
-    stops = metrics.groupBy("source_name").agg(
-        F.min(F.when(F.col("records") < PAGE_SIZE, F.col("page"))).alias("_short"))
-    if malformed is not None:
-        bad = malformed.groupBy("source_name").agg(F.min("page").alias("_bad"))
-        stops = stops.join(bad, "source_name", "full_outer")
-    else:
-        stops = stops.withColumn("_bad", F.lit(None).cast("int"))
-    fails = F.col("_bad").isNotNull() & (F.col("_short").isNull() | (F.col("_bad") < F.col("_short")))
-    m = metrics.join(stops, "source_name", "right")
-    taken = (
-        F.col("page").isNotNull()
-        & (F.col("_short").isNull() | (F.col("page") <= F.col("_short")))
-        & (F.col("_bad").isNull() | (F.col("page") < F.col("_bad")))
-    )
-    agg = m.groupBy("source_name").agg(
-        F.max(F.when(taken, F.col("page"))).cast("int").alias("last_completed_page"),
-        F.coalesce(F.sum(F.when(taken, F.col("loaded"))), F.lit(0)).cast("int").alias("records_loaded"),
-        F.first(fails).alias("_failed"),
-        F.first("_bad").alias("_bad"),
-    )
-    return agg.select(
-        "source_name",
-        F.when(F.col("_failed"), F.lit(FAILED)).otherwise(F.lit(COMPLETED)).alias("status"),
-        "last_completed_page",
-        _ts(started).alias("run_started_at"),
-        _ts(ended).alias("run_ended_at"),
-        F.when(F.col("_failed"), F.concat(F.lit("malformed page "), F.col("_bad").cast("string")))
-        .alias("error_message"),
-        "records_loaded",
-    )

@@ -24,6 +24,7 @@ from linkmart.operators.marts import fact
 from linkmart.operators.records import _ts
 from linkmart.operators.snapshots import scd2_step, snapshot_source
 from linkmart.operators.upsert import latest_per_key, upsert_changed
+from linkmart.plans.extract import store_quarantine, stored_quarantine
 from linkmart.plans.models import build_models
 from linkmart.plans.spec import Catalog
 from linkmart.sources.tables import SnapshotStore, VersionedTable
@@ -117,7 +118,8 @@ def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
     (one batch; ids are trimmed; with an ``_order`` column the row of the greatest order
     wins, else an id twice raises, or with ``on_duplicate="last"`` the greatest payload
     wins). ``keep_versions`` keeps only that many raw / current-slice versions.
-    Returns the written tables, read back."""
+    ``quarantine`` rows are stored under ``<out_dir>/quarantine``, and the dead letters show
+    those of all runs. Returns the written tables, read back."""
     out = out_dir.rstrip("/")
     raw, snaps = ingest_and_snapshot(spark, catalog, incoming, out, now,
                                      keep_versions=keep_versions, on_duplicate=on_duplicate)
@@ -138,6 +140,9 @@ def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
             jobs.append((f.name, f"{out}/marts/{f.name}", fact(
                 models.links[key], models.dims[f.entity], left, models.dims[right.name],
                 right, lk, f.versions, f.left_extras, f.right_extras)))
+    if quarantine is not None:
+        store_quarantine(spark, out, quarantine)
+    quarantine = stored_quarantine(spark, out)  # of this and of earlier runs
     jobs.append(("dead_letters", f"{out}/intermediate/dead_letters",
                  dead_letters(raw, catalog.entities, quarantine)))
     for name, df in _parallel(lambda j: (j[0], _write(j[2], j[1])), jobs):

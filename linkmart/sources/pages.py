@@ -136,18 +136,23 @@ def malformed_pages(pages: DataFrame) -> DataFrame:
     return pages.where(bad).select(F.col("source").alias("source_name"), "run", "page")
 
 
+def page_sizes(pages: DataFrame) -> DataFrame:
+    """``source, run, page, bad, n``: whether each page is malformed and its records."""
+    data = F.try_variant_get("body", "$.data", "array<variant>")
+    parts = F.when(F.col("body").isNull() & _closed(F.col("text")), F.size(_page_records(F.col("text"))))
+    n = F.when(F.col("body").isNotNull(), F.coalesce(F.size(data), F.lit(0))).otherwise(parts)
+    return pages.select("source", "run", "page", n.isNull().alias("bad"), F.coalesce(n, F.lit(0)).cast("long").alias("n"))
+
+
 def page_report(pages: DataFrame) -> DataFrame:
     """Per source: pages, records, malformed pages, missing page numbers, and whether
     the listing ends properly (every page but the last is full, the last is short)."""
-    sizes = pages.select(
-        F.col("source").alias("source_name"), "page", F.col("body").isNull().alias("bad"),
-        F.size(F.coalesce(F.try_variant_get("body", "$.data", "array<variant>"),
-                          F.array().cast("array<variant>"))).cast("long").alias("n"))
+    sizes = page_sizes(pages).withColumnRenamed("source", "source_name")
     agg = sizes.groupBy("source_name").agg(
         F.count(F.lit(1)).alias("pages"),
         F.sum("n").alias("records"),
         F.count_if("bad").alias("malformed"),
-        (F.max("page") + 1 - F.count(F.lit(1))).alias("missing_pages"),
+        (F.max("page") + 1 - F.count_distinct("page")).alias("missing_pages"),
         F.max_by("n", "page").alias("last_page_records"),
         F.count_if((F.col("n") < PAGE_SIZE)).alias("short_pages"),
     )
