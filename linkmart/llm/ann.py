@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linkmart.llm.common import stored
+from linkmart.llm.common import hash_share, stored
 
 FIT_ROWS = 20_000
 CENTROIDS = 32
@@ -166,7 +166,7 @@ def nearest(
     queries = stored(spark, queries, "ann-queries")
 
     # the budget, from exact neighbours of a few queries among all rows
-    tune = queries.orderBy(F.xxhash64("id"), "query_no").limit(TUNE_QUERIES).collect()
+    tune = queries.where(hash_share(4 * TUNE_QUERIES, queries.count(), "id", "query_no")).orderBy(F.xxhash64("id"), "query_no").limit(TUNE_QUERIES).collect()
     if not tune:
         return spark.createDataFrame([], schema)
     probe = _floats(pa.array([bytes(r.vec) for r in tune]), kind)

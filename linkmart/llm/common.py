@@ -24,6 +24,12 @@ def crc_mod(id_col: str | Column, n: int) -> Column:
     return F.crc32(F.col(id_col).cast("string") if isinstance(id_col, str) else id_col.cast("string")) % n
 
 
+def hash_share(n: int, total: int, *cols: str) -> Column:
+    """Keeps rows by a hash of ``cols``: about ``n`` of ``total``, all if there are fewer. Put
+    before an ordered limit, whose every task would otherwise send its own ``n`` rows."""
+    return F.pmod(F.xxhash64(*cols), F.lit(1 << 30)) < int(min(1.0, n / max(1, total)) * (1 << 30))
+
+
 def utf8(col: str) -> Column:
     """Text as UTF-8 bytes, NULL as empty."""
     return F.coalesce(F.col(col), F.lit("")).cast("binary")

@@ -34,7 +34,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkmart.llm.common import utf8
+from linkmart.llm.common import hash_share, utf8
 
 TOXIC_DOCS = 2000
 ORDINARY_DOCS = 6000
@@ -193,7 +193,9 @@ def score_toxicity(
     rows = docs.select(F.col(id_col).alias("id"), utf8(text_col).alias("raw"))
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("id IS NOT NULL AND label IN (0, 1)") \
         .where(~held).groupBy("id").agg(F.max("label").cast("int").alias("label"))
-    pick = lambda y, n: known.where(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(n)
+    sizes = {r.label: r["count"] for r in known.groupBy("label").count().collect()}  # two rows
+    pick = lambda y, n: known.where((F.col("label") == y) & hash_share(2 * n, sizes.get(y, 0), "id")) \
+        .orderBy(F.xxhash64("id"), "id").limit(n)
     sample = pick(1, toxic_docs).union(pick(0, ordinary_docs))  # bounded by its two limits
     got = rows.join(F.broadcast(sample), "id").select("raw", "label").toArrow()
     model = fit(sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist())))
