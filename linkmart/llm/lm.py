@@ -11,8 +11,8 @@ a class a token has probability ``(count + 1) / (sum of count + 1, plus 1 for th
 so all tokens together with one unseen token per class sum to 1.
 
 Training is noise-contrastive estimation in numpy: each minibatch tells its true outputs
-from noise outputs drawn by their frequency and shared by the batch. It starts from a
-short warm-up on a bounded sample; then every partition of the training documents trains
+from noise outputs drawn by their frequency and shared by the batch. It starts from the
+outputs' frequencies and a short warm-up on a bounded sample; then every partition of the training documents trains
 on all its tokens and the resulting parameters are averaged, weighted by tokens.
 
 Scoring takes the distinct contexts of a batch, computes their products with all outputs
@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkmart.llm.common import stored, utf8
+from linkmart.llm.common import hash_share, stored, utf8
 
 HEAD = 100_000
 WORDS = 384
@@ -48,8 +48,10 @@ NOISE = 32
 BATCH = 2048
 RATE = 0.15
 WARM_DOCS = 400
+WARM_BYTES = 4_000_000
 _FLUSH = 250_000
 _CHUNK_BYTES = 1_000_000
+_SCORE_BYTES = 4_000_000  # longer chunks share more contexts
 END = b""
 
 
@@ -85,7 +87,7 @@ class LogBilinear:
 
     def log_probabilities(self, history: np.ndarray) -> np.ndarray:
         """Natural log of the normalised probability of every output after each history."""
-        s = self.represent(history) @ self.parts["outputs"].T + self.parts["bias"][:, 0]
+        s = self.represent(history).astype(np.float32) @ self.parts["outputs"].astype(np.float32).T + self.parts["bias"][:, 0].astype(np.float32)
         top = s.max(1, keepdims=True)
         return s - top - np.log(np.exp(s - top).sum(1, keepdims=True))
 
@@ -257,8 +259,11 @@ def score_documents(
     # training
     model = LogBilinear(n_out, dim, context)
     if total:
-        warm = train.orderBy(F.xxhash64("id")).limit(WARM_DOCS).select("raw").toArrow().column(0).to_pylist()
-        _, ids, starts, _ = look_up([x[:100_000] if len(x) > 100_000 else x for x in warm], (token_row, head_class))
+        texts = next((c for c, t in common if t == END), 0)  # every text has one end
+        warm = train.where(hash_share(4 * WARM_DOCS, texts, "id")).orderBy(F.xxhash64("id")).limit(WARM_DOCS).select("raw").toArrow().column(0).to_pylist()
+        size = np.cumsum([0, *map(len, warm)])[:-1]
+        _, ids, starts, _ = look_up([x for x, n in zip(warm, size) if n < WARM_BYTES], (token_row, head_class))
+        model.parts["bias"][:, 0] = np.log(noise)  # start from the outputs' frequencies
         trainer = Trainer(model, noise)
         for _ in range(3):
             trainer.train(ids, starts)
@@ -295,7 +300,7 @@ def score_documents(
         _, _, head_log, _, in_class_log = table
         net = LogBilinear(n_out, dim, context).load(final.value)
         key = TaskContext.get().partitionId() << 33
-        for ids_, raws in _chunks(batches):
+        for ids_, raws in _chunks(batches, limit=_SCORE_BYTES):
             at, ids, starts, flat = look_up(raws, table)
             history = histories(ids, starts, context, n_out)
             code = history @ ((n_out + 1) ** np.arange(context))
