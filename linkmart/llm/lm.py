@@ -51,7 +51,7 @@ WARM_DOCS = 400
 WARM_BYTES = 4_000_000
 _FLUSH = 250_000
 _CHUNK_BYTES = 1_000_000
-_SCORE_BYTES = 4_000_000  # longer chunks share more contexts
+_SCORE_BYTES = 2_500_000  # longer chunks share more contexts
 END = b""
 
 
