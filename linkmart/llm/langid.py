@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import random
 import re
-import uuid
 from collections import Counter
 
 import numpy as np
@@ -41,7 +40,7 @@ STEPS = 60
 HASH_BITS = 17
 LEXICON_SHARE = 0.9
 LEXICON_COUNT = 3
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 UNDETERMINED = "und"
 _CHUNK_CHARS = 1_000_000
 _LONG_WORD = 40
@@ -275,9 +274,6 @@ class Labeller:
         return out
 
 
-_LABELLERS: dict[str, Labeller] = {}
-
-
 def fit_sample(docs: DataFrame, train_docs: int) -> list[tuple[str, str]]:
     """(text, language) of at most ``train_docs`` rows per language of ``docs(id, text, lang)``,
     chosen by hash: about twice as many are looked at."""
@@ -308,27 +304,31 @@ def label_documents(
     held = F.coalesce(held_out, F.lit(False))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     field = train(fit_sample(rows.where(~held), train_docs))
-    shared, key = spark.sparkContext.broadcast(field), uuid.uuid4().hex
+    shared = spark.sparkContext.broadcast(field)
 
     def run(batches):
         field = shared.value
-        if field is not None and key not in _LABELLERS:  # one for each Python worker
-            _LABELLERS.clear()
-            _LABELLERS[key] = Labeller(field)
-        label = _LABELLERS[key].label if field is not None else lambda ds: [(UNDETERMINED, 0.0)] * len(ds)
+        # its cache lives as long as the task: workers go on to other stages
+        label = Labeller(field).label if field is not None else lambda ds: [(UNDETERMINED, 0.0)] * len(ds)
+
+        def labelled(part, words):
+            found = label(words)
+            rest = [c for i, c in enumerate(part.columns) if i != 1]
+            return pa.record_batch([*rest, pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.float64())],
+                                   names=[*(n for n in part.schema.names if n != "text"), "lang_pred", "score"])
+
         for batch in batches:
-            found, docs_, size = [], [], 0
-            for text in batch.column(1):
+            docs_, size, begin = [], 0, 0
+            for i, text in enumerate(batch.column(1)):
                 text = text.as_py()
                 docs_.append(words_of(text))
                 size += len(text or "")
                 if size >= _CHUNK_CHARS:
-                    found += label(docs_)
-                    docs_, size = [], 0
-            found += label(docs_)
-            rest = [c for i, c in enumerate(batch.columns) if i != 1]
-            yield pa.record_batch([*rest, pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.float64())],
-                                  names=[*(n for n in batch.schema.names if n != "text"), "lang_pred", "score"])
+                    yield labelled(batch.slice(begin, i + 1 - begin), docs_)
+                    docs_, size, begin = [], 0, i + 1
+            if docs_:
+                yield labelled(batch.slice(begin), docs_)
+        pa.default_memory_pool().release_unused()
 
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *([F.struct(*docs.columns).alias("doc")] if keep else []))
     out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in read.schema if f.name != "text")

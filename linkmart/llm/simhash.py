@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches):
         for batch in batches:
-            fps = [fingerprint(raw, width) for raw in batch.column(1).to_pylist()]
+            fps = [fingerprint(raw.as_py(), width) for raw in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
