@@ -1,16 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Seeds are the word 4-grams of the test items that occur in few items (an item whose seeds
-all occur in many keeps its rarest). One pass over the training texts hashes every 4-gram
-and keeps those in a fixed-size bit filter of the seeds (two bits each), with the words
-around them; the exact seeds are then joined by hash. A stretch of a document and an item
-make a candidate when they share a seed that few documents hold, or two seeds of any
-frequency (all of them, if the item has one): a passage copied into many documents has
-many seeds, a chance match of common words has one.
+Seeds are all word 4-grams of the test items. One pass over the training texts hashes every
+4-gram and keeps those in a fixed-size bit filter of the seeds (two bits each), with the
+words around them; the exact seeds are then joined by hash. A stretch of a document and an
+item that share one seed make a candidate, however many documents or items hold that seed:
+an item that leaked often must not hide its edited copies.
 
 Each candidate is aligned word by word (match 2, mismatch -1, gap -1) with the item; the
 score is the alignment's share of a perfect one. So edited or partly paraphrased copies
-score by what they keep.
+score by what they keep. Candidates with too few words in common to reach the least score
+are left out before, which loses nothing, and equal ones of a batch are aligned once.
 
 Words are maximal runs of letters and digits of the lower-cased text. Items of fewer words
 than a seed are no evidence and match nothing. NULL texts are empty. Items with the same
@@ -21,6 +20,7 @@ reported once per item, with the best score.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
@@ -32,9 +32,6 @@ from pyspark.sql import functions as F
 from linkmart.llm.common import stored
 
 SEED_WORDS = 4
-RARE_ITEMS = 8
-KEEP_RAREST = 4
-RARE_DOCS = 1e-4
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 FILTER_BITS = 24
@@ -96,23 +93,41 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> list[tuple[int,
     return list(zip(top.tolist(), left.tolist(), right.tolist()))
 
 
-def _align_batches(batches):
-    """Rows (id, item_class, item, window, from, to, base) -> scores; blocks of bounded size."""
+def may_reach(item: Counter, window: list[str], least: float) -> bool:
+    """Whether an alignment of the item's words with the window can score ``least``: each
+    match takes a word of either side."""
+    return MATCH * (item & Counter(window)).total() >= least * MATCH * item.total()
+
+
+def _align_batches(batches, min_score: float):
+    """Rows (id, item_class, item, window, from, to, base) -> scores of those that can reach
+    ``min_score``; blocks of bounded size."""
     for batch in batches:
-        rows = sorted(batch.to_pylist(), key=lambda r: (r["to"] - r["from"], len(r["item"])))
+        words, same = {}, {}
+        for r in batch.to_pylist():
+            same.setdefault((r["item_class"], r["window"]), []).append(r)
+        pairs = []
+        for (item_class, window), rows in same.items():
+            if item_class not in words:
+                item = rows[0]["item"].split(" ")
+                words[item_class] = item, Counter(item)
+            item, bag = words[item_class]
+            window = window.split(" ")
+            if may_reach(bag, window, min_score):
+                pairs.append((item, window, rows))
+        pairs.sort(key=lambda x: (len(x[1]), len(x[0])))
         a = 0
-        while a < len(rows):
+        while a < len(pairs):
             ids: dict[str, int] = {}
             number = lambda ws: np.array([ids.setdefault(w, len(ids)) for w in ws], np.int64)  # noqa: B023, E731
             b, cells = a, 0
-            while b < len(rows) and (b == a or cells < _ALIGN_CELLS):
-                cells += (rows[b]["to"] - rows[b]["from"] + 1) * 16
+            while b < len(pairs) and (b == a or cells < _ALIGN_CELLS):
+                cells += (len(pairs[b][1]) + 1) * 16
                 b += 1
-            part = rows[a:b]
-            items = [number(r["item"].split(" ")) for r in part]
-            windows = [number(r["window"].split(" ")) for r in part]
+            part = pairs[a:b]
+            found = align([number(p) for p, _, _ in part], [number(q) for _, q, _ in part])
             out = [(r["id"], r["item_class"], s / (MATCH * len(p)), r["base"] + r["from"] + x, r["base"] + r["from"] + y, len(p))
-                   for r, p, (s, x, y) in zip(part, items, align(items, windows))]
+                   for (p, _, rows), (s, x, y) in zip(part, found) for r in rows]
             cols = list(zip(*out))
             yield pa.record_batch([pa.array(cols[0], batch.schema.field("id").type), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()),
                                    *(pa.array(c, pa.int64()) for c in cols[3:])],
@@ -123,7 +138,6 @@ def _align_batches(batches):
 def contaminated(
     spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_id_col: str = "item_id", item_text_col: str = "text", min_score: float = MIN_SCORE,
-    rare_items: int = RARE_ITEMS, rare_docs: float = RARE_DOCS,
 ) -> DataFrame:
     """One row per (id, item_id) whose best alignment scores ``min_score`` or more: score,
     doc_start and doc_end (words of the document) and item_words."""
@@ -133,26 +147,18 @@ def contaminated(
     def item_words(batches):
         for batch in batches:
             ws = [words_of(t) for t in batch.column(1).to_pylist()]
-            seeds = [sorted(set(gram_hashes(w).view(np.int64).tolist())) for w in ws]
             grams = [gram_hashes(w).view(np.int64).tolist() for w in ws]
             yield pa.record_batch([batch.column(0), pa.array([b" ".join(w).decode() for w in ws], pa.string()),
-                                   pa.array(map(len, ws), pa.int32()), pa.array(map(len, seeds), pa.int32()),
-                                   pa.array(grams, pa.list_(pa.int64()))], names=["item_id", "item", "n_words", "n_seeds", "grams"])
+                                   pa.array(map(len, ws), pa.int32()), pa.array(grams, pa.list_(pa.int64()))],
+                                  names=["item_id", "item", "n_words", "grams"])
 
     tests = items.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).mapInArrow(
-        item_words, "item_id bigint, item string, n_words int, n_seeds int, grams array<bigint>")
+        item_words, "item_id bigint, item string, n_words int, grams array<bigint>")
     tests = stored(spark, tests.where(f"n_words >= {SEED_WORDS}"), "decontam-tests")
     same = tests.groupBy("item").agg(F.min("item_id").alias("least"), F.xxhash64("item").alias("item_class"),
-                                     F.first("n_words").alias("n_words"), F.first("n_seeds").alias("n_seeds"), F.first("grams").alias("grams"))
+                                     F.first("n_words").alias("n_words"), F.first("grams").alias("grams"))
     classes = stored(spark, same, "decontam-classes")
-    grams = classes.select("item_class", "n_seeds", F.posexplode("grams").alias("item_pos", "h"))
-    common = grams.groupBy("h").agg(F.count_distinct("item_class").alias("n_items"))
-    graded = stored(spark, grams.join(common, "h"), "decontam-grams")
-    rarest = graded.groupBy("item_class").agg(
-        F.sort_array(F.collect_set(F.struct("n_items", "h"))).alias("x")).select(  # bounded by an item's length
-        "item_class", F.element_at("x", F.least(F.lit(KEEP_RAREST), F.size("x"))).alias("last"))
-    seeds = graded.join(rarest, "item_class").where((F.col("n_items") <= rare_items) | (F.struct("n_items", "h") <= F.col("last")))
-    seeds = stored(spark, seeds.select("h", "item_class", "item_pos", "n_seeds"), "decontam-seeds")
+    seeds = stored(spark, classes.select("item_class", F.posexplode("grams").alias("item_pos", "h")), "decontam-seeds")
     longest = classes.agg(F.max("n_words")).first()[0]
     schema = f"id {kind}, item_id bigint, score double, doc_start bigint, doc_end bigint, item_words bigint"
     if longest is None:
@@ -204,16 +210,12 @@ def contaminated(
     # exact seeds and candidates
     hits = found.select("stretch", "n", F.explode(F.arrays_zip("at", "h")).alias("x")).select("stretch", "n", "x.at", "x.h")
     hits = stored(spark, hits, "decontam-hits")
-    spread = stored(spark, hits.groupBy("h").agg(F.count("*").alias("n_hits")), "decontam-spread")
-    few = max(2.0, rare_docs * docs.count())
     size = classes.select("item_class", "n_words", "item")
     pairs = (
-        hits.join(seeds, "h").join(spread, "h").join(size.drop("item"), "item_class")
+        hits.join(seeds, "h").join(size.drop("item"), "item_class")
         .withColumn("bucket", F.floor((F.col("at") - F.col("item_pos")) / F.col("n_words")))
         .groupBy("stretch", "item_class", "bucket")
-        .agg(F.count_distinct("h").alias("shared"), F.min("n_hits").alias("rarest"), F.first("n_seeds").alias("n_seeds"),
-             F.first("n_words").alias("n_words"), F.first("n").alias("n"))
-        .where((F.col("rarest") <= few) | (F.col("shared") >= F.least(F.lit(2), F.col("n_seeds"))))
+        .agg(F.first("n_words").alias("n_words"), F.first("n").alias("n"))
         .withColumn("slack", F.floor(F.col("n_words") / 4) + 4)
         .select("stretch", "item_class",
                 F.greatest(F.lit(0), F.col("bucket") * F.col("n_words") - F.col("slack")).cast("long").alias("from"),
@@ -223,7 +225,7 @@ def contaminated(
     ready = pairs.join(found.select("stretch", "id", "base", "words"), "stretch").join(size.drop("n_words"), "item_class")
     window = F.array_join(F.slice(F.split("words", " "), (F.col("from") + 1).cast("int"), (F.col("to") - F.col("from")).cast("int")), " ")
     scored = ready.select("id", "item_class", "item", window.alias("window"), "from", "to", "base").mapInArrow(
-        _align_batches, f"id {kind}, item_class bigint, score double, doc_start bigint, doc_end bigint, item_words bigint")
+        lambda batches: _align_batches(batches, min_score), f"id {kind}, item_class bigint, score double, doc_start bigint, doc_end bigint, item_words bigint")
     best = scored.where(F.col("score") >= min_score).groupBy("id", "item_class").agg(
         F.max(F.struct("score", "doc_start", "doc_end", "item_words")).alias("x")).select("id", "item_class", "x.*")
     named = tests.join(classes.select("item", "item_class"), "item").select("item_class", "item_id")

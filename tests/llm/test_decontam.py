@@ -83,6 +83,38 @@ def test_items_that_share_all_seeds_keep_some(spark):
     assert {d for d, _ in got} == {1} and (1, 3) in got
 
 
+def test_edited_copies_of_an_item_that_leaked_often(spark):
+    changed = {8: [4], 16: [5, 9, 13], 20: [4, 8, 12, 16]}  # one seed is left
+    items, edits = [], []
+    for i, (n, places) in enumerate(changed.items()):
+        item = [f"i{i}w{k}" for k in range(1, n + 1)]
+        items.append((i, " ".join(item)))
+        edits.append((i, "so " + " ".join("other" if k in places else w for k, w in enumerate(item, 1)) + " ends"))
+    leaks = [(100 + 50 * i + k, f"x{k} {t} y{k}") for i, t in items for k in range(40)]
+    docs = spark.createDataFrame(edits + leaks, "doc_id long, text string").repartition(3)
+    got = {(r.id, r.item_id): round(r.score, 2) for r in D.contaminated(spark, docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {k: got.get((k, k)) for k in range(3)} == {0: 0.81, 1: 0.72, 2: 0.7}
+    assert len(got) == 3 + 120
+
+
+def test_an_edited_copy_keeps_only_seeds_that_many_items_share(spark):
+    text = "alpha beta gamma delta epsilon zeta eta theta iota kappa"  # 7 seeds in 30 items
+    items = spark.createDataFrame([(i, f"{text} v{i} u{i}") for i in range(30)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, " ".join(text.split()[k:k + 7])) for k in range(4)], "doc_id long, text string")
+    got = {(r.id, r.item_id) for r in D.contaminated(spark, docs, items).collect()}
+    assert got == {(k, i) for k in range(4) for i in range(30)}
+
+
+def test_the_bound_on_common_words_loses_nothing():
+    rng = random.Random(4)
+    for _ in range(300):
+        item = [str(rng.randrange(8)) for _ in range(rng.randrange(4, 12))]
+        window = [str(rng.randrange(8)) for _ in range(rng.randrange(1, 20))]
+        least = rng.random()
+        if brute_align(item, window) >= least * 2 * len(item):
+            assert D.may_reach(D.Counter(item), window, least)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
