@@ -149,6 +149,32 @@ def test_another_key_gives_other_pseudonyms_and_an_empty_table(spark):
     assert P.pseudonymise(df.limit(0), "a", count_col="n").collect() == []
 
 
+#: Texts with # before and after each value that must be replaced.
+MARKED = [
+    "#BE68 5390 0754 7034# BIC KREDBEBB", "pay #ES91 2100 0418 4502 0005 1332# EUR 500", "#ES9121000418450200051332# #12/05/2020#",
+    "#AT61 1904 3002 3457 3201# 1000 EUR", "#GB82 WEST 1234 5698 7654 32# AB", "#PL61 1090 1014 0000 0712 1981 2874# PLN",
+    "#LU28 0019 4006 4475 0000# #DE89 3704 0044 0532 0130 00# OK", "#NO93 8601 1117 947# A1", "AB12 #4041 8949 7460 8795# x",
+    "BE68 5390 0754 7035 BIC KREDBEBB", "born #1990-02-03#T00:00:00Z", "#2024-02-29#T23:59:59.123+02:00, #2024-03-01#t12:00", "2023-02-29T00:00:00Z 1990-02-03Tea",
+]
+
+
+def test_values_beside_other_words(spark):
+    df = spark.createDataFrame([(i, t.replace("#", "")) for i, t in enumerate(MARKED)], "i int, text string")
+    for r in P.pseudonymise(df, KEY, count_col="n").collect():
+        parts = MARKED[r.i].split("#")
+        shape = lambda s: re.escape(re.sub("[A-Z]", "A", re.sub("[0-9]", "0", s))).replace("0", "[0-9]").replace("A", "[A-Z]")
+        m = re.fullmatch("".join(f"({shape(s)})" if k % 2 else re.escape(s) for k, s in enumerate(parts)), r.text)
+        assert m, r.text
+        assert r.n == len(m.groups()) == len(parts) // 2
+        for old, new in zip(parts[1::2], m.groups()):
+            assert old != new
+            if old[0].isalpha():
+                spelled = new.replace(" ", "")
+                assert new[:2] == old[:2] and int("".join(str(int(c, 36)) for c in spelled[4:] + spelled[:4])) % 97 == 1
+            elif "-" in old:
+                dt.date.fromisoformat(new)
+
+
 @pytest.mark.parametrize("name", ["mapInArrow", "mapInPandas", "udf", "rdd"])
 def test_native(name):
     assert name not in open(P.__file__).read()
