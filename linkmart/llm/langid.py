@@ -14,7 +14,10 @@ spans of different documents, which shows it switches.
 Scoring concatenates the documents of a chunk (a document's first word cuts the chain) and
 runs the recursions over columns of the sequence at once: the product of a column's
 transition matrices carries the messages across columns, so the result is exact for any
-length.
+length. With more than ``PRODUCT_LANGUAGES`` languages, where those products cost too much,
+they run over documents at once instead, exact too. Every language is learned, however
+many there are: the number of sequences grows with them beyond ``LEAST_SEQUENCES`` for
+each, and chunks, caches and blocks shrink, so that memory holds.
 
 A text that is NULL or has no letter is ``und`` with score 0, and so is every text when
 there is nothing to learn from.
@@ -32,15 +35,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TRAIN_DOCS = 300
-MAX_LANGUAGES = 64
+PRODUCT_LANGUAGES = 32
 SPAN_WORDS = 12
 SEQUENCE_WORDS = 32
 SEQUENCES = 6000
+LEAST_SEQUENCES = 94
 STEPS = 60
 HASH_BITS = 17
 LEXICON_SHARE = 0.9
 LEXICON_COUNT = 3
 CACHE_WORDS = 150_000
+_BLOCK = 4_000_000
 UNDETERMINED = "und"
 _CHUNK_CHARS = 1_000_000
 _LONG_WORD = 40
@@ -95,9 +100,42 @@ class Field:
         return np.concatenate([rows, np.arange(len(words))]), np.concatenate([feats, lex])
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        rows, feats = self.features(words)
-        scores = self.weights[feats]
-        return np.stack([np.bincount(rows, scores[:, k], len(words)) for k in range(len(self.languages))], axis=1)
+        out = np.empty((len(words), len(self.languages)))
+        step = max(1, _BLOCK // len(self.languages))
+        for a in range(0, len(words), step):
+            part = words[a:a + step]
+            rows, feats = self.features(part)
+            scores = self.weights[feats]
+            for k in range(len(self.languages)):
+                out[a:a + step, k] = np.bincount(rows, scores[:, k], len(part))
+        return out
+
+
+def _by_document(e: np.ndarray, move: np.ndarray, start: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """``marginals`` of exponentiated scores, the documents side by side, longest first."""
+    begin = np.flatnonzero(np.concatenate([[True], first[1:]]))
+    size = np.diff(np.append(begin, len(e)))
+    order = np.argsort(-size, kind="stable")
+    begin, size = begin[order], size[order]
+    running = np.searchsorted(-size, -np.arange(size[0]))  # documents longer than t
+    prior = np.tile(start, (len(begin), 1))
+    if not first[0]:
+        prior[begin == 0] = move.mean(0)
+    out, a = np.empty_like(e), None
+    for t, m in enumerate(running.tolist()):
+        at = begin[:m] + t
+        a = (prior if a is None else a[:m] @ move) * e[at]
+        a /= a.sum(1, keepdims=True)
+        out[at] = a
+    b = np.ones_like(prior)
+    for t in range(len(running) - 1, -1, -1):
+        m = running[t]
+        at = begin[:m] + t
+        p = out[at] * b[:m]
+        out[at] = p / p.sum(1, keepdims=True)
+        x = (e[at] * b[:m]) @ move.T
+        b[:m] = x / x.sum(1, keepdims=True)
+    return out
 
 
 def marginals(field: Field, scores: np.ndarray, first: np.ndarray, column: int = 256) -> np.ndarray:
@@ -106,13 +144,15 @@ def marginals(field: Field, scores: np.ndarray, first: np.ndarray, column: int =
     n, k = scores.shape
     if not n:
         return scores
+    e = np.exp(scores - scores.max(1, keepdims=True))
+    move = np.exp(field.moves - field.moves.max())
+    start = np.exp(field.start - field.start.max())
+    if k > PRODUCT_LANGUAGES:
+        return _by_document(e, move, start, first)
     columns = -(-n // column)
     pad = columns * column - n
-    e = np.exp(scores - scores.max(1, keepdims=True))
     e = np.concatenate([e, np.ones((pad, k))]).reshape(columns, column, k).transpose(1, 0, 2)
     cut = np.concatenate([first, np.ones(pad, bool)]).reshape(columns, column).T[:, :, None]
-    move = np.exp(field.moves - field.moves.max())
-    start = np.exp(field.start - field.start.max())
 
     # the product of each column's matrices; row i is the message that starts in state i
     product = np.broadcast_to(np.eye(k), (columns, k, k))
@@ -170,15 +210,16 @@ def train(examples: list[tuple[str, str]], seed: int = 0, steps: int = STEPS) ->
     k = len(languages)
 
     # sequences: spans of random documents, languages in turn as likely
+    sequences = max(SEQUENCES, LEAST_SEQUENCES * k)
     flat, labels = [], []
-    while len(flat) < SEQUENCES * SEQUENCE_WORDS:
+    while len(flat) < sequences * SEQUENCE_WORDS:
         lang = rng.randrange(k)
         ws = rng.choice(by_language[languages[lang]])
         size = rng.randrange(1, 2 * SPAN_WORDS)
         at = rng.randrange(max(1, len(ws) - size + 1))
         flat += ws[at:at + size]
         labels += [lang] * len(ws[at:at + size])
-    flat, labels = flat[: SEQUENCES * SEQUENCE_WORDS], np.array(labels[: SEQUENCES * SEQUENCE_WORDS])
+    flat, labels = flat[: sequences * SEQUENCE_WORDS], np.array(labels[: sequences * SEQUENCE_WORDS])
     vocabulary = {w: i for i, w in enumerate(dict.fromkeys(flat))}
     words = list(vocabulary)
     held_out_of_lexicon = rng.sample(words, len(words) // 2)  # so letters are learned too
@@ -186,10 +227,10 @@ def train(examples: list[tuple[str, str]], seed: int = 0, steps: int = STEPS) ->
         field.lexicon.pop(w, None)
     rows, feats = field.features(words)
     field.lexicon = lexicon
-    at = np.array([vocabulary[w] for w in flat]).reshape(SEQUENCES, SEQUENCE_WORDS).T
-    y = labels.reshape(SEQUENCES, SEQUENCE_WORDS).T
+    at = np.array([vocabulary[w] for w in flat]).reshape(sequences, SEQUENCE_WORDS).T
+    y = labels.reshape(sequences, SEQUENCE_WORDS).T
     used, feats = np.unique(feats, return_inverse=True)
-    w = np.zeros((len(used), k))
+    w = np.zeros((k, len(used)))
     squares = [np.full(x.shape, 1e-6) for x in (w, field.moves, field.start)]
     occurs = np.bincount(at.ravel(), minlength=len(words))
     gold = np.zeros((len(words), k))
@@ -197,37 +238,47 @@ def train(examples: list[tuple[str, str]], seed: int = 0, steps: int = STEPS) ->
     gold_moves = np.zeros((k, k))
     np.add.at(gold_moves, (y[:-1].ravel(), y[1:].ravel()), 1)
     gold_start = np.bincount(y[0], minlength=k)
+    block = max(64, _BLOCK // (SEQUENCE_WORDS * k))
     for _ in range(steps):
-        scores = np.stack([np.bincount(rows, w[feats, j], len(words)) for j in range(k)], axis=1)
-        e = np.exp(scores - scores.max(1, keepdims=True))[at]
+        scores = np.empty((len(words), k))
+        for j in range(k):
+            scores[:, j] = np.bincount(rows, w[j][feats], len(words))
+        scores -= scores.max(1, keepdims=True)
+        np.exp(scores, out=scores)
         move, start = np.exp(field.moves), np.exp(field.start)
-        forward, a = np.empty_like(e), None
-        for t in range(SEQUENCE_WORDS):
-            a = (start if a is None else a @ move) * e[t]
-            a = forward[t] = a / a.sum(1, keepdims=True)
-        b, expected, expected_moves = np.ones((SEQUENCES, k)), np.zeros((len(words), k)), np.zeros((k, k))
-        for t in range(SEQUENCE_WORDS - 1, -1, -1):
-            p = forward[t] * b
-            p /= p.sum(1, keepdims=True)
+        by_word, expected_moves, expected_start = gold.copy(), np.zeros((k, k)), np.zeros(k)
+        for begin in range(0, sequences, block):
+            here = at[:, begin:begin + block]
+            e = scores[here]
+            forward, a = np.empty_like(e), None
+            for t in range(SEQUENCE_WORDS):
+                a = (start if a is None else a @ move) * e[t]
+                a = forward[t] = a / a.sum(1, keepdims=True)
+            b = np.ones(a.shape)
+            for t in range(SEQUENCE_WORDS - 1, -1, -1):
+                p = forward[t] * b
+                p /= p.sum(1, keepdims=True)
+                if t:
+                    x = e[t] * b
+                    pairs = ((forward[t - 1] @ move) * x).sum(1, keepdims=True)  # all pairs of states of a sequence
+                    expected_moves += move * ((forward[t - 1] / pairs).T @ x)
+                    b = x @ move.T
+                    b /= b.sum(1, keepdims=True)
+                else:
+                    expected_start += p.sum(0)
+                forward[t] = p
             for j in range(k):
-                expected[:, j] += np.bincount(at[t], p[:, j], len(words))
-            if t:
-                x = e[t] * b
-                pair = forward[t - 1][:, :, None] * move * x[:, None, :]
-                expected_moves += (pair / pair.sum((1, 2), keepdims=True)).sum(0)
-                b = x @ move.T
-                b /= b.sum(1, keepdims=True)
-            else:
-                expected_start = p.sum(0)
-        by_word = (gold - expected) / SEQUENCES
-        grads = [
-            np.stack([np.bincount(feats, by_word[rows, j], len(used)) for j in range(k)], axis=1) - 1e-4 * w,
-            (gold_moves - expected_moves) / SEQUENCES, (gold_start - expected_start) / SEQUENCES,
-        ]
-        for x, g, s in zip((w, field.moves, field.start), grads, squares):
+                by_word[:, j] -= np.bincount(here.ravel(), forward[:, :, j].ravel(), len(words))
+        by_word /= sequences
+        for j in range(k):
+            g = np.bincount(feats, by_word[:, j][rows], len(used)) - 1e-4 * w[j]
+            squares[0][j] += g * g
+            w[j] += 0.3 * g / np.sqrt(squares[0][j])
+        grads = (gold_moves - expected_moves) / sequences, (gold_start - expected_start) / sequences
+        for x, g, s in zip((field.moves, field.start), grads, squares[1:]):
             s += g * g
             x += 0.3 * g / np.sqrt(s)
-    field.weights[used] = w
+    field.weights[used] = w.T
     assert occurs.sum() == len(flat)
     return field
 
@@ -238,13 +289,14 @@ class Labeller:
     def __init__(self, field: Field):
         self.field, self.place = field, {}
         self.table = np.zeros((0, len(field.languages)))
+        self.most = CACHE_WORDS * PRODUCT_LANGUAGES // max(PRODUCT_LANGUAGES, len(field.languages))
 
     def _emissions(self, words: list[str]) -> np.ndarray:
         at = [self.place.get(w, -1) for w in words]
         new = list(dict.fromkeys(w for w, i in zip(words, at) if i < 0))
         if new:
             fresh = self.field.emissions(new)
-            if len(self.place) + len(new) > CACHE_WORDS:
+            if len(self.place) + len(new) > self.most:
                 local = {w: i for i, w in enumerate(new)}
                 table = np.concatenate([self.table, fresh])
                 out = table[[i if i >= 0 else len(self.table) + local[w] for w, i in zip(words, at)]]
@@ -278,12 +330,13 @@ def fit_sample(docs: DataFrame, train_docs: int) -> list[tuple[str, str]]:
     """(text, language) of at most ``train_docs`` rows per language of ``docs(id, text, lang)``,
     chosen by hash: about twice as many are looked at."""
     teach = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = teach.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = teach.groupBy("lang").count().collect()
     if not counts:
         return []
     place = F.pmod(F.xxhash64("id", "lang"), F.lit(1 << 30))
-    share = F.create_map(*[x for r in counts for x in (F.lit(r.lang), F.lit(int(min(1.0, 2 * train_docs / r["count"]) * (1 << 30))))])
-    sample = teach.where(place < share[F.col("lang")]).select("lang", "text", place.alias("place"))
+    share = docs.sparkSession.createDataFrame(
+        [(r.lang, int(min(1.0, 2 * train_docs / r["count"]) * (1 << 30))) for r in counts], "lang string, share long")
+    sample = teach.join(F.broadcast(share), "lang").where(place < F.col("share")).select("lang", "text", place.alias("place"))
     kept: Counter[str] = Counter()
     examples = []
     for r in sorted(sample.orderBy("place").limit(2 * train_docs * len(counts)).collect(), key=lambda r: (r.place, r.lang, r.text)):
@@ -309,6 +362,7 @@ def label_documents(
     def run(batches):
         field = shared.value
         # its cache lives as long as the task: workers go on to other stages
+        chunk = _CHUNK_CHARS * PRODUCT_LANGUAGES // max(PRODUCT_LANGUAGES, len(field.languages) if field is not None else 0)
         label = Labeller(field).label if field is not None else lambda ds: [(UNDETERMINED, 0.0)] * len(ds)
 
         def labelled(part, words):
@@ -323,7 +377,7 @@ def label_documents(
                 text = text.as_py()
                 docs_.append(words_of(text))
                 size += len(text or "")
-                if size >= _CHUNK_CHARS:
+                if size >= chunk:
                     yield labelled(batch.slice(begin, i + 1 - begin), docs_)
                     docs_, size, begin = [], 0, i + 1
             if docs_:

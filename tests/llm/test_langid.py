@@ -79,3 +79,29 @@ def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "a b", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in L.label_documents(spark, df, F.lit(False)).collect()] == ["und"]
     assert L.label_documents(spark, df.limit(0), F.lit(False)).collect() == []
+
+
+def test_more_languages_than_any_cap(spark):
+    rng = random.Random(5)
+    names = [f"x{i:02}" for i in range(70)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {n: ["".join(rng.choice(letters) for _ in range(rng.randrange(4, 9))) for _ in range(40)] for n in names}
+    rows = [(i, " ".join(rng.choice(words[n]) for _ in range(12)), n) for i, n in enumerate(n for n in names for _ in range(8))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r.id: r.lang_pred for r in L.label_documents(spark, df, F.col("id") % 8 == 0).collect()}
+    held = [got[i] == n for i, _, n in rows if i % 8 == 0]
+    assert len(held) == 70 and sum(held) >= 68
+    assert {got[i] for i, _, _ in rows} == set(names)
+
+
+def test_marginals_by_document_are_those_by_column(monkeypatch):
+    rng = np.random.default_rng(6)
+    field = L.Field(["a", "b", "c", "d"], {}, bits=4)
+    field.moves, field.start = rng.normal(size=(4, 4)), rng.normal(size=4)
+    scores, first = rng.normal(size=(700, 4)), rng.random(700) < 0.05
+    for begins in (True, False):
+        first[0] = begins
+        by_column = L.marginals(field, scores, first, column=16)
+        monkeypatch.setattr(L, "PRODUCT_LANGUAGES", 2)
+        assert np.allclose(L.marginals(field, scores, first), by_column)
+        monkeypatch.undo()
