@@ -22,7 +22,7 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_native_pseudonyms_run_no_python(spark):
