@@ -426,3 +426,55 @@ SELECT t AS extracted_at, reason, CAST(n AS BIGINT) AS n_rows, CAST(n AS BIGINT)
 FROM one, (SELECT {TS1} AS t UNION ALL SELECT {TS2}) r"""
 
 ORACLE_SQL["upsert_sequence_users"] = USER_FINAL
+
+# three runs of two sources: run 8's readable pages at T1, then the rest of it, run 9 and
+# run 10's page 0 of the customers (a later run's record wins), and all suppliers, at T2
+_LANDED_CUSTOMERS = f"""
+c AS (SELECT c_custkey AS k, c_custkey // 50 AS page, c_mktsegment AS seg FROM customer),
+at1 AS (SELECT k, seg FROM c WHERE page < 2),
+at2 AS (
+  SELECT k, 8 AS run, seg FROM c WHERE page > 2
+  UNION ALL SELECT k, 9, CASE WHEN k % 3 = 0 THEN lower(seg) ELSE seg END FROM c WHERE page >= 1
+  UNION ALL SELECT k, 10, CASE WHEN k % 4 = 0 THEN seg || '10' ELSE seg END FROM c WHERE page = 0
+),
+last2 AS (SELECT k, arg_max(seg, run) AS seg FROM at2 GROUP BY k)"""
+
+ORACLE_SQL["extract_runs_raw"] = f"""
+WITH {_LANDED_CUSTOMERS}
+SELECT 'customers' AS source_name, CAST(coalesce(b.k, a.k) AS VARCHAR) AS id, coalesce(b.seg, a.seg) AS value,
+       CASE WHEN a.k IS NOT NULL AND (b.k IS NULL OR a.seg = b.seg) THEN {TS1} ELSE {TS2} END AS extracted_at
+FROM at1 a FULL JOIN last2 b ON a.k = b.k
+UNION ALL
+SELECT 'suppliers', CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 2 = 0 THEN s_name || '10' ELSE s_name END,
+       CASE WHEN s_suppkey % 2 = 0 THEN {TS2} ELSE {TS1} END
+FROM supplier"""
+
+# a run ends at its first page that is not full, which may be an empty one
+_RUN_LEDGER = f"""
+{_LANDED_CUSTOMERS},
+top AS (SELECT CAST((max(k) + 1) // 50 + 1 AS INTEGER) AS beyond, CAST(max(page) AS INTEGER) AS p FROM c),
+sup AS (
+  SELECT CAST((max(s_suppkey) + 1) // 50 + 1 AS INTEGER) AS beyond, CAST(max(s_suppkey // 50) AS INTEGER) AS p,
+         CAST(count(*) AS INTEGER) AS n FROM supplier
+),
+ledger AS (
+  SELECT 'customers' AS source_name, '8' AS run, 'failed' AS status, beyond AS next_page,
+         CASE WHEN p = 2 THEN 1 ELSE p END AS last_completed_page, {TS2} AS run_started_at, {TS2} AS run_ended_at,
+         'malformed page 2' AS error_message, CAST((SELECT count(*) FROM c WHERE page <> 2) AS INTEGER) AS records_loaded
+  FROM top
+  UNION ALL
+  SELECT 'customers', '9', 'failed', beyond, p, {TS2}, {TS2}, 'missing page 0',
+         CAST((SELECT count(*) FROM c WHERE page > 0) AS INTEGER) FROM top
+  UNION ALL
+  SELECT 'customers', '10', 'failed', 1, 0, {TS2}, {TS2}, 'malformed page 1', 50
+  UNION ALL
+  SELECT 'suppliers', '8', 'completed', beyond, p, {TS1}, {TS1}, NULL, n FROM sup
+  UNION ALL
+  SELECT 'suppliers', '10', 'completed', beyond, p, {TS2}, {TS2}, NULL, n FROM sup
+)"""
+ORACLE_SQL["extract_runs_ledger"] = f"WITH {_RUN_LEDGER} SELECT * FROM ledger"
+ORACLE_SQL["extract_runs_state"] = f"""
+WITH {_RUN_LEDGER}
+SELECT source_name, status, last_completed_page, records_loaded,
+       CAST(CASE WHEN status = 'failed' THEN last_completed_page + 1 ELSE 0 END AS INTEGER) AS start_page
+FROM ledger WHERE run = '10'"""

@@ -12,6 +12,7 @@ use, which also cuts the lineage between layers.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -24,7 +25,7 @@ from linkmart.operators.marts import fact
 from linkmart.operators.records import _ts
 from linkmart.operators.snapshots import scd2_step, snapshot_source
 from linkmart.operators.upsert import latest_per_key, upsert_changed
-from linkmart.plans.extract import store_quarantine, stored_quarantine
+from linkmart.plans.extract import extract, mark_applied, store_quarantine, stored_quarantine
 from linkmart.plans.models import build_models
 from linkmart.plans.spec import Catalog
 from linkmart.sources.tables import SnapshotStore, VersionedTable
@@ -141,7 +142,7 @@ def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
                 models.links[key], models.dims[f.entity], left, models.dims[right.name],
                 right, lk, f.versions, f.left_extras, f.right_extras)))
     if quarantine is not None:
-        store_quarantine(spark, out, quarantine)
+        store_quarantine(spark, out, quarantine, uuid.uuid4().hex)
     quarantine = stored_quarantine(spark, out)  # of this and of earlier runs
     jobs.append(("dead_letters", f"{out}/intermediate/dead_letters",
                  dead_letters(raw, catalog.entities, quarantine)))
@@ -160,6 +161,18 @@ def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
     return written
 
 
+def extract_and_refresh(spark: SparkSession, catalog: Catalog, pages_path: str, out_dir: str, started, now,
+                        keep_versions: int | None = None, source_order: list[str] | None = None) -> dict[str, DataFrame]:
+    """One run over landed pages: an extraction (see ``plans/extract.py``), the refresh of what it
+    handed out, and only then its mark as applied. If the refresh fails, the next run is
+    handed the same batches again."""
+    incoming = extract(spark, pages_path, out_dir, started, now, source_order=source_order)
+    known = {e.name for e in catalog.entities}
+    written = refresh(spark, catalog, {k: v for k, v in incoming.items() if k in known}, out_dir, now, keep_versions=keep_versions)
+    mark_applied(spark, out_dir)
+    return written
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``table_name, n_rows`` for each table (one small aggregate per table)."""
     parts = [df.agg(F.count(F.lit(1)).cast("long").alias("n_rows"))

@@ -29,7 +29,7 @@ from linkmart.plans.spec import Link
 from linkmart.session import scratch_dir
 from linkmart.sources import testbed as tb
 from linkmart.sources.pages import (
-    explode_records, land_pages, malformed_pages, page_report, read_pages,
+    explode_records, malformed_pages, page_report, read_pages,
 )
 from linkmart.sources.tables import SnapshotStore, VersionedTable
 from linkmart.streaming.ingest import ingest_stream, raw_table
@@ -251,7 +251,7 @@ def land_customer_pages(spark, sf_dir) -> str:
         if fs.exists(p):
             return out
     out = scratch_dir(spark, "customer-pages")
-    land_pages(tb.customer_page_records(spark, sf_dir), out, body=tb.corrupt_page())
+    tb.land_pages(tb.customer_page_records(spark, sf_dir), out, body=tb.corrupt_page())
     _LANDED[key] = out
     return out
 
@@ -326,6 +326,60 @@ def resume_point_q(spark, sf_dir):
     return resume_point(_run_state(spark, sf_dir))
 
 
+def _extraction_runs(spark, sf_dir) -> str:
+    """Customers and suppliers landed by three runs (see ``tb.extraction_records``): run 8, of
+    which customers fail at page 2, is extracted at T1; then runs 9 (customers from page 1 on)
+    and 10 (customers fail at page 1) have landed and are extracted at T2. After each, the raw
+    layer is upserted and the batch marked as applied. Returns the output folder."""
+    from linkmart.plans.extract import extract, mark_applied
+    from linkmart.plans.refresh import ingest_and_snapshot
+    from linkmart.sources.tables import _fs
+
+    key = ("runs", spark.sparkContext.applicationId, sf_dir.rstrip("/"), spark.conf.get("spark.sql.session.timeZone"))
+    out = _EXTRACTED.get(key)
+    if out is not None:
+        fs, p = _fs(spark, out)
+        if fs.exists(p):
+            return out
+    pages, out = scratch_dir(spark, "run-pages"), scratch_dir(spark, "run-extraction")
+    for runs, now in ((("8",), tb.T1), (("9", "10"), tb.T2)):
+        for run in runs:
+            tb.land_pages(tb.extraction_records(spark, sf_dir, run), pages, run="run",
+                          body=tb.broken_extraction_page(), mode="append")
+        ingest_and_snapshot(spark, TESTBED, extract(spark, pages, out, now, now), out, now, snapshots=False)
+        mark_applied(spark, out)
+    _EXTRACTED[key] = out
+    return out
+
+
+def extract_runs_raw(spark, sf_dir):
+    """The raw tables of two sources after three runs, one failed and one partial."""
+    out = _extraction_runs(spark, sf_dir)
+    v = as_variant(F.col("payload"))
+    parts = [
+        VersionedTable(spark, f"{out}/raw/{name}").current().select(
+            F.lit(name).alias("source_name"), "id", json_text(v, field).alias("value"), "extracted_at")
+        for name, field in (("customers", "segment"), ("suppliers", "name"))]
+    return parts[0].unionByName(parts[1])
+
+
+def extract_runs_ledger(spark, sf_dir):
+    """The ledger of those runs."""
+    from linkmart.plans.extract import stored_ledger
+
+    return stored_ledger(spark, _extraction_runs(spark, sf_dir)).drop("run_key")
+
+
+def extract_runs_state(spark, sf_dir):
+    """The state per source those runs leave, and what it says of the next start."""
+    from linkmart.operators.state import read_state
+    from linkmart.plans.extract import stored_state
+
+    state = stored_state(spark, _extraction_runs(spark, sf_dir))
+    one = [read_state(state, s).select(F.lit(s).alias("source_name"), "*") for s in ("customers", "suppliers")]
+    return one[0].unionByName(one[1]).join(resume_point(state).select("source_name", "start_page"), "source_name")
+
+
 def page_report_q(spark, sf_dir):
     pages, _ = _labelled_pages(spark, sf_dir)
     return page_report(pages)
@@ -413,7 +467,7 @@ def _user_stream(spark, sf_dir) -> str:
             return hit
     pages_dir = scratch_dir(spark, "user-pages")
     out = scratch_dir(spark, "user-stream")
-    land_pages(tb.user_page_records(spark, sf_dir), pages_dir, run="run")
+    tb.land_pages(tb.user_page_records(spark, sf_dir), pages_dir, run="run")
     ingest_stream(spark, pages_dir, out, f"{out}/_checkpoint", now=tb.user_page_time(),
                   files_per_trigger=256)
     _STREAMS[key] = out
@@ -452,7 +506,7 @@ def _customer_stream(spark, sf_dir) -> str:
         if fs.exists(p):
             return hit
     pages_dir, out = scratch_dir(spark, "customer-runs"), scratch_dir(spark, "customer-stream")
-    land_pages(tb.customer_runs(spark, sf_dir), pages_dir, run="run", body=tb.corrupt_page())
+    tb.land_pages(tb.customer_runs(spark, sf_dir), pages_dir, run="run", body=tb.corrupt_page())
     now = F.when(F.col("run") == "1", F.lit(tb.T1)).otherwise(F.lit(tb.T2)).cast("timestamp")
     ingest_stream(spark, pages_dir, out, f"{out}/_checkpoint", now=now, files_per_trigger=256,
                   on_malformed="quarantine")
@@ -594,6 +648,9 @@ QUERIES = {
     "state_after_run": state_after_run_q,
     "merge_state": merge_state_q,
     "resume_point": resume_point_q,
+    "extract_runs_raw": extract_runs_raw,
+    "extract_runs_ledger": extract_runs_ledger,
+    "extract_runs_state": extract_runs_state,
     "page_report": page_report_q,
     "upsert_replay_events": upsert_replay_events,
     "scd2_replay_events": scd2_replay_events,

@@ -2,107 +2,126 @@
 
 A page is one JSON document ``{"data": [record, ...], ...}`` with up to ``PAGE_SIZE``
 records, landed as ``<root>/source=<name>[/run=<id>]/page=<n>/<file>``. Files are read
-whole; source, run and page come from the path; the body is a VARIANT so strings, numbers,
+whole; source, run and page come from the folders; records are VARIANTs so strings, numbers,
 nulls and arrays stay distinguishable. A run is one extraction of a source: its pages are
-applied after those of runs with smaller ids (as text); pages without a run folder are
-one run, in which a page landed again comes after its earlier landing.
+applied after those of earlier runs, in the order of the run ids with digits read as
+numbers; pages without a run folder are one run, in which a page landed again comes after
+its earlier landing. A source either has run folders or has none.
 """
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmart.functions.json_ops import json_kind
+from linkmart.sources.tables import _fs
 
 # Records per page; pages end at the first empty or short page.
 PAGE_SIZE = 50
 
+#: Digits to which a number in a run id is padded.
+_DIGITS = 40
 
-def land_pages(records: DataFrame, out_dir: str, source: str = "source", page: str = "page",
-               pos: str = "pos", json: str = "json", run: str | None = None,
-               body: Column | None = None, mode: str = "overwrite") -> None:
-    """Write one JSON page file per (source[, run], page) from one-record-per-row input.
 
-    Pages are bounded groups (``pos < PAGE_SIZE``), so gathering a page's records is a
-    bounded ``collect_list``; ``sort_array`` on (pos, json) fixes the record order.
-    ``body`` (over source/page and the page's text ``_b``) replaces what is written.
-    ``mode="append"`` lands more pages next to earlier ones."""
-    keys = ["source", *(["run"] if run else []), "page"]
-    columns = dict(zip(keys, [source, *([run] if run else []), page]))
-    grouped = records.groupBy(*[F.col(c).alias(k) for k, c in columns.items()]).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(json).alias("j"))))
-        .alias("_r"))
-    grouped = grouped.withColumn("_b", F.concat(
-        F.lit('{"data":['), F.array_join(F.transform("_r", lambda x: x["j"]), ","), F.lit("]}")))
-    (grouped.select(*keys, (F.col("_b") if body is None else body).alias("value"))
-     .write.mode(mode).partitionBy(*keys).text(out_dir))
+def landed_runs(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
+    """``(source, run, folder)`` of every run landed under ``path``, '' for a source without run
+    folders. Lists the folders of sources and runs, not those of pages."""
+    fs, root = _fs(spark, path)
 
+    def folders(at, name):
+        if not fs.exists(at):
+            return
+        listed = fs.listStatusIterator(at)
+        while listed.hasNext():
+            st = listed.next()
+            if st.isDirectory() and st.getPath().getName().startswith(f"{name}="):
+                yield unquote(st.getPath().getName()[len(name) + 1:]), st.getPath()
 
-def _place(name: str) -> Column:
-    """The value of folder ``name=<value>`` in the file's path, NULL if there is none."""
-    found = F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
-    return F.when(found != "", F.coalesce(F.try_url_decode(F.try_url_decode(found)), found))
+    found = []
+    for source, at in folders(root, "source"):
+        if next(folders(at, "page"), None):  # a source's first folder shows its layout
+            found.append((source, "", at.toString()))
+        found += [(source, run, folder.toString()) for run, folder in folders(at, "run")]
+    return sorted(found)
 
 
-def _located(files: DataFrame) -> DataFrame:
-    """``body VARIANT, text, source, run, page, file, modified`` of whole files.
+def run_key(run: str) -> str:
+    """Text whose order is the order of runs: digits count as numbers (``9`` before ``10``)."""
+    return re.sub(r"\d+", lambda m: m.group().zfill(_DIGITS), run)
 
-    A page that is not one JSON object, and one whose ``data`` is neither an array nor
-    missing, has a NULL body. Source and run are text (``007`` stays ``007``)."""
-    text = F.try_validate_utf8(F.col("content").cast("string"))
-    v = F.try_parse_json(text)
-    data = json_kind(F.try_variant_get(v, "$.data", "variant"))
-    usable = (json_kind(v) == "object") & (data.isNull() | data.isin("array", "null"))
-    return files.select(
-        F.when(usable, v).alias("body"), text.alias("text"), _place("source").alias("source"),
-        F.coalesce(_place("run"), F.lit("")).alias("run"), _place("page").cast("int").alias("page"),
-        F.col("path").alias("file"), F.col("modificationTime").alias("modified"))
 
+def run_order(run: Column) -> Column:
+    """``run_key`` of a column."""
+    padded = F.regexp_replace(run, r"(\d+)", "0" * _DIGITS + "$1")
+    return F.regexp_replace(padded, rf"\d*(\d{{{_DIGITS}}})", "$1")
 
-_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
+def _located(files: DataFrame, source: Column, run: Column, page: Column) -> DataFrame:
+    """``source, run, page, file, modified, records`` of whole files.
 
-def empty_files(spark: SparkSession, path: str) -> DataFrame:
-    """Zero-byte page files under ``path``, in the columns of a binary file scan. Spark's
-    scans leave such files out, so they are taken from the listing (on the driver, as the
-    scan's own listing; a file stream does not see them)."""
-    jvm = spark.sparkContext._jvm
-    found = []
-    for pattern in ("source=*/page=*/*", "source=*/run=*/page=*/*", "page=*/*", "run=*/page=*/*"):
-        glob = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{pattern}")
-        fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for st in fs.globStatus(glob) or []:
-            if st.isFile() and st.getLen() == 0 and st.getPath().getName()[:1] not in "_.":
-                found.append((st.getPath().toString(), st.getModificationTime()))
-    rows = spark.createDataFrame(found, "path string, ms bigint")
-    return rows.select("path", F.timestamp_millis("ms").alias("modificationTime"),
-                       F.lit(0).cast("long").alias("length"), F.lit("").cast("binary").alias("content"))
+    ``records`` holds the elements of ``data`` as ``(value VARIANT, text)``; it is NULL for a
+    page that is cut off, no JSON object, or whose ``data`` is neither an array nor missing.
+    In a whole page in which single records do not parse, the others do, and those have a
+    NULL value and their ``text``."""
+    text = F.try_validate_utf8(F.col("content").cast("string"))
+    parsed = files.select(source.alias("source"), run.alias("run"), page.alias("page"), F.col("path").alias("file"),
+                          F.col("modificationTime").alias("modified"), text.alias("_t"), F.try_parse_json(text).alias("_v"))
+    data = F.try_variant_get("_v", "$.data", "variant")
+    kind = json_kind(data)
+    whole = F.transform(F.try_variant_get(data, "$", "array<variant>"),
+                        lambda x: F.struct(x.alias("value"), F.lit(None).cast("string").alias("text")))
+    # an object by its first and last character that fails to parse fails inside
+    closed = F.col("_t").rlike(r"^\s*\{") & F.col("_t").rlike(r"\}\s*$")
+    parts = F.transform(F.from_json("_t", "data array<string>")["data"],
+                        lambda x: F.struct(F.try_parse_json(x).alias("value"), x.alias("text")))
+    none = F.array().cast("array<struct<value:variant,text:string>>")
+    records = F.when(json_kind(F.col("_v")) == "object", F.when(kind.isNull() | (kind == "null"), none).when(kind == "array", whole)) \
+        .when(F.col("_v").isNull() & closed, parts)
+    return parsed.select("source", "run", "page", "file", "modified", records.alias("records"))
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed pages, one row per file (see ``_located``), however their JSON is laid out."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return _located(files.unionByName(empty_files(spark, path)))
+_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def read_pages_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """Same columns as ``read_pages`` as a file stream; one page per micro-batch by
-    default. File order is not page order: ``run`` and ``page`` travel as columns."""
-    return _located(
-        spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_trigger).load(path))
+def read_pages(spark: SparkSession, path: str, runs: list[tuple[str, str, str]] | None = None) -> DataFrame:
+    """Landed pages, one row per file (see ``_located``), however their JSON is laid out.
+
+    Source, run and page are the partition columns of the folders, as text, so a filter on
+    them prunes the files read. ``runs`` (of ``landed_runs``) restricts the read, and the
+    listing of page files, to those runs. Spark's scans leave zero-byte files out: such a
+    page is missing (see ``missing_pages``)."""
+    runs = landed_runs(spark, path) if runs is None else runs
+    place = [F.col("source"), F.coalesce("run", F.lit("")), F.col("page").try_cast("int")]
+    out = None
+    for keys, folders in (("source string, run string, page string", [f for _, run, f in runs if run]),
+                          ("source string, page string", [f for _, run, f in runs if not run])):
+        if folders:
+            # user-given types keep 007 as it is; pages of a source without runs lie one folder higher
+            files = spark.read.format("binaryFile").schema(f"{_FILE}, {keys}").option("basePath", path).load(folders)
+            located = _located(files if "run" in files.columns else files.withColumn("run", F.lit(None).cast("string")), *place)
+            out = located if out is None else out.unionByName(located)
+    if out is None:
+        nothing = spark.createDataFrame([], f"{_FILE}, source string, run string, page string")
+        return _located(nothing, *place)
+    return out
 
 
-def _page_records(text: Column) -> Column:
-    """Texts of the elements of ``data`` in a page that does not parse as a whole."""
-    return F.from_json(text, "data array<string>")["data"]
+def read_pages_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+    """Same columns as ``read_pages`` as a file stream; one page per micro-batch by
+    default. File order is not page order: ``run`` and ``page`` travel as columns, taken from
+    the path (a stream has one set of partition columns, which not every source may have)."""
 
+    def place(name: str) -> Column:
+        found = F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
+        return F.when(found != "", F.coalesce(F.try_url_decode(F.try_url_decode(found)), found))
 
-def _closed(text: Column) -> Column:
-    """Whether a text is an object by its first and last character: one that fails to
-    parse then fails inside (a record with a duplicate key), else it is cut off."""
-    return text.rlike(r"^\s*\{") & text.rlike(r"\}\s*$") & _page_records(text).isNotNull()
+    files = spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", True) \
+        .option("maxFilesPerTrigger", files_per_trigger).load(path)
+    return _located(files, place("source"), F.coalesce(place("run"), F.lit("")), place("page").try_cast("int"))
 
 
 def load_id(rows: DataFrame) -> Column:
@@ -111,37 +130,45 @@ def load_id(rows: DataFrame) -> Column:
     return F.concat_ws("|", *parts) if parts else F.lit("")
 
 
+def page_rows(pages: DataFrame) -> DataFrame:
+    """One row per record, and one without ``pos`` for a page that has none:
+    ``source_name, run, page, file, modified, bad, n, pos, value VARIANT, text``; ``bad`` tells
+    whether the page is malformed, ``n`` is the number of its records.
+    (``posexplode_outer``: an inner one makes the optimizer infer a pre-filter that parses twice.)"""
+    return pages.select(
+        F.col("source").alias("source_name"), "run", "page", "file", "modified",
+        F.col("records").isNull().alias("bad"), F.coalesce(F.array_size("records"), F.lit(0)).cast("long").alias("n"),
+        F.posexplode_outer("records").alias("pos", "_r"),
+    ).select("source_name", "run", "page", "file", "modified", "bad", "n", "pos", "_r.value", "_r.text")
+
+
 def explode_records(pages: DataFrame) -> DataFrame:
     """One row per element of ``data``: ``source_name, run, page, file, modified, pos, value
     VARIANT, text``. A missing or JSON-null ``data`` is an empty page; malformed pages give
-    no rows here (see ``malformed_pages``). In a whole page in which single records do not
-    parse, the others do, and those have a NULL value and their ``text``.
-    (``posexplode_outer`` + ``pos IS NOT NULL``: the same rows as ``posexplode`` without an
-    inferred pre-filter re-reading ``data``.)"""
-    data = F.try_variant_get(F.col("body"), "$.data", "array<variant>")
-    parts = F.when(F.col("body").isNull() & _closed(F.col("text")), F.transform(
-        _page_records(F.col("text")), lambda x: F.struct(F.try_parse_json(x).alias("value"), x.alias("text"))))
-    whole = F.transform(data, lambda x: F.struct(x.alias("value"), F.lit(None).cast("string").alias("text")))
-    return (
-        pages.select(F.col("source").alias("source_name"), "run", "page", "file", "modified",
-                     F.posexplode_outer(F.coalesce(whole, parts)).alias("pos", "_r"))
-        .where(F.col("pos").isNotNull())
-        .select("source_name", "run", "page", "file", "modified", "pos", "_r.value", "_r.text")
-    )
+    no rows here (see ``malformed_pages``)."""
+    return page_rows(pages).where(F.col("pos").isNotNull()).drop("bad", "n")
 
 
 def malformed_pages(pages: DataFrame) -> DataFrame:
-    """Pages that are cut off, empty, no JSON object, or whose ``data`` is no array."""
-    bad = F.col("body").isNull() & ~F.coalesce(_closed(F.col("text")) & F.try_parse_json("text").isNull(), F.lit(False))
-    return pages.where(bad).select(F.col("source").alias("source_name"), "run", "page")
+    """Pages that are cut off, no JSON object, or whose ``data`` is no array."""
+    return pages.where(F.col("records").isNull()).select(F.col("source").alias("source_name"), "run", "page")
 
 
 def page_sizes(pages: DataFrame) -> DataFrame:
     """``source, run, page, bad, n``: whether each page is malformed and its records."""
-    data = F.try_variant_get("body", "$.data", "array<variant>")
-    parts = F.when(F.col("body").isNull() & _closed(F.col("text")), F.size(_page_records(F.col("text"))))
-    n = F.when(F.col("body").isNotNull(), F.coalesce(F.size(data), F.lit(0))).otherwise(parts)
-    return pages.select("source", "run", "page", n.isNull().alias("bad"), F.coalesce(n, F.lit(0)).cast("long").alias("n"))
+    return pages.select("source", "run", "page", F.col("records").isNull().alias("bad"),
+                        F.coalesce(F.array_size("records"), F.lit(0)).cast("long").alias("n"))
+
+
+def missing_pages(pages: DataFrame) -> DataFrame:
+    """``source_name, run, page``: where a gap in the page numbers of a run starts. A join of
+    each page with its successor, so a run of any length spreads over tasks."""
+    at = pages.select(F.col("source").alias("source_name"), "run", "page").distinct()
+    last = at.groupBy("source_name", "run").agg(F.max("page").alias("last"))
+    after = at.select("source_name", "run", (F.col("page") + 1).alias("page")).unionByName(
+        at.select("source_name", "run", F.lit(0).alias("page")).distinct())
+    return after.join(at, ["source_name", "run", "page"], "left_anti").join(last, ["source_name", "run"]) \
+        .where("page < last").select("source_name", "run", "page")
 
 
 def page_report(pages: DataFrame) -> DataFrame:
@@ -169,7 +196,7 @@ def ingest_pages(pages: DataFrame, now, on_malformed: str = "fail",
 
     Incoming records are ``(id, payload, _order)`` with ``_order = (run, page, pos)``, so the
     refresh job keeps the latest record per id (``latest_per_key``, a partial aggregate).
-    Malformed pages raise (``on_malformed="fail"``) or become ``malformed_page``
+    Malformed and missing pages raise (``on_malformed="fail"``), or malformed ones become ``malformed_page``
     quarantine rows (``"quarantine"``). ``on_duplicate="error"`` raises when one page
     holds the same id twice (a single-page upsert in the modelled database fails the
     same way); ``"last"`` lets the later position win. The source list is the distinct
@@ -178,9 +205,10 @@ def ingest_pages(pages: DataFrame, now, on_malformed: str = "fail",
 
     bad_pages = malformed_pages(pages)
     if on_malformed == "fail":
-        first = bad_pages.orderBy("source_name", "page").first()
+        wrong = bad_pages.withColumn("kind", F.lit("malformed")).unionByName(missing_pages(pages).withColumn("kind", F.lit("missing")))
+        first = wrong.orderBy("source_name", "page").first()
         if first is not None:
-            raise ValueError(f"malformed page {first['page']} of {first['source_name']}")
+            raise ValueError(f"{first['kind']} page {first['page']} of {first['source_name']}")
     labelled = label_records(explode_records(pages))
     good = labelled.where(F.col("reason").isNull())
     bad = labelled.where(F.col("reason").isNotNull())
@@ -200,7 +228,7 @@ def ingest_pages(pages: DataFrame, now, on_malformed: str = "fail",
     sources = [r[0] for r in pages.select("source").distinct().collect()]  # one per folder
     incoming = {
         s: good.where(F.col("source_name") == s).select(
-            "id", "payload", F.struct("run", F.col("page").cast("long").alias("page"),
+            "id", "payload", F.struct(run_order(F.col("run")).alias("run"), F.col("page").cast("long").alias("page"),
                                       "modified", F.col("pos").cast("long").alias("pos")).alias("_order"))
         for s in sources
     }

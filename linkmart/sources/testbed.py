@@ -205,3 +205,60 @@ def customer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = customer_page_records(spark, sf_dir).withColumn("run", F.lit("1"))
     again = customer_page_records(spark, sf_dir, batch=2).withColumn("run", F.lit("2"))
     return first.unionByName(again)
+
+
+def extraction_records(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    """Customers and suppliers as one extraction of each, key k on page k div 50:
+
+    run 8   both, as they are
+    run 9   customers from page 1 on, lower(segment) where k%3=0
+    run 10  both: customers with segment || '10' where k%4=0, suppliers with name || '10' where k%2=0
+
+    A row without json on the page after the last key makes an empty page, with which a
+    source ends whose last page is full."""
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    seg = F.col("c_mktsegment")
+    if run == "9":
+        c, seg = c.where(k >= PAGE_SIZE), F.when(_mod(k, 3), F.lower(seg)).otherwise(seg)
+    if run == "10":
+        seg = F.when(_mod(k, 4), F.concat(seg, F.lit("10"))).otherwise(seg)
+    out = c.select(F.lit("customers").alias("source"), k.alias("k"), _payload(
+        id=_var(k.cast("string")), name=_var(F.col("c_name")), segment=_var(seg)).alias("json"))
+    if run != "9":
+        sup, k = table(spark, sf_dir, "supplier"), F.col("s_suppkey")
+        name = F.col("s_name")
+        if run == "10":
+            name = F.when(_mod(k, 2), F.concat(name, F.lit("10"))).otherwise(name)
+        out = out.unionByName(sup.select(F.lit("suppliers").alias("source"), k.alias("k"), _payload(
+            id=_var(k.cast("string")), name=_var(name)).alias("json")))
+    ends = out.groupBy("source").agg((F.max("k") + PAGE_SIZE).alias("k"), F.lit(None).cast("string").alias("json"))
+    out = out.unionByName(ends)
+    return out.select("source", F.lit(run).alias("run"), F.expr("cast(k div 50 as int)").alias("page"),
+                      F.expr("cast(k % 50 as int)").alias("pos"), "json")
+
+
+def broken_extraction_page() -> Column:
+    """Page text in which customers' page 2 of run 8 and page 1 of run 10 are cut off."""
+    cut = (F.col("source") == "customers") & (
+        ((F.col("run") == "8") & (F.col("page") == 2)) | ((F.col("run") == "10") & (F.col("page") == 1)))
+    return F.when(cut, F.expr("substring(_b, 1, length(_b) - 3)")).otherwise(F.col("_b"))
+
+
+def land_pages(records: DataFrame, out_dir: str, source: str = "source", page: str = "page",
+               pos: str = "pos", json: str = "json", run: str | None = None,
+               body: Column | None = None, mode: str = "overwrite") -> None:
+    """Write one JSON page file per (source[, run], page) from one-record-per-row input.
+
+    Pages are bounded groups (``pos < PAGE_SIZE``), so gathering a page's records is a
+    bounded ``collect_list``; ``sort_array`` on (pos, json) fixes the record order.
+    ``body`` (over source/page and the page's text ``_b``) replaces what is written.
+    ``mode="append"`` lands more pages next to earlier ones."""
+    keys = ["source", *(["run"] if run else []), "page"]
+    columns = dict(zip(keys, [source, *([run] if run else []), page]))
+    grouped = records.groupBy(*[F.col(c).alias(k) for k, c in columns.items()]).agg(
+        F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(json).alias("j"))))
+        .alias("_r"))
+    grouped = grouped.withColumn("_b", F.concat(
+        F.lit('{"data":['), F.array_join(F.transform("_r", lambda x: x["j"]), ","), F.lit("]}")))
+    (grouped.select(*keys, (F.col("_b") if body is None else body).alias("value"))
+     .write.mode(mode).partitionBy(*keys).text(out_dir))

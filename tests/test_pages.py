@@ -3,8 +3,12 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from linkmart.operators.records import label_records
-from linkmart.sources.pages import explode_records, ingest_pages, malformed_pages, read_pages
+from linkmart.sources.pages import (
+    explode_records, ingest_pages, landed_runs, malformed_pages, missing_pages, read_pages, run_key, run_order,
+)
 
 
 def _land(root, source, page, text):
@@ -26,9 +30,11 @@ def test_layouts_and_envelopes(spark, scratch):
     _land(root, "007", 6, json.dumps({"other": 1}))
     _land(root, "007", 7, '{"data": [{"id": "9"}, {"id"')
     pages = read_pages(spark, root)
-    assert sorted(tuple(r) for r in pages.select("source", "page").collect()) == [("007", i) for i in range(8)]
+    # a file of no bytes is not read: its page is missing
+    assert sorted(tuple(r) for r in pages.select("source", "page").collect()) == [("007", i) for i in (0, 2, 3, 4, 5, 6, 7)]
+    assert [tuple(r) for r in missing_pages(pages).collect()] == [("007", "", 1)]
     bad = sorted(r["page"] for r in malformed_pages(pages).collect())
-    assert bad == [1, 2, 3, 7]
+    assert bad == [2, 3, 7]
     rows = {(r["page"], r["pos"]): (r["id"], r["reason"]) for r in label_records(explode_records(pages)).collect()}
     assert rows == {(0, 0): ("1", None), (0, 1): ("2", None), (4, 0): (None, "unparseable_json"), (4, 1): ("4", None)}
 
@@ -43,3 +49,30 @@ def test_batch_quarantine_keeps_every_landing(spark, scratch):
         assert set(incoming) == {"s"}
         ids += [r["raw_id"] for r in bad.collect()]
     assert len(set(ids)) == 2
+
+
+def test_filters_on_places_prune_the_files(spark, scratch):
+    root = scratch("pages")
+    for run in ("9", "10", "2024-01-01T00:00"):
+        for page in range(2):
+            d = os.path.join(root, "source=s", f"run={run.replace(':', '%3A')}", f"page={page}")
+            os.makedirs(d)
+            with open(os.path.join(d, "p.json"), "w") as f:
+                f.write('{"data": [{"id": "1"}]}')
+    _land(root, "007", 0, '{"data": [{"id": "2"}]}')
+    pages = read_pages(spark, root)
+    got = sorted(tuple(r) for r in pages.select("source", "run", "page").collect())
+    assert got == sorted([("007", "", 0), *(("s", r, p) for r in ("9", "10", "2024-01-01T00:00") for p in (0, 1))])
+    some = pages.where((F.col("source") == "s") & (F.col("run") == "9") & (F.col("page") == 1))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source" in plan and some.count() == 1
+    assert [x[:2] for x in landed_runs(spark, root)] == [("007", ""), ("s", "10"), ("s", "2024-01-01T00:00"), ("s", "9")]
+    assert read_pages(spark, root, [x for x in landed_runs(spark, root) if x[1] == "10"]).count() == 2
+    assert read_pages(spark, scratch("none")).count() == 0
+
+
+def test_runs_are_ordered_with_digits_as_numbers(spark):
+    runs = ["10", "9", "r2-1", "r10", "2024-01-02", "2024-01-10", "a", "", "09"]
+    rows = spark.createDataFrame([(r,) for r in runs], "run string").select("run", run_order(F.col("run")).alias("k")).collect()
+    assert {r["run"]: r["k"] for r in rows} == {r: run_key(r) for r in runs}
+    assert sorted(["10", "9", "2024-01-10", "2024-01-02"], key=run_key) == ["9", "10", "2024-01-02", "2024-01-10"]
