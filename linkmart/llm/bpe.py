@@ -3,7 +3,7 @@
 Tier one. A minimal perfect hash over the vocabulary's byte strings resolves a pre-token that
 is a vocabulary entry as a whole: a bucket's seed sends each of its keys to a slot of its own,
 there are as many slots as keys, and the bytes stored in the slot are compared, so a string
-outside the vocabulary is told apart. The new pre-tokens of a chunk are looked up together.
+outside the vocabulary is told apart.
 
 Tier two. Any other pre-token is a doubly linked list of bytes with a heap of adjacent pairs
 by (rank of the joined bytes, place); the smallest pair is joined until none is in the
@@ -11,7 +11,7 @@ vocabulary. Pairs that a join has changed are left in the heap and skipped when
 
 Encoding is a map over the documents, decoding a map over the ids: no shuffle. The vocabulary
 goes to the tasks as one broadcast, whose size is that of the vocabulary file (``MAX_ENTRIES``
-is checked). Pre-tokens are cached per task up to ``CACHE`` entries; a long text is cut into
+is checked). Pre-tokens are kept per Python worker up to ``CACHE`` entries; a long text is cut into
 pre-tokens piece by piece, so beside the text itself memory holds one chunk and its ids.
 
 Defined cases: NULL and empty texts have no ids and decode to no bytes; bytes that are not
@@ -23,12 +23,14 @@ named columns are read, so other columns may have any name.
 from __future__ import annotations
 
 import base64
-import heapq
+import gc
 from array import array
+from heapq import heapify, heappop, heappush
 from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +39,7 @@ from pyspark.sql import types as T
 
 #: Most entries of a vocabulary that is broadcast.
 MAX_ENTRIES = 1 << 20
-#: Characters encoded together, pre-tokens of a long text taken at once, cached pre-tokens.
+#: Characters of a batch that leaves a task, pre-tokens of a long text taken at once, cached pre-tokens.
 CHUNK_CHARS = 1 << 20
 CHUNK_PIECES = 1 << 16
 CACHE = 1 << 19
@@ -56,7 +58,7 @@ class PerfectHash:
         buckets: dict[int, list[int]] = {}
         for k, b in enumerate((hashes % np.uint64(max(1, n))).tolist()):
             buckets.setdefault(b, []).append(k)
-        self.seeds = np.zeros(n, np.int64)  # of each bucket; -1 - slot for a bucket of one key
+        self.seeds = array("q", bytes(8 * n))  # of each bucket; -1 - slot for a bucket of one key
         owner = np.full(n, -1, np.int64)
         single = []
         plain = hashes.tolist()
@@ -80,6 +82,7 @@ class PerfectHash:
         self.keys = [keys[k] for k in owner.tolist()]
         self.values = [values[key] for key in self.keys]
         self.longest = max(map(len, keys), default=0)
+        self.digest = xxhash.xxh3_128_hexdigest(repr(sorted(values.items())))
 
     @staticmethod
     def _hashes(keys: list[bytes]) -> np.ndarray:
@@ -93,20 +96,10 @@ class PerfectHash:
         if len(key) > self.longest or not self.n:
             return -1
         h = xxhash.xxh3_64_intdigest(key)
-        seed = int(self.seeds[h % self.n])
+        seed = self.seeds[h % self.n]
         slot = -1 - seed if seed < 0 else self._slot(h, seed)
         return self.values[slot] if self.keys[slot] == key else -1
 
-    def find_many(self, keys: list[bytes]) -> list[int]:
-        if not self.n or not keys:
-            return [-1] * len(keys)
-        h = self._hashes(keys)
-        seeds = self.seeds[(h % np.uint64(self.n)).astype(np.int64)]
-        z = (h ^ (seeds.astype(np.uint64) * np.uint64(_STEP))) * np.uint64(_MIX)
-        slots = ((z ^ (z >> np.uint64(32))) % np.uint64(self.n)).astype(np.int64)
-        slots = np.where(seeds < 0, -1 - seeds, slots).tolist()
-        stored, values = self.keys, self.values
-        return [values[s] if stored[s] == key else -1 for s, key in zip(slots, keys)]
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -124,6 +117,11 @@ class Ranks(dict):
     def __init__(self, table: PerfectHash):
         super().__init__()
         self.find = table.find
+        pairs = [-1] * (1 << 16)  # of two bytes, by their number
+        for key, rank in zip(table.keys, table.values):
+            if len(key) == 2:
+                pairs[key[0] << 8 | key[1]] = rank
+        self.pairs = pairs
 
     def __missing__(self, key: bytes) -> int:
         if len(self) >= CACHE // 2:
@@ -132,25 +130,31 @@ class Ranks(dict):
         return rank
 
 
-def join_bytes(piece: bytes, ranks) -> list[int]:
+def join_bytes(piece: bytes, ranks: Ranks) -> list[int]:
     """Ranks of ``piece``, joined pair by pair, smallest rank first, leftmost of equal ones."""
     n = len(piece)
     end = list(range(1, n + 1))  # of the part that starts here; 0 once it was joined to the left
     before = list(range(-1, n))
-    heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := ranks[piece[i:i + 2]]) >= 0]  # rank, start, end of a pair
-    heapq.heapify(heap)
+    # a pair is one number: rank, start, end
+    pairs, bits = ranks.pairs, n.bit_length()
+    twice, mask = 2 * bits, (1 << bits) - 1
+    heap = [rank << twice | i << bits | i + 2 for i, (a, b) in enumerate(zip(piece, piece[1:])) if (rank := pairs[a << 8 | b]) >= 0]
+    heapify(heap)
     while heap:
-        _, start, stop = heapq.heappop(heap)
+        pair = heappop(heap)
+        start, stop = pair >> bits & mask, pair & mask
         middle = end[start]
         if middle == 0 or middle >= stop or end[middle] != stop:
             continue
         end[start], end[middle] = stop, 0
         before[stop] = start
-        if stop < n and (rank := ranks[piece[start:end[stop]]]) >= 0:
-            heapq.heappush(heap, (rank, start, end[stop]))
+        if stop < n:
+            right = end[stop]
+            if (rank := ranks[piece[start:right]]) >= 0:
+                heappush(heap, rank << twice | start << bits | right)
         left = before[start]
         if left >= 0 and (rank := ranks[piece[left:stop]]) >= 0:
-            heapq.heappush(heap, (rank, left, stop))
+            heappush(heap, rank << twice | left << bits | stop)
     out, at = [], 0
     while at < n:
         out.append(ranks[piece[at:end[at]]])
@@ -158,42 +162,47 @@ def join_bytes(piece: bytes, ranks) -> list[int]:
     return out
 
 
+class Pieces(dict):
+    """Ids of pre-tokens: whole ones by the perfect hash, others joined from bytes; bounded."""
+
+    def __init__(self, table: PerfectHash):
+        super().__init__()
+        self.find, self.ranks = table.find, Ranks(table)
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        if len(self) >= CACHE:
+            self.clear()
+        data = piece.encode()
+        rank = self.find(data)
+        ids = self[piece] = (rank,) if rank >= 0 else tuple(join_bytes(data, self.ranks))
+        return ids
+
+
 class Encoder:
     """Texts to ids with one vocabulary and one pre-token pattern."""
 
     def __init__(self, table: PerfectHash, pattern: str):
-        self.table, self.ranks, self.pattern, self.known = table, Ranks(table), regex.compile(pattern), {}
+        self.known, self.pattern = Pieces(table), regex.compile(pattern)
 
-    def _pieces(self, text: str):
+    def encode(self, text: str) -> array:
         if len(text) <= CHUNK_CHARS:
-            yield self.pattern.findall(text)
-            return
-        found = (m.group() for m in self.pattern.finditer(text))
+            return array("i", chain.from_iterable(map(self.known.__getitem__, self.pattern.findall(text))))
+        ids, found = array("i"), (m.group() for m in self.pattern.finditer(text))
         while chunk := list(islice(found, CHUNK_PIECES)):
-            yield chunk
-
-    def _learn(self, pieces: set[str]) -> None:
-        fresh = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(fresh) > CACHE:
-            self.known.clear()
-            fresh = list(pieces)
-        raw = [p.encode() for p in fresh]
-        for piece, data, rank in zip(fresh, raw, self.table.find_many(raw)):
-            self.known[piece] = (rank,) if rank >= 0 else tuple(join_bytes(data, self.ranks))
-
-    def encode(self, texts: list[str]) -> list[array]:
-        out = []
-        if sum(map(len, texts)) <= CHUNK_CHARS:
-            cut = [self.pattern.findall(t) for t in texts]
-            self._learn(set(chain.from_iterable(cut)))
-            return [array("i", chain.from_iterable(map(self.known.__getitem__, pieces))) for pieces in cut]
-        for text in texts:
-            ids = array("i")
-            for pieces in self._pieces(text):
-                self._learn(set(pieces))
-                ids.extend(chain.from_iterable(map(self.known.__getitem__, pieces)))
-            out.append(ids)
-        return out
+            ids.extend(chain.from_iterable(map(self.known.__getitem__, chunk)))
+        return ids
+
+
+#: The encoder that this Python worker used last, with its vocabulary and pattern: later tasks find
+#: its pre-tokens known.
+_last: list = []
+
+
+def _encoder(table, pattern: str) -> Encoder:
+    key = (table.value.digest, pattern)
+    if not _last or _last[0] != key:
+        _last[:] = [key, Encoder(table.value, pattern)]
+    return _last[1]
 
 
 # -- the operators -----------------------------------------------------------------------
@@ -207,24 +216,28 @@ def encode_texts(
     table = spark.sparkContext.broadcast(PerfectHash(load_ranks(ranks_path)))
 
     def run(batches):
-        encoder = Encoder(table.value, pattern)
+        encoder = _encoder(table, pattern)
 
         def rows(ids, texts):
-            found = encoder.encode(texts)
+            found = [encoder.encode(text) for text in texts]
             ends = np.cumsum([0, *map(len, found)])
             values = np.concatenate([np.frombuffer(f, np.int32) for f in found])
             return pa.record_batch([ids, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))], names=["id", "ids"])
 
-        for batch in batches:
-            start, texts, held = 0, [], 0
-            for at, text in enumerate(batch.column(1)):
-                texts.append(text.as_py())
-                held += len(texts[-1])
-                if held >= CHUNK_CHARS // 2:
+        gc.disable()  # many small tuples and no cycles: collecting would walk the known pre-tokens
+        try:
+            for batch in batches:
+                start, texts, held = 0, [], 0
+                for at, text in enumerate(batch.column(1)):
+                    texts.append(text.as_py())
+                    held += len(texts[-1])
+                    if held >= CHUNK_CHARS // 2:
+                        yield rows(batch.column(0).slice(start, len(texts)), texts)
+                        start, texts, held = at + 1, [], 0
+                if texts:
                     yield rows(batch.column(0).slice(start, len(texts)), texts)
-                    start, texts, held = at + 1, [], 0
-            if texts:
-                yield rows(batch.column(0).slice(start, len(texts)), texts)
+        finally:
+            gc.enable()
 
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     text = F.make_valid_utf8(F.coalesce(F.col(text_col), F.lit("")))
@@ -234,7 +247,7 @@ def encode_texts(
 def decode_ids(spark: SparkSession, encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with ``out_col``, the bytes of its array of ids (a column of that name is replaced)."""
     ranks = load_ranks(ranks_path)
-    words = [b""] * (max(ranks.values(), default=-1) + 1)
+    words = [None] * (max(ranks.values(), default=-1) + 1)
     for word, rank in ranks.items():
         words[rank] = word
     table = spark.sparkContext.broadcast(words)
@@ -245,15 +258,13 @@ def decode_ids(spark: SparkSession, encoded: DataFrame, ranks_path: str, ids_col
     def run(batches):
         word = table.value
 
-        def text(ids):
-            if len(ids) and not 0 <= min(ids) <= max(ids) < len(word):
-                raise ValueError("an id is outside the vocabulary")
-            return b"".join(map(word.__getitem__, ids))
-
         for batch in batches:
+            range_ = pc.min_max(batch.column(place).flatten()).as_py()
+            if range_["min"] is not None and not 0 <= range_["min"] <= range_["max"] < len(word):
+                raise ValueError("an id is outside the vocabulary")
             start, out, held = 0, [], 0
             for at, ids in enumerate(batch.column(place)):
-                out.append(text(ids.values.to_pylist() if ids.is_valid else []))
+                out.append(b"".join(map(word.__getitem__, ids.values.to_pylist())) if ids.is_valid else b"")
                 held += len(out[-1])
                 if held >= CHUNK_CHARS or at == batch.num_rows - 1:
                     part = batch.slice(start, len(out))
