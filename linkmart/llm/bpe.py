@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import gc
+import re
 from array import array
 from heapq import heapify, heappop, heappush
 from itertools import chain, islice
@@ -42,7 +43,7 @@ MAX_ENTRIES = 1 << 20
 #: Characters of a batch that leaves a task, pre-tokens of a long text taken at once, cached pre-tokens.
 CHUNK_CHARS = 1 << 20
 CHUNK_PIECES = 1 << 16
-CACHE = 1 << 19
+CACHE = 1 << 20
 
 _MASK = (1 << 64) - 1
 _STEP, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -124,7 +125,7 @@ class Ranks(dict):
         self.pairs = pairs
 
     def __missing__(self, key: bytes) -> int:
-        if len(self) >= CACHE // 2:
+        if len(self) >= CACHE // 4:
             self.clear()
         rank = self[key] = self.find(key)
         return rank
@@ -163,31 +164,65 @@ def join_bytes(piece: bytes, ranks: Ranks) -> list[int]:
 
 
 class Pieces(dict):
-    """Ids of pre-tokens: whole ones by the perfect hash, others joined from bytes; bounded."""
+    """Ids of pre-tokens: whole ones by the perfect hash, others joined from bytes. Bounded: when
+    half of ``CACHE`` is known, it becomes the older half, from which what is met again comes back."""
 
     def __init__(self, table: PerfectHash):
         super().__init__()
-        self.find, self.ranks = table.find, Ranks(table)
+        self.find, self.ranks, self.older = table.find, Ranks(table), {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= CACHE:
+        ids = self.older.get(piece)
+        if ids is None:
+            data = piece.encode()
+            rank = self.find(data)
+            ids = (rank,) if rank >= 0 else tuple(join_bytes(data, self.ranks))
+        if len(self) >= CACHE // 2:
+            self.older = dict(self)
             self.clear()
-        data = piece.encode()
-        rank = self.find(data)
-        ids = self[piece] = (rank,) if rank >= 0 else tuple(join_bytes(data, self.ranks))
+        self[piece] = ids
         return ids
 
 
+def latin_pattern(pattern: str) -> re.Pattern | None:
+    """The same pattern for texts of the first 256 code points only, with their classes written out,
+    which the plainer ``re`` matches faster; None if it holds a class that cannot be."""
+    out, at, inside = [], 0, False
+    while at < len(pattern):
+        found = re.compile(r"\\p\{\w+\}|\\[sS]|\\.|.", re.S).match(pattern, at)
+        token, at = found.group(), found.end()
+        if re.match(r"\\[sS]|\\p", token):
+            members = "".join(map(re.escape, filter(regex.compile(token.replace("S", "s")).match, map(chr, range(256)))))
+            if token == r"\S" and inside:
+                return None
+            token = members if inside else f"[{'^' if token == chr(92) + 'S' else ''}{members}]"
+        elif re.match(r"\\[a-zA-Z]", token) or token == ".":
+            return None
+        elif token in "[]":
+            inside = token == "["
+        out.append(token)
+    return re.compile("".join(out))
+
+
 class Encoder:
     """Texts to ids with one vocabulary and one pre-token pattern."""
 
     def __init__(self, table: PerfectHash, pattern: str):
         self.known, self.pattern = Pieces(table), regex.compile(pattern)
+        self.latin = latin_pattern(pattern) or self.pattern
+
+    def _matcher(self, text: str):
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.pattern
+        return self.latin
 
     def encode(self, text: str) -> array:
+        matcher = self._matcher(text)
         if len(text) <= CHUNK_CHARS:
-            return array("i", chain.from_iterable(map(self.known.__getitem__, self.pattern.findall(text))))
-        ids, found = array("i"), (m.group() for m in self.pattern.finditer(text))
+            return array("i", chain.from_iterable(map(self.known.__getitem__, matcher.findall(text))))
+        ids, found = array("i"), (m.group() for m in matcher.finditer(text))
         while chunk := list(islice(found, CHUNK_PIECES)):
             ids.extend(chain.from_iterable(map(self.known.__getitem__, chunk)))
         return ids

@@ -1,0 +1,120 @@
+"""Spelling variants against brute force: neighbourhoods, hot buckets, forms and roots."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from linkmart.llm import variants as V
+from linkmart.llm.variants import drop_some_letters, group_variants, letter_runs, word_counts
+
+LETTERS = [chr(c) for c in V._ALPHABET]
+
+
+def _edits(word):
+    out = {word}
+    for i in range(len(word) + 1):
+        out |= {word[:i] + c + word[i:] for c in LETTERS}
+        if i < len(word):
+            out |= {word[:i] + word[i + 1:]} | {word[:i] + c + word[i + 1:] for c in LETTERS}
+    return out
+
+
+def _brute(counts):
+    near = {w: sorted(o for o in _edits(w) - {w} if o in counts) for w in counts}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-counts[o], o), default=None)
+        if best is not None and counts[best] >= 5 * counts[w]:
+            form[w] = best
+    rows = set()
+    for w in counts:
+        root = w
+        while root in form:
+            root = form[root]
+        rows.add((w, counts[w], len(near[w]), form.get(w), counts.get(form.get(w)), root))
+    return rows
+
+
+def _rows(df):
+    return {tuple(r) for r in df.select("word", "n", "n_near", "form", "form_n", "root").collect()}
+
+
+def test_neighbourhoods_hold_every_edit_once():
+    rnd = random.Random(1)
+    words = ["", "a", "aa", *("".join(rnd.choice("abéz") for _ in range(rnd.randrange(1, 9))) for _ in range(25))]
+    symbol, found = V.own_symbols(), {}
+    for index, h in V.neighbourhoods(words, symbol, len(LETTERS)):
+        for i, x in zip(index.tolist(), h.tolist()):
+            found.setdefault(i, []).append(x)
+    for i, w in enumerate(words):
+        assert sorted(found[i]) == sorted(V.hashes(sorted(_edits(w)), symbol).tolist()), w
+
+
+def test_slices_cut_words_of_any_length(monkeypatch):
+    words = ["abcabcabca", "zz", "é" * 7]
+    whole = sorted(x for _, h in V.neighbourhoods(words, V.own_symbols(), 90) for x in h.tolist())
+    monkeypatch.setattr(V, "_SLICE", 300)
+    parts = [h for _, h in V.neighbourhoods(words, V.own_symbols(), 90)]
+    assert sorted(x for h in parts for x in h.tolist()) == whole
+    assert max(map(len, parts)) <= 300
+
+
+@pytest.mark.parametrize("symbols,hot", [(8, 64), (8, 1), (2, 3), (1, 0)])
+def test_equal_to_brute_force_for_any_alphabet(spark, symbols, hot):
+    rnd = random.Random(2)
+    counts = {"".join(rnd.choice("aböÿ") for _ in range(rnd.randrange(3, 8))): rnd.choice([5, 6, 30, 31, 200, 5000]) for _ in range(260)}
+    words = spark.createDataFrame(list(counts.items()), "word string, n long")
+    assert _rows(group_variants(spark, words, symbols=symbols, hot=hot)) == _brute(counts)
+
+
+def test_many_words_in_one_bucket(spark):
+    """A reduced word that stands for a third of all words gives only true neighbours."""
+    symbol = V.reduced_symbols(V.SYMBOLS)
+    alike = [c for c, s in zip(LETTERS, symbol) if s == symbol[0]]
+    rnd = random.Random(3)
+    hot = {"".join(rnd.choice(alike) for _ in range(8)) for _ in range(1500)}
+    hot |= {w[:3] + rnd.choice(alike) + w[4:] for w in list(hot)[:300]}
+    other = {"".join(rnd.choice(LETTERS) for _ in range(8)) for _ in range(2500)}
+    counts = {w: rnd.choice([5, 40, 300]) for w in hot | other}
+    words = spark.createDataFrame(list(counts.items()), "word string, n long")
+    assert _rows(group_variants(spark, words)) == _brute(counts)
+
+
+def test_ties_chains_and_long_words(spark):
+    long = "ab" * 40_000
+    counts = {"colour": 500, "colours": 500, "coloir": 100, "coloirs": 20, "coloirsx": 5, "colourx": 100,
+              long: 400, long + "c": 9, long[:-1]: 8, "éàüöñç": 50, "éàüoñç": 5}
+    words = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = {r["word"]: r for r in group_variants(spark, words).collect()}
+    assert (got["colourx"]["form"], got["colourx"]["root"]) == ("colour", "colour")  # a tie: the smaller
+    assert (got["coloirsx"]["form"], got["coloirsx"]["root"]) == ("coloirs", "colour")  # over coloir
+    assert got["colour"]["form"] is None and got["colour"]["root"] == "colour" and got["colour"]["n_near"] == 3
+    assert got[long + "c"]["form"] == long and got[long[:-1]]["root"] == long and got[long]["n_near"] == 2
+    assert got["éàüoñç"]["form"] == "éàüöñç"
+    assert group_variants(spark, words.limit(0)).count() == 0
+
+
+def _brute_counts(docs, every):
+    counts = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % every == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 6 and n >= 2}
+
+
+def test_words_of_whole_texts(spark):
+    rnd = random.Random(6)
+    pool = ["Marmelade", "marmelAde", "ÉTUDES", "straße", "kurz", "a", "x1234567", "l'étrange", "÷×÷×÷×", "漢字漢字漢字", "naïveté"]
+    docs = [(i if i % 7 else None, " ".join(rnd.choice(pool) for _ in range(rnd.randrange(60)))) for i in range(60)]
+    docs += [(100, None), (101, ""), (102, "Marmelade " * 30_000), (1, docs[1][1]), (1, docs[1][1])]
+    frame = spark.createDataFrame([(a, b, "x", 1) for a, b in docs], "doc_id long, text string, run string, word int")
+    got = word_counts(drop_some_letters(letter_runs(frame), 3), 6, 2)
+    assert {r["word"]: r["n"] for r in got.collect()} == _brute_counts(docs, 3)
+    assert word_counts(letter_runs(frame.limit(0)), 6, 2).count() == 0
