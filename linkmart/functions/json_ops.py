@@ -25,6 +25,49 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# A VARIANT holds decimals of up to 38 digits exactly and reads numbers with an exponent as
+# doubles. Such texts are rewritten before they are parsed: a number with an exponent in
+# plain digits, and one of more digits as a string behind a mark that is taken off again.
+_MARK = "\ue000#"
+_UNUSUAL = r"[0-9][eE][+-]?[0-9]|[0-9][0-9.]{38}"
+_TOKENS = r'"(?:[^"\\]|\\.)*+"|-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|[^"0-9-]++|.'
+_NUMBER = r"^(-?)([0-9]+)(?:\.([0-9]+))?(?:[eE]([+-]?[0-9]{1,9}))?$"
+#: Numbers with a larger exponent stay as they are written.
+_MAX_EXPONENT = 400
+
+
+def _plain(token: Column) -> Column:
+    """The number ``token`` without exponent and idle zeros; a longer one as a marked string."""
+    part = lambda i: F.regexp_extract(token, _NUMBER, i)
+    e = F.coalesce(part(4).try_cast("int"), F.lit(0))
+    digits, whole = F.concat(part(2), part(3)), F.length(part(2)) + e
+    left = F.when(whole <= 0, F.lit("0")).when(whole >= F.length(digits), F.rpad(digits, whole, "0")) \
+        .otherwise(F.substring(digits, F.lit(1), whole))
+    right = F.when(whole >= F.length(digits), F.lit("")).when(whole <= 0, F.concat(F.repeat(F.lit("0"), -whole), digits)) \
+        .otherwise(F.substring(digits, whole + 1, F.length(digits)))
+    left, right = F.regexp_replace(left, "^0+(?=.)", ""), F.regexp_replace(right, "0+$", "")
+    sign = F.when((left == "0") & (right == ""), F.lit("")).otherwise(part(1))
+    number = F.concat(sign, left, F.when(right != "", F.concat(F.lit("."), right)).otherwise(F.lit("")))
+    mark = lambda x: F.concat(F.lit(f'"{_MARK}'), x, F.lit('"'))
+    short = F.length(F.concat(F.when(left == "0", F.lit("")).otherwise(left), right)) <= 38
+    return F.when(F.abs(e) > _MAX_EXPONENT, mark(token)).when(short, number).otherwise(mark(number))
+
+
+def exact_numbers(text) -> Column:
+    """JSON text whose numbers, outside strings, a VARIANT holds exactly (see ``variant_json``);
+    other texts pass through after one look."""
+    t = _col(text)
+    tokens = F.regexp_extract_all(t, F.lit(f"(?s){_TOKENS}"), F.lit(0))
+    exact = F.array_join(F.transform(tokens, lambda x: F.when(x.rlike(_NUMBER) & x.rlike(_UNUSUAL), _plain(x)).otherwise(x)), "")
+    return F.when(t.rlike(_UNUSUAL) & ~t.contains(_MARK[0]), exact).otherwise(t)
+
+
+def variant_json(v) -> Column:
+    """JSON text of a VARIANT parsed from ``exact_numbers``: keys sorted, marks taken off."""
+    text = F.to_json(_col(v))
+    return F.when(text.contains(_MARK), F.regexp_replace(text, f'"{_MARK}([-+0-9.eE]+)"', "$1")).otherwise(text)
+
+
 def as_variant(c) -> Column:
     """Parse JSON text to VARIANT (NULL when unparseable); VARIANT input passes through."""
     return F.try_parse_json(_col(c))
@@ -43,9 +86,10 @@ def json_value(v, key: str) -> Column:
 
 
 def canonical_json(payload) -> Column:
-    """Key-sorted, whitespace-free JSON text; equal JSON documents give equal text.
-    NULL for unparseable text (including duplicate keys)."""
-    return F.to_json(F.try_parse_json(_col(payload)))
+    """Key-sorted, whitespace-free JSON text; equal JSON documents give equal text, however
+    their numbers are written (``100``, ``1e2``, ``100.0``). NULL for unparseable text
+    (including duplicate keys)."""
+    return variant_json(F.try_parse_json(exact_numbers(payload)))
 
 
 def json_kind(v) -> Column:
@@ -87,6 +131,6 @@ def variant_field(v, key: str) -> Column:
 
 
 __all__ = [
-    "as_variant", "canonical_json", "is_truthy", "json_array_text",
-    "json_kind", "json_path", "json_text", "json_value", "variant_field",
+    "as_variant", "canonical_json", "exact_numbers", "is_truthy", "json_array_text",
+    "json_kind", "json_path", "json_text", "json_value", "variant_field", "variant_json",
 ]

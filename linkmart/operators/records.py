@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkmart.functions.json_ops import is_truthy, json_kind, variant_field
+from linkmart.functions.json_ops import is_truthy, json_kind, variant_field, variant_json
 
 # Quarantine reasons.
 NOT_A_DICT = "not_a_dict"
@@ -39,8 +39,8 @@ def label_records(records: DataFrame, key: str = "id") -> DataFrame:
     good = is_obj & is_truthy(id_v)
     return records.select(
         "*",
-        F.when(good, F.try_variant_get(id_v, "$", "string")).alias("id"),
-        F.coalesce(F.to_json(v), text).alias("payload"),
+        F.when(good, F.regexp_replace(F.try_variant_get(id_v, "$", "string"), "^\ue000#", "")).alias("id"),
+        F.coalesce(variant_json(v), text).alias("payload"),
         F.when(v.isNull() & text.isNotNull(), F.lit(UNPARSEABLE_JSON))
         .when(~is_obj | v.isNull(), F.lit(NOT_A_DICT))
         .when(~is_truthy(id_v), F.lit(MISSING_ID))

@@ -6,11 +6,12 @@ Snapshot columns: key, check columns, ``scd_id``, ``updated_at``, ``valid_from``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkmart.functions.json_ops import as_variant, json_text, json_value
 from linkmart.functions.scalars import changed, surrogate_key
+from linkmart.operators.scan import blocked, neighbour
+from linkmart.operators.shred import field, json_field, text_field, with_parsed
 from linkmart.operators.upsert import changed_keys, require_unique
 from linkmart.operators.records import _ts
 from linkmart.session import guard_union_partitioning
@@ -23,11 +24,10 @@ def snapshot_source(raw: DataFrame, spec: EntitySpec) -> DataFrame:
     """The rows a snapshot run compares: id plus check columns read from the payload
     (text columns as ``->>``, json columns as ``->``). Ids are trimmed so they join the
     staged (trimmed) ids."""
-    v = as_variant(F.col("payload"))
-    cols = [F.trim(json_text(v, spec.key)).alias(spec.key)]
+    cols = [F.trim(field(text_field(spec.key))).alias(spec.key)]
     for k, kind in spec.snapshot_columns():
-        cols.append((json_value(v, k) if kind == "json" else json_text(v, k)).alias(k))
-    return raw.select(*cols)
+        cols.append(field(json_field(k) if kind == "json" else text_field(k)).alias(k))
+    return with_parsed(raw, spec).select(*cols)
 
 
 def empty_snapshot(source: DataFrame) -> DataFrame:
@@ -95,20 +95,21 @@ def scd2_merge(snapshot: DataFrame | None, source: DataFrame, now, key: str = "i
 
 def scd2_replay(changes: DataFrame, key: str, order_col: str,
                 check_cols: list[str] | None = None) -> DataFrame:
-    """All versions produced by applying ``changes`` batch by batch, in one plan.
+    """All versions produced by applying ``changes`` batch by batch.
 
     ``changes`` must be unique on (key, order_col): pre-aggregate to one row per key and
-    batch, which also bounds each key's window to the number of batches. Same result as
-    a ``scd2_merge`` per batch."""
+    batch. Same result as a ``scd2_merge`` per batch. Each row is compared with the one before
+    it and each version takes its end from the next one by two-level scans (see ``scan``),
+    so a key of any size spreads over tasks."""
     check = check_cols or [c for c in changes.columns if c not in (key, order_col)]
-    w = Window.partitionBy(key).orderBy(order_col)
-    first = F.lag(order_col).over(w).isNull()
-    moved = changed([F.lag(c).over(w) for c in check], [F.col(c) for c in check])
-    kept = changes.select(key, order_col, *check, (first | moved).alias("_keep")).where("_keep")
-    return kept.select(
+    rows = neighbour(blocked(changes.select(key, order_col, *check), key, order_col), key, order_col, check, "_prev")
+    moved = changed([F.col("_prev")[c] for c in check], [F.col(c) for c in check])
+    kept = rows.where(F.col("_prev").isNull() | moved).drop("_prev")
+    versions = neighbour(kept, key, order_col, [order_col], "_next", step=1)
+    return versions.select(
         key, *check,
         surrogate_key(F.col(key), F.col(order_col)).alias("scd_id"),
         F.col(order_col).alias("updated_at"),
         F.col(order_col).alias("valid_from"),
-        F.lead(order_col).over(w).alias("valid_to"),
+        F.col("_next")[order_col].alias("valid_to"),
     )

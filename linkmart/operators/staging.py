@@ -1,12 +1,12 @@
-"""Typed, trimmed columns out of the raw JSON payload (one parse per row)."""
+"""Typed, trimmed columns out of the raw payload's parsed fields (see ``shred``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkmart.functions.json_ops import as_variant, json_array_text, json_text, json_value
 from linkmart.functions.scalars import parse_long_date
+from linkmart.operators.shred import field, json_field, links_field, text_field, with_parsed
 from linkmart.plans.spec import EntitySpec
 
 
@@ -14,21 +14,19 @@ def stage(raw: DataFrame, spec: EntitySpec) -> DataFrame:
     """``raw(id, payload, extracted_at)`` -> ``<p>_id, <p>_name, attrs..., links...,
     extracted_at``. Text is space-trimmed; dates parsed from long form; link arrays as
     ``array<string>`` (JSON null / non-array -> NULL)."""
-    parsed = raw.select(as_variant(F.col("payload")).alias("_v"), "extracted_at")
-    v = F.col("_v")
     cols = [
-        F.trim(json_text(v, spec.key)).alias(spec.id_col),
-        F.trim(json_text(v, spec.name_key)).alias(spec.name_col),
+        F.trim(field(text_field(spec.key))).alias(spec.id_col),
+        F.trim(field(text_field(spec.name_key))).alias(spec.name_col),
     ]
     for a in spec.attrs:
         name = a.staged or a.key
         if a.kind == "date":
-            cols.append(parse_long_date(json_text(v, a.key)).alias(name))
+            cols.append(parse_long_date(field(text_field(a.key))).alias(name))
         elif a.kind == "json":
-            cols.append(json_value(v, a.key).alias(name))
+            cols.append(field(json_field(a.key)).alias(name))
         else:
-            cols.append(F.trim(json_text(v, a.key)).alias(name))
+            cols.append(F.trim(field(text_field(a.key))).alias(name))
     for lk in spec.links:
-        cols.append(json_array_text(v, lk.key).alias(lk.staged))
+        cols.append(field(links_field(lk.key)).alias(lk.staged))
     cols.append(F.col("extracted_at").cast("timestamp").alias("extracted_at"))
-    return parsed.select(*cols)
+    return with_parsed(raw, spec).select(*cols)

@@ -7,11 +7,14 @@ the next version of the table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkmart.functions.json_ops import canonical_json
 from linkmart.operators.records import _ts
+from linkmart.operators.scan import blocked, neighbour
 from linkmart.session import guard_union_partitioning
 
 
@@ -63,8 +66,10 @@ def changed_keys(current: DataFrame, incoming: DataFrame, key: str, cols: list[s
 
 def upsert_changed(current: DataFrame | None, incoming: DataFrame, now, key: str = "id",
                    payload: str = "payload", ts: str = "extracted_at",
-                   on_duplicate: str = "error") -> DataFrame:
-    """Next version of a keyed table ``(key, payload, ts)``.
+                   on_duplicate: str = "error",
+                   derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Next version of a keyed table ``(key, payload, ts)``, with ``derive`` (such as
+    ``shred.with_parsed``) also the columns it adds, computed for new payloads only.
 
     New key -> inserted at ``now``; payload differs -> replaced, ``ts=now``; same
     payload -> row untouched (old ``ts``); key absent from the batch -> kept.
@@ -82,40 +87,39 @@ def upsert_changed(current: DataFrame | None, incoming: DataFrame, now, key: str
     incoming = incoming.select(key, text.alias(payload))
     incoming = (latest_per_key(incoming, key, [payload], "last") if on_duplicate == "last"
                 else require_unique(incoming, key))
+    derive = derive or (lambda rows: rows.select(key, payload, ts))
     if current is None:
-        return incoming.select(key, payload, _ts(now).alias(ts))
+        return derive(incoming.select(key, payload, _ts(now).alias(ts)))
     guard_union_partitioning(incoming.sparkSession)
     ch = changed_keys(current, incoming, key, [payload]).select(key)
-    kept = current.select(key, payload, ts).join(ch, key, "left_anti")
-    fresh = incoming.join(ch, key, "left_semi").select(
-        key, payload, _ts(now).alias(ts))
+    kept = derive(current).join(ch, key, "left_anti")
+    fresh = derive(incoming.join(ch, key, "left_semi").select(key, payload, _ts(now).alias(ts)))
     return kept.unionByName(fresh)
 
 
 def upsert_replay(changes: DataFrame, key: str, batch_col: str, payload: str = "payload",
                   batch_ts: str | Column | None = None) -> DataFrame:
-    """The table after applying every batch in ``batch_col`` order, in one plan.
+    """The table after applying every batch in ``batch_col`` order.
 
     ``changes`` holds at most one row per (key, batch) — pre-aggregate with
-    ``latest_per_key`` — so a key's window spans at most one row per batch.
+    ``latest_per_key``. A row is a change if its payload differs from the row before it,
+    found by a two-level scan (see ``scan``), so a key of any size spreads over tasks.
     Result: ``(key, payload, extracted_at)`` where ``extracted_at`` is the batch time
     of the last change, exactly as repeated ``upsert_changed`` calls would leave it."""
     bt = F.col(batch_col) if batch_ts is None else (
         F.col(batch_ts) if isinstance(batch_ts, str) else batch_ts)
-    w = Window.partitionBy(key).orderBy(batch_col)
-    prev = F.lag(payload).over(w)
-    first = F.lag(batch_col).over(w).isNull()
-    marked = changes.select(
-        key, payload, bt.alias("_bt"), batch_col,
-        (first | ~prev.eqNullSafe(F.col(payload))).alias("_chg"),
-    )
-    last = F.max_by(F.struct(F.col(payload), F.col("_bt")), F.col(batch_col))
-    return (
-        marked.where("_chg")
-        .groupBy(key)
-        .agg(last.alias("_r"))
-        .select(key, F.col("_r")[payload].alias(payload), F.col("_r._bt").alias("extracted_at"))
-    )
+    rows = changes.select(F.col(key).alias("_key"), F.col(payload).alias("_payload"), bt.alias("_bt"), F.col(batch_col).alias("_o"))
+    return _last_change(rows).select(
+        F.col("_key").alias(key), F.col("_r._payload").alias(payload), F.col("_r._bt").alias("extracted_at"))
+
+
+def _last_change(rows: DataFrame) -> DataFrame:
+    """``_key``, ``_r``: payload and time of the key's last change in the order ``_o``, and ``_o``, its
+    last place. Partial aggregates over rows marked by the scan."""
+    marked = neighbour(blocked(rows, "_key", "_o"), "_key", "_o", ["_payload"], "_prev")
+    changed = F.col("_prev").isNull() | ~F.col("_prev._payload").eqNullSafe(F.col("_payload"))
+    return marked.groupBy("_key").agg(
+        F.max_by(F.struct("_payload", "_bt"), F.when(changed, F.col("_o"))).alias("_r"), F.max("_o").alias("_o"))
 
 
 def upsert_sequence(current: DataFrame, incoming: DataFrame, order_cols: list[str],
@@ -128,31 +132,26 @@ def upsert_sequence(current: DataFrame, incoming: DataFrame, order_cols: list[st
 
     The result keeps ``_ord``: the (page, pos) of the last record applied per key.
     Records older than that (a page that arrives after a newer one) are dropped, so
-    an old page never overwrites a newer payload.
-
-    One shuffle by key; a key's window holds its current row plus its rows in this
-    batch (bounded by the batch's pages)."""
-    ord_type = "struct<" + ",".join(f"{c}:bigint" for c in order_cols) + ">"
-    rank = F.struct(*[F.col(c).cast("bigint").alias(c) for c in order_cols])
-    cur_ord = F.col("_ord") if "_ord" in current.columns else F.lit(None).cast(ord_type)
-    first = current.select(key, payload, F.col(ts).alias("_now"), cur_ord.alias("_ord"),
-                           F.lit(0).alias("_step"))
-    rest = incoming.select(key, payload, F.col(now_col).cast("timestamp").alias("_now"),
-                           rank.alias("_ord"), F.lit(1).alias("_step"))
-    seq = first.unionByName(rest)
-    whole = Window.partitionBy(key)
-    applied = F.max(F.when(F.col("_step") == 0, F.col("_ord"))).over(whole)
-    seq = seq.select("*", applied.alias("_applied")).where(
-        (F.col("_step") == 0) | F.col("_applied").isNull() | (F.col("_ord") > F.col("_applied")))
-    w = Window.partitionBy(key).orderBy("_step", "_ord")
-    marked = seq.select(
-        key, payload, "_now", "_step", "_ord",
-        (F.lag("_step").over(w).isNull() | ~F.lag(payload).over(w).eqNullSafe(F.col(payload)))
-        .alias("_chg"))
-    last = F.max_by(F.struct(F.col(payload), F.col("_now")),
-                    F.when(F.col("_chg"), F.struct("_step", "_ord")))
-    return (
-        marked.groupBy(key)
-        .agg(last.alias("_r"), F.max_by("_ord", F.struct("_step", "_ord")).alias("_ord"))
-        .select(key, F.col("_r")[payload].alias(payload), F.col("_r._now").alias(ts), "_ord")
-    )
+    an old page never overwrites a newer payload. Whole numbers in the order are compared as
+    bigint; other columns as they are.
+
+    The current order of each incoming key is joined to it, then keys are scanned in two
+    levels (see ``scan``): no task holds a key with many rows."""
+    def ordered(c: str) -> Column:
+        whole = incoming.schema[c].dataType.simpleString() in ("tinyint", "smallint", "int")
+        return (F.col(c).cast("bigint") if whole else F.col(c)).alias(c)
+
+    rest = incoming.select(
+        F.col(key).alias("_key"), F.col(payload).alias("_payload"), F.col(now_col).cast("timestamp").alias("_bt"),
+        F.struct(*[ordered(c) for c in order_cols]).alias("_ord"))
+    ord_type = rest.schema["_ord"].dataType
+    cur_ord = F.col("_ord") if "_ord" in current.columns else F.lit(None)
+    first = current.select(F.col(key).alias("_key"), F.col(payload).alias("_payload"), F.col(ts).alias("_bt"), cur_ord.cast(ord_type.simpleString()).alias("_ord"))
+    if "_ord" in current.columns:
+        applied = first.select(F.col("_key").alias("_k"), F.col("_ord").alias("_applied")).where("_applied IS NOT NULL")
+        rest = rest.join(applied, F.col("_key").eqNullSafe(F.col("_k")), "left").where(
+            F.col("_applied").isNull() | (F.col("_ord") > F.col("_applied"))).drop("_k", "_applied")
+    seq = first.withColumn("_step", F.lit(0)).unionByName(rest.withColumn("_step", F.lit(1))).select(
+        "_key", "_payload", "_bt", F.struct("_step", "_ord").alias("_o"))
+    return _last_change(seq).select(
+        F.col("_key").alias(key), F.col("_r._payload").alias(payload), F.col("_r._bt").alias(ts), F.col("_o._ord").alias("_ord"))

@@ -7,6 +7,7 @@ expected result directly from the table columns and the fault rules of
 
 from __future__ import annotations
 
+from linkmart.plans import warehouse_queries
 from linkmart.sources.testbed import BASE_URL, T1, T2
 
 K = "o_orderkey"
@@ -478,3 +479,14 @@ WITH {_RUN_LEDGER}
 SELECT source_name, status, last_completed_page, records_loaded,
        CAST(CASE WHEN status = 'failed' THEN last_completed_page + 1 ELSE 0 END AS INTEGER) AS start_page
 FROM ledger WHERE run = '10'"""
+
+ORACLE_SQL["canonical_json_numbers"] = """
+WITH e AS (SELECT event_id, CAST(event_id AS VARCHAR) AS k, '1' || lpad(CAST(event_id AS VARCHAR), 28, '0') AS long FROM events)
+SELECT event_id, '{"k":' || k || ',"z":"1e2"}' AS plain, '{"k":' || k || ',"z":"1e2"}' AS exponent,
+       '{"k":' || k || ',"z":"1e2"}' AS zeros, '{"k":' || CAST(event_id * 1000 AS VARCHAR) || '}' AS thousand,
+       '{"k":' || long || '}' AS long, '{"k":' || long || '}' AS long_exponent
+FROM e"""
+
+ORACLE_SQL["stream_compacted_customers"] = ORACLE_SQL["stream_reextract_customers"]
+
+ORACLE_SQL |= warehouse_queries.ORACLE_SQL

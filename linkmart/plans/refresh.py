@@ -1,7 +1,8 @@
 """The refresh job: ingest -> snapshot -> models -> dead letters -> checks.
 
 Layers live under one folder:
-  raw/<entity>/v=N        keyed raw tables (versioned; upserted each run)
+  raw/<entity>/v=N        keyed raw tables (versioned; upserted each run), each row with the
+                          fields parsed from its payload, which all later layers read
   snapshots/<entity>/     type-2 history: append-only closed versions + versioned
                           current slice (see SnapshotStore); a run never rewrites history
   marts/<table>           dimensions and facts, rebuilt each run
@@ -23,6 +24,7 @@ from linkmart.operators.checks import Check, check_report, spec_checks
 from linkmart.operators.deadletters import dead_letters
 from linkmart.operators.marts import fact
 from linkmart.operators.records import _ts
+from linkmart.operators.shred import with_parsed
 from linkmart.operators.snapshots import scd2_step, snapshot_source
 from linkmart.operators.upsert import latest_per_key, upsert_changed
 from linkmart.plans.extract import extract, mark_applied, store_quarantine, stored_quarantine
@@ -91,7 +93,8 @@ def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, o
             if "_order" in batch.columns:
                 batch = latest_per_key(batch, "id", ["_order"], "last")
             current = _commit_and_read(table, upsert_changed(
-                current, batch.select("id", "payload"), now, on_duplicate=on_duplicate))
+                current, batch.select("id", "payload"), now, on_duplicate=on_duplicate,
+                derive=lambda rows: with_parsed(rows, spec)))
             if keep_versions:
                 table.vacuum(keep_versions)
         if current is None or not snapshots:
@@ -173,6 +176,17 @@ def extract_and_refresh(spark: SparkSession, catalog: Catalog, pages_path: str,
     return written
 
 
+def refresh_from_stream(spark: SparkSession, catalog: Catalog, stream_dir: str, out_dir: str, now,
+                        keep_versions: int | None = None) -> dict[str, DataFrame]:
+    """One run over what a file stream has ingested: its keyed raw tables (base and the epochs
+    since) are the batch, of which the upsert takes what has changed, and its quarantine."""
+    from linkmart.streaming.ingest import quarantine_table, raw_table, stream_sources
+
+    known = {e.name for e in catalog.entities}
+    incoming = {s: raw_table(spark, stream_dir, s).select("id", "payload") for s in stream_sources(spark, stream_dir) if s in known}
+    return refresh(spark, catalog, incoming, out_dir, now, quarantine_table(spark, stream_dir), keep_versions)
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``table_name, n_rows`` for each table (one small aggregate per table)."""
     parts = [df.agg(F.count(F.lit(1)).cast("long").alias("n_rows"))

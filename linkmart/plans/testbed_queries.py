@@ -24,6 +24,7 @@ from linkmart.operators.snapshots import scd2_merge, scd2_replay, snapshot_sourc
 from linkmart.operators.staging import stage
 from linkmart.operators.state import merge_state, resume_point
 from linkmart.operators.upsert import latest_per_key, upsert_replay, upsert_sequence
+from linkmart.plans import warehouse_queries
 from linkmart.plans.catalog import TESTBED
 from linkmart.plans.spec import Link
 from linkmart.session import scratch_dir
@@ -143,6 +144,22 @@ def canonical_json_events(spark, sf_dir):
     )
 
 
+def canonical_json_numbers(spark, sf_dir):
+    """One value written as integer, with an exponent, with zeros and with reordered keys, and a
+    29-digit one: the canonical texts, which are equal where the values are."""
+    k = F.col("event_id").cast("string")
+    long = F.concat(F.lit("1"), F.lpad(k, 28, "0"))
+    texts = {
+        "plain": F.concat(F.lit('{"k":'), k, F.lit(',"z":"1e2"}')),
+        "exponent": F.concat(F.lit('{ "z":"1e2", "k": '), k, F.lit("00e-2}")),
+        "zeros": F.concat(F.lit('{"z":"1e2","k":'), k, F.lit(".000E+0}")),
+        "thousand": F.concat(F.lit('{"k":'), k, F.lit('e3}')),
+        "long": F.concat(F.lit('{"k":'), long, F.lit("}")),
+        "long_exponent": F.concat(F.lit('{"k":1.'), F.lpad(k, 28, "0"), F.lit("e28}")),
+    }
+    return tb.table(spark, sf_dir, "events").select("event_id", *[canonical_json(t).alias(name) for name, t in texts.items()])
+
+
 def url_tail_split_pages(spark, sf_dir):
     p = tb.table(spark, sf_dir, "pages")
     return p.select("page_id", "url", url_tail_split(F.col("url")).alias("tail"))
@@ -522,6 +539,24 @@ def stream_reextract_customers(spark, sf_dir):
     return raw.select(F.col("id").alias("customer_id"), json_text(v, "segment").alias("segment"), "extracted_at")
 
 
+def stream_compacted_customers(spark, sf_dir):
+    """The two extractions with the base compacted between them: run 1 is ingested and folded, run
+    2 lands and is ingested by the same stream, and the table is the base with it applied."""
+    from linkmart.streaming.ingest import compact
+
+    pages_dir, out = scratch_dir(spark, "compact-pages"), scratch_dir(spark, "compact-stream")
+    records = tb.customer_runs(spark, sf_dir)
+    now = F.when(F.col("run") == "1", F.lit(tb.T1)).otherwise(F.lit(tb.T2)).cast("timestamp")
+    for run in ("1", "2"):
+        tb.land_pages(records.where(F.col("run") == run), pages_dir, run="run", body=tb.corrupt_page(), mode="append")
+        ingest_stream(spark, pages_dir, out, f"{out}/_checkpoint", now=now, files_per_trigger=256, on_malformed="quarantine")
+        if run == "1":
+            compact(spark, out)
+    raw = raw_table(spark, out, "customers")
+    v = as_variant(F.col("payload"))
+    return raw.select(F.col("id").alias("customer_id"), json_text(v, "segment").alias("segment"), "extracted_at")
+
+
 def stream_reextract_quarantine(spark, sf_dir):
     """Quarantined rows over both extractions, by load time and reason."""
     from linkmart.streaming.ingest import quarantine_table
@@ -607,7 +642,7 @@ def pages_to_raw(spark, sf_dir):
     incoming, _ = ingest_pages(pages, tb.T1, on_malformed="quarantine")
     raw, _ = ingest_and_snapshot(spark, TESTBED, incoming, scratch_dir(spark, "pages-raw"),
                                  tb.T1, snapshots=False)
-    return raw["customers"]
+    return raw["customers"].select("id", "payload", "extracted_at")
 
 
 def refresh_counts(spark, sf_dir):
@@ -624,11 +659,13 @@ def refresh_counts(spark, sf_dir):
 
 
 QUERIES = {
+    **warehouse_queries.QUERIES,
     "stage_orders": stage_orders,
     "stage_customers": stage_customers,
     "stage_order_dates": stage_order_dates,
     "json_roundtrip_events": json_roundtrip_events,
     "canonical_json_events": canonical_json_events,
+    "canonical_json_numbers": canonical_json_numbers,
     "url_tail_split_pages": url_tail_split_pages,
     "url_tail_regex_pages": url_tail_regex_pages,
     "surrogate_key_events": surrogate_key_events,
@@ -672,4 +709,5 @@ QUERIES = {
     "stream_state_users": stream_state_users,
     "stream_reextract_customers": stream_reextract_customers,
     "stream_reextract_quarantine": stream_reextract_quarantine,
+    "stream_compacted_customers": stream_compacted_customers,
 }

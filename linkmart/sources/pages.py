@@ -17,7 +17,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkmart.functions.json_ops import json_kind
+from linkmart.functions.json_ops import exact_numbers, json_kind
 from linkmart.sources.tables import _fs
 
 # Records per page; pages end at the first empty or short page.
@@ -69,7 +69,7 @@ def _located(files: DataFrame, source: Column, run: Column, page: Column) -> Dat
     NULL value and their ``text``."""
     text = F.try_validate_utf8(F.col("content").cast("string"))
     parsed = files.select(source.alias("source"), run.alias("run"), page.alias("page"), F.col("path").alias("file"),
-                          F.col("modificationTime").alias("modified"), text.alias("_t"), F.try_parse_json(text).alias("_v"))
+                          F.col("modificationTime").alias("modified"), text.alias("_t"), F.try_parse_json(exact_numbers(text)).alias("_v"))
     data = F.try_variant_get("_v", "$.data", "variant")
     kind = json_kind(data)
     whole = F.transform(F.try_variant_get(data, "$", "array<variant>"),
@@ -77,7 +77,7 @@ def _located(files: DataFrame, source: Column, run: Column, page: Column) -> Dat
     # an object by its first and last character that fails to parse fails inside
     closed = F.col("_t").rlike(r"^\s*\{") & F.col("_t").rlike(r"\}\s*$")
     parts = F.transform(F.from_json("_t", "data array<string>")["data"],
-                        lambda x: F.struct(F.try_parse_json(x).alias("value"), x.alias("text")))
+                        lambda x: F.struct(F.try_parse_json(exact_numbers(x)).alias("value"), x.alias("text")))
     none = F.array().cast("array<struct<value:variant,text:string>>")
     records = F.when(json_kind(F.col("_v")) == "object", F.when(kind.isNull() | (kind == "null"), none).when(kind == "array", whole)) \
         .when(F.col("_v").isNull() & closed, parts)

@@ -84,3 +84,35 @@ def test_surrogate_key_matches_md5_text(spark):
     assert got == hashlib.md5(b"7|2024-01-01 00:00:07.17").hexdigest()
     nul = spark.createDataFrame([(None, None)], "id string, ts timestamp")
     assert nul.select(surrogate_key("id", "ts")).first()[0] == hashlib.md5(b"|").hexdigest()
+
+
+def test_canonical_json_compares_numbers_by_value(spark):
+    groups = [
+        ['{"a":100}', '{"a":1e2}', '{ "a" : 100.0 }', '{"a":1.0E+2}', '{"a":10000e-2}'],
+        ['{"a":0}', '{"a":-0}', '{"a":-0.0}', '{"a":0e5}'],
+        ['{"a":12345678901234567890123456789}', '{"a":1.2345678901234567890123456789e28}'],
+        ['{"a":1e40}', '{"a":10000000000000000000000000000000000000000}', '{"a":100e38}'],
+        ['{"a":10000000000000000000000000000000000000001}'],
+        ['{"a":0.001,"b":[1,{"c":1.5}]}', '{"b":[1e0,{"c":150e-2}],"a":1e-3}'],
+        ['{"a":"1e2"}'], ['{"a":"100"}'], ['{"a":"x\\" 1e2"}'], ['{"a":1e500}'], ['{"a":2e500}'],
+    ]
+    texts = [(i, t) for i, g in enumerate(groups) for t in g]
+    rows = spark.createDataFrame(texts, "g int, t string").select("g", canonical_json("t").alias("c")).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r["g"], set()).add(r["c"])
+    assert all(len(c) == 1 and None not in c for c in found.values()), found
+    assert len(set().union(*found.values())) == len(groups)
+    assert found[0] == {'{"a":100}'} and found[3] == {'{"a":1' + "0" * 40 + "}"}
+
+
+def test_canonical_numbers_are_exact(spark):
+    import random
+    from decimal import Decimal, getcontext
+
+    getcontext().prec = 200
+    rnd = random.Random(5)
+    texts = [f"{rnd.randrange(-10**rnd.randrange(1, 46), 10**45)}e{rnd.randrange(-30, 30)}" for _ in range(300)]
+    rows = spark.createDataFrame([(t, f'{{"a":{t}}}') for t in texts], "t string, p string").select("t", canonical_json("p").alias("c"))
+    for r in rows.collect():
+        assert Decimal(r["c"][5:-1]) == Decimal(r["t"]) and "e" not in r["c"].lower()

@@ -173,3 +173,118 @@ def test_a_malformed_page_fails_its_own_source(spark, scratch):
     st = {r["source_name"]: r for r in stream_state(spark, out).collect()}
     assert st["other"]["status"] == "failed" and st["other"]["error_message"] == "malformed page 3 of other"
     assert st["things"]["status"] == "in_progress" and st["things"]["records_loaded"] == 2
+
+
+def _reingest(spark, src, out):
+    ingest_stream(spark, src, out, f"{out}/_ck", now=_now())
+
+
+def test_compaction_changes_nothing(spark, scratch):
+    """Ingest, compact and ingest in any mixture: the table is that of the whole log."""
+    from linkmart.streaming.ingest import _unfolded, compact
+
+    tables = []
+    for compact_at in ((), (0,), (0, 1), (1,), (2,)):
+        src, out = scratch("in"), scratch("out")
+        for i, p in enumerate(PAGES):
+            _land(src, i, p)
+            _reingest(spark, src, out)
+            if i in compact_at:
+                compact(spark, out)
+                assert _unfolded(spark, out) == []
+        tables.append(_final(spark, out))
+        assert stream_state(spark, out).first()["records_loaded"] == 5
+    assert all(t == tables[0] for t in tables)
+
+
+def test_a_replay_of_a_folded_batch_changes_nothing(spark, scratch):
+    from linkmart.sources.pages import read_pages
+    from linkmart.streaming.ingest import _process, compact
+
+    src, out = scratch("in"), scratch("out")
+    for i, p in enumerate(PAGES):
+        _land(src, i, p)
+        _process(spark, read_pages(spark, src).where(f"page = {i}"), i, out, _now(), "fail")
+    before = _final(spark, out)
+    compact(spark, out)
+    _process(spark, read_pages(spark, src).where("page = 0"), 0, out, _now(), "fail")  # folded epoch
+    assert _final(spark, out) == before
+    # a stream begun anew reads the same files in other epochs
+    _process(spark, read_pages(spark, src), 0, out, _now(), "fail", stream_id="other")
+    assert _final(spark, out) == before
+    compact(spark, out)
+    assert _final(spark, out) == before
+
+
+def test_a_crash_while_compacting_keeps_the_base(spark, scratch, monkeypatch):
+    import pytest
+
+    from linkmart.sources.tables import VersionedTable
+    from linkmart.streaming import ingest
+
+    src, out = scratch("in"), scratch("out")
+    for i, p in enumerate(PAGES[:2]):
+        _land(src, i, p)
+    _reingest(spark, src, out)
+    before = _final(spark, out)
+    real, left = VersionedTable.commit, 0
+
+    def commit(self, df, *args):
+        nonlocal left
+        left -= 1
+        if left < 0:
+            raise RuntimeError("crash")
+        return real(self, df, *args)
+
+    for steps in range(3):
+        left = steps
+        with monkeypatch.context() as m:
+            m.setattr(VersionedTable, "commit", commit)
+            with pytest.raises(RuntimeError):
+                ingest.compact(spark, out)
+        assert _final(spark, out) == before
+    ingest.compact(spark, out)
+    assert _final(spark, out) == before
+
+
+def test_old_pages_after_compaction_and_relanded_pages(spark, scratch):
+    """A page landed again without run folders is a later landing, also once the first is
+    folded; a page of an earlier run that comes late never overwrites."""
+    from linkmart.streaming.ingest import compact
+
+    src, out = scratch("in"), scratch("out")
+    for day, v in enumerate("ab"):
+        folder = os.path.join(src, "source=things", "page=0")
+        os.makedirs(folder, exist_ok=True)
+        path = os.path.join(folder, f"p{day}.json")
+        with open(path, "w") as f:
+            f.write(json.dumps({"data": [{"id": "1", "v": v}]}))
+        os.utime(path, (1_700_000_000 + day, 1_700_000_000 + day))
+        _reingest(spark, src, out)
+        compact(spark, out)
+    assert [r[1] for r in _final(spark, out)] == ['{"id":"1","v":"b"}']
+    src, out = scratch("in"), scratch("out")
+    for run, v in (("10", "new"), ("9", "old")):
+        folder = os.path.join(src, "source=things", f"run={run}", "page=0")
+        os.makedirs(folder, exist_ok=True)
+        with open(os.path.join(folder, "p.json"), "w") as f:
+            f.write(json.dumps({"data": [{"id": "1", "v": v}, {"id": run}]}))
+        _reingest(spark, src, out)
+        compact(spark, out)
+    assert sorted(r[:2] for r in _final(spark, out)) == [("1", '{"id":"1","v":"new"}'), ("10", '{"id":"10"}'), ("9", '{"id":"9"}')]
+
+
+def test_refresh_takes_the_stream(spark, scratch):
+    from linkmart.plans.catalog import WAREHOUSE
+    from linkmart.plans.refresh import refresh_from_stream
+
+    src, out, wh = scratch("in"), scratch("out"), scratch("wh")
+    for day, name in enumerate(("One", "Two")):
+        folder = os.path.join(src, "source=games", f"run={day + 9}", "page=0")
+        os.makedirs(folder, exist_ok=True)
+        with open(os.path.join(folder, "p.json"), "w") as f:
+            f.write(json.dumps({"data": [{"id": "g", "name": name}, {"id": "h", "name": "Same"}, "junk"]}))
+        _reingest(spark, src, out)
+        w = refresh_from_stream(spark, WAREHOUSE, out, wh, f"2024-01-0{day + 1} 00:00:00")
+    assert sorted((r["game_name"], r["is_current"]) for r in w["dim_games"].collect()) == [("One", False), ("Same", True), ("Two", True)]
+    assert w["dead_letters"].where("error_type = 'not_a_dict'").count() == 2
