@@ -4,10 +4,10 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is w
 Parquet and read again as the next stage's ``docs``. All but the last return the columns
 of ``documents``.
 
-Defined cases: a document without a letter has no language and goes; a repeated id that
-survives the near-duplicate stage is kept once; documents with a NULL id are kept by that
-stage where their whole group has no id; an id found to hold a test item goes with all its
-rows; NULL texts go in the first stage.
+Defined cases: a document without a letter has no language and goes; NULL texts go in the
+first stage. Stages decide by row, not by id: one row of each group of near duplicates stays,
+whether its id is NULL or is used again by a different text, and only the rows whose text
+holds a test item go.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkmart.llm.common import crc_mod
+from linkmart.llm.common import crc_mod, stored
 from linkmart.llm.decontam import contaminated
 from linkmart.llm.langid import UNDETERMINED, label_documents
 from linkmart.llm.packing import pack_documents
@@ -34,21 +34,34 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_SHARE)).select("doc.*")
 
 
+ROW = "__pipeline_row"
+
+
+def with_row(docs: DataFrame) -> DataFrame:
+    """``docs`` with a name for each row: its text's digest and its id. Rows that share it are equal
+    in both; ids may be NULL or used again for another text."""
+    text, doc = F.coalesce(F.md5("text"), F.lit("-" * 32)), F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    return docs.withColumn(ROW, F.concat(text, doc))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each group the document with the smallest id."""
-    groups = simhash_components(spark, docs)
-    first = groups.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.col("id").eqNullSafe(F.col("component")).cast("int")).alias("n_first"))
-    kept = docs.join(first.select(F.col("component").alias("__keep")), F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
-    if first.where("component IS NOT NULL AND n_first > 1").isEmpty():
-        return kept
-    return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))
+    """Keep one row of each group: that of the smallest id (a NULL id only where all are), then of
+    the smallest text digest."""
+    named = with_row(docs)
+    groups = stored(spark, simhash_components(spark, named, id_col=ROW).select("id", "component"), "pipeline-groups")
+    doc = F.when(F.length("id") > 32, F.substring("id", 34, 1 << 30)).cast(docs.schema["doc_id"].dataType)
+    first = groups.groupBy("component").agg(F.min(F.struct(doc.isNull(), doc.alias("doc"), F.col("id"))).alias("x")).select(F.col("x.id").alias(ROW))
+    kept = named.join(first, ROW, "left_semi")
+    if not groups.groupBy("id").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates([ROW])
+    return kept.select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold an item of ``benchmark``, copied or edited."""
-    found = contaminated(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaks = found.select(F.col("id").alias("__leak")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("__leak")), "left_anti")
+    """Drop the rows whose text holds an item of ``benchmark``, copied or edited."""
+    named = with_row(docs)
+    found = contaminated(spark, named, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=ROW)
+    return named.join(found.select(F.col("id").alias(ROW)).distinct(), ROW, "left_anti").select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
