@@ -181,6 +181,8 @@ def _down(nodes: DataFrame, messages: DataFrame, arity: int, levels: int) -> Dat
     def run(batches):
         for table in _blocks(batches):
             message, rows = table.slice(0, 1).to_pylist()[0], table.slice(1)
+            if not rows.num_rows:  # the upper tree of an empty table
+                continue
             up = sweep_up(rows["digest"].to_pylist(), min(levels, height(rows["size"][0].as_py(), arity)), arity)
             proofs = sweep_down(up, [(p["left"], p["right"]) for p in message["proof"]], arity)
             yield pa.record_batch(
