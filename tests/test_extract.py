@@ -239,5 +239,9 @@ def test_take_plan():
     takes = plan_takes(ends, {})
     assert [(t.run, t.first, t.last, t.status, t.next_page, t.closed) for t in takes] == [
         ("9", 2, 7, "failed", 8, True), ("10", 0, 3, "completed", 4, False)]
+    # full pages to the last: without a run folder that is all, a run with one waits for its end
+    assert [(t.status, t.last, t.next_page) for t in plan_takes([RunEnd("s", "", 0, gap=3, last=2)], {})] == [("completed", 2, 3)]
+    assert [(t.status, t.last, t.next_page) for t in plan_takes([RunEnd("s", "1", 0, gap=3, last=2)], {})] == [("in_progress", 2, 3)]
+    assert plan_takes([RunEnd("s", "", 0, gap=1, last=2)], {})[0].status == "in_progress"
     (t,) = plan_takes([RunEnd("s", "9", 0, gap=0)], {"s": X.run_key("10")})
     assert (t.first, t.last, t.late, t.status) == (0, -1, True, "failed")
