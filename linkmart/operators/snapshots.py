@@ -16,6 +16,7 @@ from linkmart.operators.upsert import changed_keys, require_unique
 from linkmart.operators.records import _ts
 from linkmart.session import guard_union_partitioning
 from linkmart.plans.spec import EntitySpec
+from linkmart.sources.buckets import merged
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
 
@@ -76,6 +77,28 @@ def scd2_step(current: DataFrame | None, source: DataFrame, now, key: str = "id"
     return closed, kept.unionByName(opened)
 
 
+def scd2_bucketed(current: DataFrame | None, source: DataFrame, now, key: str = "id",
+                  check_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``scd2_step`` for a current slice that is bucketed by ``key``: the same two frames out of one
+    merge join, so the slice is neither shuffled nor sorted and its next version stays in
+    its buckets."""
+    if current is None:
+        return scd2_step(None, source, now, key, check_cols)
+    require_unique(source, key)
+    check = check_cols or [c for c in source.columns if c != key]
+    t = _ts(now)
+    cur, src = F.col("_c"), F.col("_s")
+    rows = merged(current.select(key, *check, *META), source.select(key, *check), key)
+    moved = src.isNotNull() & (cur.isNull() | changed([cur[c] for c in check], [src[c] for c in check]))
+    closed = rows.where(cur.isNotNull() & moved).select(
+        key, *[cur[c].alias(c) for c in [*check, "scd_id", "updated_at", "valid_from"]], t.alias("valid_to"))
+    opened = {**{c: src[c] for c in check}, "scd_id": surrogate_key(F.col(key), t), "updated_at": t, "valid_from": t,
+              "valid_to": F.lit(None).cast("timestamp")}
+    nxt = rows.withColumn("_moved", moved).select(
+        key, *[F.when(F.col("_moved"), new).otherwise(cur[c]).alias(c) for c, new in opened.items()])
+    return closed, nxt
+
+
 def scd2_merge(snapshot: DataFrame | None, source: DataFrame, now, key: str = "id",
                check_cols: list[str] | None = None) -> DataFrame:
     """One snapshot run at ``now`` over a whole snapshot (history + current).

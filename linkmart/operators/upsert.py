@@ -16,6 +16,7 @@ from linkmart.functions.json_ops import canonical_json
 from linkmart.operators.records import _ts
 from linkmart.operators.scan import blocked, neighbour
 from linkmart.session import guard_union_partitioning
+from linkmart.sources.buckets import BucketedTable, merged
 
 
 class DuplicateKeyError(ValueError):
@@ -64,6 +65,14 @@ def changed_keys(current: DataFrame, incoming: DataFrame, key: str, cols: list[s
         key, F.col("_cf").isNull().alias("_new")).dropDuplicates([key])
 
 
+def _batch(incoming: DataFrame, key: str, payload: str, on_duplicate: str) -> DataFrame:
+    """``(key, payload)`` of a batch: canonical payloads, each key once."""
+    text = F.coalesce(canonical_json(payload), F.col(payload))
+    incoming = incoming.select(key, text.alias(payload))
+    return (latest_per_key(incoming, key, [payload], "last") if on_duplicate == "last"
+            else require_unique(incoming, key))
+
+
 def upsert_changed(current: DataFrame | None, incoming: DataFrame, now, key: str = "id",
                    payload: str = "payload", ts: str = "extracted_at",
                    on_duplicate: str = "error",
@@ -83,10 +92,7 @@ def upsert_changed(current: DataFrame | None, incoming: DataFrame, now, key: str
     for those keys are added (semi-join). When few keys change, AQE broadcasts the
     changed-key set and the big sides are never shuffled whole. ``current=None`` (first
     load) inserts the batch as is, with no join."""
-    text = F.coalesce(canonical_json(payload), F.col(payload))
-    incoming = incoming.select(key, text.alias(payload))
-    incoming = (latest_per_key(incoming, key, [payload], "last") if on_duplicate == "last"
-                else require_unique(incoming, key))
+    incoming = _batch(incoming, key, payload, on_duplicate)
     derive = derive or (lambda rows: rows.select(key, payload, ts))
     if current is None:
         return derive(incoming.select(key, payload, _ts(now).alias(ts)))
@@ -97,6 +103,33 @@ def upsert_changed(current: DataFrame | None, incoming: DataFrame, now, key: str
     return kept.unionByName(fresh)
 
 
+def upsert_bucketed(table: BucketedTable, incoming: DataFrame, now, payload: str = "payload",
+                    ts: str = "extracted_at", on_duplicate: str = "error",
+                    derive: Callable[[DataFrame], DataFrame] | None = None) -> bool:
+    """``upsert_changed`` on a table bucketed by its key, with the commit; whether there was one.
+
+    The batch is shuffled into the table's buckets; the table itself is neither shuffled nor
+    sorted: one merge join compares payloads and gives the rows of the next version, each in
+    its bucket. A batch that changes nothing commits nothing, which the first look at
+    (key, fingerprint) pairs tells. A row without a key is taken by the first load only, as by
+    ``upsert_changed``."""
+    key, current = table.key, table.current()
+    if current is None:
+        table.commit(upsert_changed(None, incoming, now, key, payload, ts, on_duplicate, derive))
+        return True
+    derive = derive or (lambda rows: rows)
+    current, batch = derive(current), _batch(incoming, key, payload, on_duplicate)
+    if table.in_place() and changed_keys(current, batch.where(F.col(key).isNotNull()), key, [payload]).isEmpty():
+        return False
+    moved = F.col("_s").isNotNull() & (F.col("_c").isNull() | ~F.col("_c")[payload].eqNullSafe(F.col("_s")[payload]))
+    rows = merged(current, batch, key).withColumn("_moved", moved)
+    # a payload that stays is NULL here, so that nothing is derived from it again
+    fresh = derive(rows.select(key, F.when(F.col("_moved"), F.col("_s")[payload]).alias(payload), _ts(now).alias(ts), "_c", "_moved"))
+    table.commit(fresh.select(key, *[
+        F.when(F.col("_moved"), F.col(c)).otherwise(F.col("_c")[c]).alias(c) for c in current.columns if c != key]), aligned=True)
+    return True
+
+
 def upsert_replay(changes: DataFrame, key: str, batch_col: str, payload: str = "payload",
                   batch_ts: str | Column | None = None) -> DataFrame:
     """The table after applying every batch in ``batch_col`` order.

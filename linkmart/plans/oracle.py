@@ -132,6 +132,11 @@ SELECT md5(CAST(p_partkey AS VARCHAR) || '|' || CAST({TS1} AS VARCHAR)) AS part_
 FROM lineitem
 LEFT JOIN part ON p_partkey = l_partkey
 LEFT JOIN supplier ON s_suppkey = l_suppkey""",
+    "scd2_bucketed_orders": f"WITH {DIM_ORDERS} SELECT * FROM dim_o",
+    "upsert_bucketed_orders": f"""
+SELECT {VK} AS order_id, {ORDER_STATUS2} AS status,
+       CASE WHEN {ORDER_CHANGED} THEN {TS2} ELSE {TS1} END AS extracted_at, CAST(2 AS INTEGER) AS version
+FROM orders""",
     "upsert_two_batches": f"""
 SELECT {VK} AS order_id, {ORDER_STATUS2} AS status, TRUE AS canonical,
        CASE WHEN {ORDER_CHANGED} THEN {TS2} ELSE {TS1} END AS extracted_at

@@ -25,11 +25,12 @@ from linkmart.operators.deadletters import dead_letters
 from linkmart.operators.marts import fact
 from linkmart.operators.records import _ts
 from linkmart.operators.shred import with_parsed
-from linkmart.operators.snapshots import scd2_step, snapshot_source
-from linkmart.operators.upsert import latest_per_key, upsert_changed
+from linkmart.operators.snapshots import scd2_bucketed, scd2_step, snapshot_source
+from linkmart.operators.upsert import latest_per_key, upsert_bucketed, upsert_changed
 from linkmart.plans.extract import extract, mark_applied, store_quarantine, stored_quarantine
 from linkmart.plans.models import build_models
 from linkmart.plans.spec import Catalog
+from linkmart.sources.buckets import BucketedSnapshotStore, BucketedTable
 from linkmart.sources.tables import SnapshotStore, VersionedTable
 
 
@@ -77,30 +78,37 @@ def _parallel(fn, items, workers: int = 4) -> list:
 
 def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
                         now, snapshots: bool = True, keep_versions: int | None = None,
-                        on_duplicate: str = "error") -> tuple[dict, dict]:
+                        on_duplicate: str = "error", buckets: int | None = None) -> tuple[dict, dict]:
     """The raw and snapshot layers of one run: upsert each entity's batch into its
     versioned raw table, then merge the raw table into its snapshot store. Both are
     committed and read back (``snapshots=False`` stops after the raw layer). Entities
     are independent and processed concurrently. ``keep_versions`` vacuums older
-    versions after the commit. Returns (raw, snapshots) by name."""
+    versions after the commit. With ``buckets`` the raw tables and current slices are
+    bucketed by key (see ``sources/buckets.py``), so a run shuffles its batch, not the tables.
+    Returns (raw, snapshots) by name."""
     out = out_dir.rstrip("/")
 
     def one(spec):
-        table = VersionedTable(spark, f"{out}/raw/{spec.name}")
-        current = table.current()
+        path = f"{out}/raw/{spec.name}"
+        table = BucketedTable(spark, path, "id", buckets) if buckets else VersionedTable(spark, path)
+        current = VersionedTable.current(table)
         if spec.name in incoming:
             batch = incoming[spec.name].withColumn("id", F.trim("id"))
             if "_order" in batch.columns:
                 batch = latest_per_key(batch, "id", ["_order"], "last")
-            current = _commit_and_read(table, upsert_changed(
-                current, batch.select("id", "payload"), now, on_duplicate=on_duplicate,
-                derive=lambda rows: with_parsed(rows, spec)))
+            batch, derive = batch.select("id", "payload"), lambda rows: with_parsed(rows, spec)
+            if buckets:
+                upsert_bucketed(table, batch, now, on_duplicate=on_duplicate, derive=derive)
+                current = VersionedTable.current(table)
+            else:
+                current = _commit_and_read(table, upsert_changed(current, batch, now, on_duplicate=on_duplicate, derive=derive))
             if keep_versions:
                 table.vacuum(keep_versions)
         if current is None or not snapshots:
             return spec.name, current, None
-        store = SnapshotStore(spark, f"{out}/snapshots/{spec.name}")
-        closed, current_next = scd2_step(store.current(), snapshot_source(current, spec), now)
+        path, source = f"{out}/snapshots/{spec.name}", snapshot_source(current, spec)
+        store = BucketedSnapshotStore(spark, path, spec.key, buckets) if buckets else SnapshotStore(spark, path)
+        closed, current_next = (scd2_bucketed if buckets else scd2_step)(store.current(), source, now, spec.key)
         store.commit(closed, current_next, now)
         if keep_versions:
             store.current_table.vacuum(keep_versions)
@@ -117,16 +125,17 @@ def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, o
 
 def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str, now,
             quarantine: DataFrame | None = None, keep_versions: int | None = None,
-            on_duplicate: str = "error") -> dict[str, DataFrame]:
+            on_duplicate: str = "error", buckets: int | None = None) -> dict[str, DataFrame]:
     """One run at ``now``. ``incoming`` maps entity name -> records ``(id, payload)``
     (one batch; ids are trimmed; with an ``_order`` column the row of the greatest order
     wins, else an id twice raises, or with ``on_duplicate="last"`` the greatest payload
-    wins). ``keep_versions`` keeps only that many raw / current-slice versions.
+    wins). ``keep_versions`` keeps only that many raw / current-slice versions, ``buckets`` is
+    the number of buckets of those tables (None: not bucketed).
     ``quarantine`` rows are stored under ``<out_dir>/quarantine``, and the dead letters show
     those of all runs. Returns the written tables, read back."""
     out = out_dir.rstrip("/")
     raw, snaps = ingest_and_snapshot(spark, catalog, incoming, out, now,
-                                     keep_versions=keep_versions, on_duplicate=on_duplicate)
+                                     keep_versions=keep_versions, on_duplicate=on_duplicate, buckets=buckets)
     models = build_models(catalog, raw, snaps)
     written: dict[str, DataFrame] = {}
     dims = _parallel(lambda kv: (kv[0], _write(kv[1], f"{out}/marts/dim_{kv[0]}")),
@@ -165,26 +174,28 @@ def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
 
 
 def extract_and_refresh(spark: SparkSession, catalog: Catalog, pages_path: str, out_dir: str, started, now,
-                        keep_versions: int | None = None, source_order: list[str] | None = None) -> dict[str, DataFrame]:
+                        keep_versions: int | None = None, source_order: list[str] | None = None,
+                        buckets: int | None = None) -> dict[str, DataFrame]:
     """One run over landed pages: an extraction (see ``plans/extract.py``), the refresh of what it
     handed out, and only then its mark as applied. If the refresh fails, the next run is
     handed the same batches again."""
     incoming = extract(spark, pages_path, out_dir, started, now, source_order=source_order)
     known = {e.name for e in catalog.entities}
-    written = refresh(spark, catalog, {k: v for k, v in incoming.items() if k in known}, out_dir, now, keep_versions=keep_versions)
+    written = refresh(spark, catalog, {k: v for k, v in incoming.items() if k in known}, out_dir, now,
+                      keep_versions=keep_versions, buckets=buckets)
     mark_applied(spark, out_dir)
     return written
 
 
 def refresh_from_stream(spark: SparkSession, catalog: Catalog, stream_dir: str, out_dir: str, now,
-                        keep_versions: int | None = None) -> dict[str, DataFrame]:
+                        keep_versions: int | None = None, buckets: int | None = None) -> dict[str, DataFrame]:
     """One run over what a file stream has ingested: its keyed raw tables (base and the epochs
     since) are the batch, of which the upsert takes what has changed, and its quarantine."""
     from linkmart.streaming.ingest import quarantine_table, raw_table, stream_sources
 
     known = {e.name for e in catalog.entities}
     incoming = {s: raw_table(spark, stream_dir, s).select("id", "payload") for s in stream_sources(spark, stream_dir) if s in known}
-    return refresh(spark, catalog, incoming, out_dir, now, quarantine_table(spark, stream_dir), keep_versions)
+    return refresh(spark, catalog, incoming, out_dir, now, quarantine_table(spark, stream_dir), keep_versions, buckets=buckets)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

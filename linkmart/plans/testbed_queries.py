@@ -32,6 +32,7 @@ from linkmart.sources import testbed as tb
 from linkmart.sources.pages import (
     explode_records, malformed_pages, page_report, read_pages,
 )
+from linkmart.sources.buckets import BucketedSnapshotStore, BucketedTable
 from linkmart.sources.tables import SnapshotStore, VersionedTable
 from linkmart.streaming.ingest import ingest_stream, raw_table
 
@@ -249,6 +250,38 @@ def upsert_two_batches(spark, sf_dir):
                       "extracted_at")
 
 
+_BUCKETED: dict = {}
+
+
+def _bucketed_runs(spark, sf_dir) -> str:
+    """Raw and snapshot layers of orders and customers, in 16 buckets: both batches, then the
+    second once more, which changes nothing. Built once per session."""
+    from linkmart.plans.refresh import ingest_and_snapshot
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), spark.conf.get("spark.sql.session.timeZone"))
+    if key not in _BUCKETED:
+        out = scratch_dir(spark, "bucketed")
+        for batch, now in ((1, tb.T1), (2, tb.T2), (2, "2024-06-01 00:00:00")):
+            incoming = {"orders": tb.order_records(spark, sf_dir, batch), "customers": tb.customer_records(spark, sf_dir, batch)}
+            ingest_and_snapshot(spark, TESTBED, incoming, out, now, buckets=16)
+        _BUCKETED[key] = out
+    return _BUCKETED[key]
+
+
+def upsert_bucketed_orders(spark, sf_dir):
+    """The bucketed raw table after three runs, and the version that holds it."""
+    table = BucketedTable(spark, f"{_bucketed_runs(spark, sf_dir)}/raw/orders", "id", 16)
+    return table.current().select(
+        F.col("id").alias("order_id"), json_text(as_variant(F.col("payload")), "status").alias("status"), "extracted_at",
+        F.lit(table.versions()[-1]).cast("int").alias("version"))
+
+
+def scd2_bucketed_orders(spark, sf_dir):
+    """History of orders from a bucketed current slice: the same versions as from the plain one."""
+    store = BucketedSnapshotStore(spark, f"{_bucketed_runs(spark, sf_dir)}/snapshots/orders", "id", 16)
+    return dimension(store.snapshot(), ORDERS)
+
+
 # ---- pages, record split, quarantine, load metrics, run state ------------------------
 
 _LANDED: dict = {}
@@ -692,6 +725,8 @@ QUERIES = {
     "upsert_replay_events": upsert_replay_events,
     "scd2_replay_events": scd2_replay_events,
     "scd2_merge_events": scd2_merge_events,
+    "upsert_bucketed_orders": upsert_bucketed_orders,
+    "scd2_bucketed_orders": scd2_bucketed_orders,
     "stream_upsert": stream_upsert,
     "dead_letter_fields": dead_letter_fields_orders,
     "dead_letter_links": dead_letter_links_orders,

@@ -126,7 +126,8 @@ class SnapshotStore:
         hist = self._history(cur)
         return cur if hist is None else hist.drop("closed_on").unionByName(cur)
 
-    def commit(self, closed: DataFrame, current_next: DataFrame, now) -> DataFrame:
+    def commit(self, closed: DataFrame, current_next: DataFrame, now, **how) -> DataFrame:
+        """``how`` goes to the commit of the current slice."""
         from linkmart.operators.records import _ts
 
         n = self.current_table.next_version()
@@ -138,5 +139,5 @@ class SnapshotStore:
             fresh = fresh.join(seen, "scd_id", "left_anti").select(*closed.columns, "closed_on")
         (fresh.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("closed_on").parquet(f"{self.base}/history/slice_v={n}"))
-        assert self.current_table.commit(current_next) == n
+        assert self.current_table.commit(current_next, **how) == n
         return self.spark.read.parquet(self.current_table.path(n))
