@@ -5,16 +5,17 @@ centroids. For a query, the inner product with a pair is the sum of two half pro
 pairs are traversed best first with a heap over the two sorted lists, without scoring all
 of them, until the cells hold enough entries; those entries are reranked exactly.
 
-How many entries are enough is measured, not guessed: for ``TUNE_QUERIES`` queries the
-exact neighbours among all rows are found in blocks, and the budget is the number of
-entries at which the traversal has covered ``RECALL`` of them.
-
-On Spark: the codebooks (fitted on at most ``FIT_ROWS`` rows) and the cell sizes are small
-and bounded. Cells are grouped, and large ones split, into blocks of about ``BLOCK_ROWS``
-rows. Queries are sent to the blocks of their cells; a block asked by many queries is
-replicated once per ``GROUP_QUERIES`` of them. A task holds one block and streams its
-queries past it; a block's whole content is scored. The best ``k`` of each block are
-merged per query.
+The number of cells grows with the square root of the rows (``centroids_for``). How many
+entries are enough is measured, not guessed: for ``TUNE_QUERIES`` queries the exact
+neighbours among all rows are found in blocks, and the budget is the number of entries at
+which the traversal has covered ``RECALL`` of them, at least ``k`` besides the query's own.
+
+On Spark: the codebooks (fitted on some ``2 * FIT_ROWS`` rows at most) and the cell sizes are
+small and bounded. Cells are grouped, and large ones split, into blocks of about ``BLOCK_ROWS``
+rows. Queries are sent to the blocks of their cells with the list of these; a block asked by
+many queries is replicated once per ``GROUP_QUERIES`` of them. A task holds one block, sorted
+by cell, and streams its queries past it; each query is scored with the rows of its own
+cells only. The best ``k`` of each block are merged per query.
 
 Rows with a NULL id, and vectors that are NULL, empty, zero, hold NULL or non-finite
 components or are not of the table's most common length, take no part. Rows that repeat an
@@ -33,14 +34,20 @@ from pyspark.sql import functions as F
 from linkmart.llm.common import hash_share, stored
 
 FIT_ROWS = 20_000
-CENTROIDS = 32
+CENTROIDS = 1024
 TUNE_QUERIES = 128
-RECALL = 0.98
+RECALL = 0.96
 BLOCK_ROWS = 8192
 GROUP_QUERIES = 1024
 _STEP = 256
 
 
+def centroids_for(rows: int, limit: int = CENTROIDS) -> int:
+    """Centroids of a half, so that there are some 16 * sqrt(rows) cells; at most ``limit``, which
+    4 * 10^9 rows reach (the cell sizes are on the driver)."""
+    return max(2, min(limit, round(4 * rows ** 0.25)))
+
+
 def kmeans(x: np.ndarray, k: int, rounds: int = 20, seed: int = 0) -> np.ndarray:
     """Lloyd's algorithm from a random start; an emptied centroid moves to the farthest row."""
     rng = np.random.default_rng(seed)
@@ -110,6 +117,29 @@ def best(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray
     return tuple(map(np.concatenate, zip(*out))) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
 
 
+def best_of_cells(queries: np.ndarray, own: np.ndarray, wanted: list[list[int]], rows: np.ndarray, ids: np.ndarray,
+                  cells: np.ndarray, k: int):
+    """``best`` where query i sees only the rows of the cells ``wanted[i]``; ``cells`` ascends."""
+    asker = np.repeat(np.arange(len(wanted)), [len(w) for w in wanted])
+    cell = np.array([c for w in wanted for c in w], np.int64)
+    order = np.argsort(cell, kind="stable")
+    asker, cell = asker[order], cell[order]
+    names, starts = np.unique(cell, return_index=True)
+    found = []
+    for c, a, b in zip(names, starts, [*starts[1:], len(cell)]):
+        lo, hi = np.searchsorted(cells, [c, c + 1])
+        if hi > lo:
+            q, hit, score = best(queries[asker[a:b]], own[asker[a:b]], rows[lo:hi], ids[lo:hi], k)
+            found.append((asker[a:b][q], hit, score))
+    if not found:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    q, hit, score = map(np.concatenate, zip(*found))
+    order = np.lexsort((hit, -score, q))
+    q, hit, score = q[order], hit[order], score[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[keep], hit[keep], score[keep]
+
+
 def _valid(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec")).where(
@@ -125,7 +155,7 @@ def _top(rows: DataFrame, k: int) -> DataFrame:
 
 def nearest(
     spark: SparkSession, table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-    centroids: int = CENTROIDS, recall: float = RECALL, block_rows: int = BLOCK_ROWS, group_queries: int = GROUP_QUERIES,
+    centroids: int | None = None, recall: float = RECALL, block_rows: int = BLOCK_ROWS, group_queries: int = GROUP_QUERIES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best entries found for every row of
     ``table`` for which ``is_query`` (over the column ``id``) holds."""
@@ -139,13 +169,13 @@ def nearest(
         return spark.createDataFrame([], schema)
 
     # codebooks
-    step = max(1, total // FIT_ROWS)
+    step = max(1, total // FIT_ROWS)  # 1024 centroids have some 20 rows each
     fit = rows.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).limit(2 * FIT_ROWS).select("vec").toArrow().column(0)
     if not len(fit):
         fit = rows.limit(1).select("vec").toArrow().column(0)
     sample = np.array(fit.to_pylist(), np.float64)
     half = sample.shape[1] // 2
-    k1 = min(centroids, max(1, len(sample) // 8))
+    k1 = min(centroids or centroids_for(total), max(1, len(sample) // 8))
     books = kmeans(sample[:, :half], k1, seed=1), kmeans(sample[:, half:], k1, seed=2)
 
     # cells
@@ -192,6 +222,7 @@ def nearest(
         passed[q] = {i * k1 + j: n for i, j, n in traverse(*s, grid, np.inf)}
     need = sorted(passed[r.query_no][r.cell] + 1 for r in truth)
     budget = need[min(len(need) - 1, int(recall * len(need)))] if need else 1
+    budget = max(budget, k + 1)  # the query itself is an entry
 
     # blocks: runs of cells, large cells split
     first, parts, block, held = np.zeros(k1 * k1, np.int64), np.ones(k1 * k1, np.int64), 0, 0
@@ -208,36 +239,41 @@ def nearest(
         for batch in batches:
             c, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             spread = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
-            yield pa.record_batch([pa.array(first[c] + spread % parts[c]), batch.column(1), batch.column(2)], names=["block", "id", "vec"])
+            yield pa.record_batch([pa.array(first[c] + spread % parts[c]), batch.column(0), batch.column(1), batch.column(2)],
+                                  names=["block", "cell", "id", "vec"])
 
     def probe_blocks(batches):
         for batch in batches:
             x, out = _floats(batch.column(1), kind), []
             left, right = x[:, :half] @ books[0].T, x[:, half:] @ books[1].T
             for q in range(len(x)):
-                seen = set()
+                wanted: dict[int, list[int]] = {}
                 for i, j, _ in traverse(left[q], right[q], grid, budget):
                     c = i * k1 + j
-                    seen.update(range(first[c], first[c] + parts[c]))
-                out.append(sorted(seen))
-            yield pa.record_batch([pa.array(out, pa.list_(pa.int64())), *batch.columns], names=["blocks", "id", "vec", "query_no"])
-
-    asked = queries.select("id", "vec", "query_no").mapInArrow(probe_blocks, "blocks array<bigint>, id bigint, vec binary, query_no bigint")
+                    for b in range(first[c], first[c] + parts[c]):
+                        wanted.setdefault(b, []).append(c)
+                out.append(list(wanted.items()))
+            yield pa.record_batch([pa.array(out, pa.map_(pa.int64(), pa.list_(pa.int32()))), *batch.columns], names=["blocks", "id", "vec", "query_no"])
+
+    asked = queries.select("id", "vec", "query_no").mapInArrow(
+        probe_blocks, "blocks map<bigint, array<int>>, id bigint, vec binary, query_no bigint")
+    asked = asked.select(F.explode("blocks").alias("block", "cells"), "id", "vec", "query_no")
     asked = stored(spark, asked, "ann-asked")
-    load = asked.select(F.explode("blocks").alias("block")).groupBy("block").agg(
-        F.ceil(F.count("*") / group_queries).cast("int").alias("groups"))
+    load = asked.groupBy("block").agg(F.ceil(F.count("*") / group_queries).cast("int").alias("groups"))
     load = stored(spark, load, "ann-load")
     entries = (
-        cells.mapInArrow(place, "block bigint, id bigint, vec binary").join(load, "block")
-        .select("block", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.lit(0).alias("kind"), "id", "vec", F.lit(0).cast("long").alias("no"))
+        cells.mapInArrow(place, "block bigint, cell int, id bigint, vec binary").join(load, "block")
+        .select("block", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.lit(0).alias("kind"), "cell",
+                F.lit(None).cast("array<int>").alias("cells"), "id", "vec", F.lit(0).cast("long").alias("no"))
     )
     asks = (
-        asked.select(F.explode("blocks").alias("block"), "id", "vec", "query_no").join(load, "block")
-        .select("block", F.pmod(F.xxhash64("query_no"), F.col("groups")).cast("int").alias("part"), F.lit(1).alias("kind"), "id", "vec", F.col("query_no").alias("no"))
+        asked.join(load, "block")
+        .select("block", F.pmod(F.xxhash64("query_no"), F.col("groups")).cast("int").alias("part"), F.lit(1).alias("kind"),
+                F.lit(0).alias("cell"), "cells", "id", "vec", F.col("query_no").alias("no"))
     )
 
     def score(batches):
-        at, ids, vecs, rows_ = None, [], [], None
+        at, held, block = None, [], None
         for batch in batches:
             keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()))
             a = 0
@@ -247,19 +283,18 @@ def nearest(
                     b += 1
                 cut = batch.slice(a, b - a)
                 if keys[a][:2] != at:
-                    at, ids, vecs, rows_ = keys[a][:2], [], [], None
+                    at, held, block = keys[a][:2], [], None
                 if keys[a][2] == 0:
-                    ids.append(cut.column(3).to_numpy())
-                    vecs.append(_floats(cut.column(4), kind))
-                elif ids:
-                    if rows_ is None:
-                        rows_ = np.concatenate(vecs), np.concatenate(ids)
-                    own = cut.column(3).to_numpy()
-                    q, hit, s = best(_floats(cut.column(4), kind), own, *rows_, k)
-                    yield pa.record_batch([pa.array(own[q]), pa.array(cut.column(5).to_numpy()[q]), pa.array(hit), pa.array(s)],
+                    held.append((_floats(cut.column(6), kind), cut.column(5).to_numpy(), cut.column(3).to_numpy()))
+                elif held:
+                    if block is None:
+                        block, held = tuple(map(np.concatenate, zip(*held))), held[:1]
+                    own = cut.column(5).to_numpy()
+                    q, hit, s = best_of_cells(_floats(cut.column(6), kind), own, cut.column(4).to_pylist(), *block, k)
+                    yield pa.record_batch([pa.array(own[q]), pa.array(cut.column(7).to_numpy()[q]), pa.array(hit), pa.array(s)],
                                           names=["query_id", "query_no", "vec_id", "score"])
                 a = b
 
-    dealt = entries.unionByName(asks).repartition("block", "part").sortWithinPartitions("block", "part", "kind", "id")
+    dealt = entries.unionByName(asks).repartition("block", "part").sortWithinPartitions("block", "part", "kind", "cell", "id")
     found = dealt.mapInArrow(score, "query_id bigint, query_no bigint, vec_id bigint, score double")
     return _top(found, k).select("query_id", "rank", "vec_id", "score")

@@ -53,6 +53,32 @@ def test_recall_and_exact_scores(spark, kind, groups):
     assert hit >= 0.95 * 10 * len(want)
 
 
+def test_a_query_sees_the_rows_of_its_cells_only():
+    rng = np.random.default_rng(5)
+    x, cells = rng.normal(size=(40, 4)), np.sort(rng.integers(0, 6, 40))
+    ids, wanted = np.arange(40), [[0, 3], [5], [], [2, 1, 4, 9]]
+    q, hit, score = A.best_of_cells(x[:4], ids[:4], wanted, x, ids, cells, 5)
+    for i, w in enumerate(wanted):
+        seen = [j for j in range(40) if cells[j] in w and j != i]
+        best = sorted(seen, key=lambda j: (-(x[i] * x[j]).sum(), j))[:5]
+        assert hit[q == i].tolist() == best and np.allclose(score[q == i], [(x[i] * x[j]).sum() for j in best])
+
+
+def test_every_query_gets_k_rows_where_one_cell_holds_few(spark):
+    # tight pairs: two rows have nearly all of a query's product, the rest are far behind
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(200, 8))
+    x = np.concatenate([base, base + 1e-3])
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    got = run(spark, rows, F.col("id") % 20 == 0, "double", k=20, recall=0.0, block_rows=8)
+    assert len(got) == 20 and all(len(v) == 20 for v in got.values())
+
+
+def test_cells_grow_with_the_square_root_of_the_rows():
+    cells = [A.centroids_for(n) ** 2 for n in (10_000, 1_000_000, 100_000_000)]
+    assert 9 < cells[1] / cells[0] < 11 and 9 < cells[2] / cells[1] < 11
+
+
 def test_invalid_vectors_take_no_part(spark):
     ok = [(i, [1.0, float(i)]) for i in range(6)]
     bad = [(20, None), (40, [0.0, 0.0]), (60, [1.0, None]), (80, [float("nan"), 1.0]), (100, [float("inf"), 1.0]),
