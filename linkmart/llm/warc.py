@@ -7,7 +7,8 @@ finds a record. Captures with equal payloads (same SHA-1) of at least ``MIN_REVI
 bytes share one response record, that of the largest id; the rest are revisit records
 that carry the HTTP header only and refer to it.
 
-Reading: archives are read as whole files (bounded by ``RECORDS_PER_FILE``) and parsed by
+Reading: archives are read as whole files (bounded by ``FILE_BYTES``, but for a single longer
+record: captures of a size class share files, fewer of them the longer they are) and parsed by
 Content-Length; a response's digest is recomputed from the payload read. Each file gives
 one run of index lines sorted by (URL key, timestamp, id, file, offset). Runs are cut at
 global split points, and for every key range the slices of all runs are merged k ways by
@@ -34,7 +35,10 @@ from linkmart.llm.common import stored
 from linkmart.session import scratch_dir
 
 MIN_REVISIT = 1000
+#: Payload bytes of an archive; a size class spans a factor of ``CLASS_FACTOR``.
+FILE_BYTES = 64 << 20
 RECORDS_PER_FILE = 4000
+CLASS_FACTOR = 16
 RANGE_ROWS = 20_000
 MAX_RANGES = 16_384
 SAMPLE_PER_RANGE = 40
@@ -47,7 +51,7 @@ KEY = ("urlkey", "at", "id", "file", "offset")
 
 def write_archives(
     spark: SparkSession, captures: DataFrame, path: str,
-    min_revisit: int = MIN_REVISIT, records_per_file: int = RECORDS_PER_FILE,
+    min_revisit: int = MIN_REVISIT, records_per_file: int = RECORDS_PER_FILE, file_bytes: int = FILE_BYTES,
 ) -> None:
     """Write ``captures(id long, url, at timestamp, payload string)`` as WARC files at ``path``."""
     page = captures.select(
@@ -88,7 +92,25 @@ def write_archives(
         field("Content-Length", F.octet_length(block).cast("string")),
         F.lit(CRLF), block,
     )
-    r.select(record.alias("value")).write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", records_per_file).text(path)
+    sizes, size = size_classes(records_per_file, file_bytes), F.col("bytes") + F.octet_length("url")
+    # one write for each size class there is; a class's longest payload and URL times its records stays in the bound
+    number = F.array_size(F.filter(F.array(*[F.lit(top) for top, _ in sizes[:-1]]), lambda top: size > top))
+    present = page.select(number.alias("c")).distinct().collect()  # a row per class, of which there are few
+    for c in sorted(x.c for x in present) or [0]:
+        low, (high, records) = sizes[c - 1][0] if c else -1, sizes[c]
+        of_class = r.where((size > low) & (size <= high))
+        of_class.select(record.alias("value")).write.mode("append").option("lineSep", CRLF * 2) \
+            .option("maxRecordsPerFile", records).text(path)
+
+
+def size_classes(records_per_file: int, file_bytes: int) -> list[tuple[int, int]]:
+    """(longest payload and URL, records of a file) of each class: those of which
+    ``records_per_file`` fit in a file, then ``CLASS_FACTOR`` times longer ones, until one fills it."""
+    top, out = max(1, file_bytes // records_per_file), []
+    while top < file_bytes:
+        out.append((top, min(records_per_file, file_bytes // top)))
+        top *= CLASS_FACTOR
+    return [*out, (1 << 62, 1)]
 
 
 def url_key(url: str | None) -> str:
@@ -245,10 +267,10 @@ def merge_runs(spark: SparkSession, runs: DataFrame, range_rows: int = RANGE_ROW
 
 def archive_and_index(
     spark: SparkSession, captures: DataFrame, min_revisit: int = MIN_REVISIT,
-    records_per_file: int = RECORDS_PER_FILE, range_rows: int = RANGE_ROWS, path: str | None = None,
+    records_per_file: int = RECORDS_PER_FILE, range_rows: int = RANGE_ROWS, path: str | None = None, file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
     """Write ``captures(id, url, at, payload)`` as archives, read them back and return the
     merged index: one row per capture in the columns of ``LINE``, position and capture_no."""
     path = path or scratch_dir(spark, "warc")
-    write_archives(spark, captures, path, min_revisit, records_per_file)
+    write_archives(spark, captures, path, min_revisit, records_per_file, file_bytes)
     return merge_runs(spark, stored(spark, read_runs(spark, path), "warc-runs"), range_rows)
