@@ -14,8 +14,8 @@ On Spark: the codebooks (fitted on some ``2 * FIT_ROWS`` rows at most) and the c
 small and bounded. Cells are grouped, and large ones split, into blocks of about ``BLOCK_ROWS``
 rows. Queries are sent to the blocks of their cells with the list of these; a block asked by
 many queries is replicated once per ``GROUP_QUERIES`` of them. A task holds one block, sorted
-by cell, and streams its queries past it; each query is scored with the rows of its own
-cells only. The best ``k`` of each block are merged per query.
+by cell, and streams its queries past it; queries of one nearest cell are scored together
+with the rows of the cells they want. The best ``k`` of each block are merged per query.
 
 Rows with a NULL id, and vectors that are NULL, empty, zero, hold NULL or non-finite
 components or are not of the table's most common length, take no part. Rows that repeat an
@@ -43,9 +43,9 @@ _STEP = 256
 
 
 def centroids_for(rows: int, limit: int = CENTROIDS) -> int:
-    """Centroids of a half, so that there are some 16 * sqrt(rows) cells; at most ``limit``, which
-    4 * 10^9 rows reach (the cell sizes are on the driver)."""
-    return max(2, min(limit, round(4 * rows ** 0.25)))
+    """Centroids of a half, so that there are some 4 * sqrt(rows) cells; at most ``limit``, which
+    7 * 10^10 rows reach (the cell sizes are on the driver)."""
+    return max(2, min(limit, round(2 * rows ** 0.25)))
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 20, seed: int = 0) -> np.ndarray:
@@ -119,25 +119,20 @@ def best(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray
 
 def best_of_cells(queries: np.ndarray, own: np.ndarray, wanted: list[list[int]], rows: np.ndarray, ids: np.ndarray,
                   cells: np.ndarray, k: int):
-    """``best`` where query i sees only the rows of the cells ``wanted[i]``; ``cells`` ascends."""
-    asker = np.repeat(np.arange(len(wanted)), [len(w) for w in wanted])
-    cell = np.array([c for w in wanted for c in w], np.int64)
-    order = np.argsort(cell, kind="stable")
-    asker, cell = asker[order], cell[order]
-    names, starts = np.unique(cell, return_index=True)
+    """``best`` over the rows of the cells ``wanted[i]`` of query i, the nearest first; ``cells`` ascends.
+    Queries with the same nearest cell are scored together, ``_STEP`` at once, with the rows
+    of all cells that any of them wants: one large product costs less than many small ones."""
+    order = np.argsort([w[0] if w else -1 for w in wanted], kind="stable")
     found = []
-    for c, a, b in zip(names, starts, [*starts[1:], len(cell)]):
-        lo, hi = np.searchsorted(cells, [c, c + 1])
-        if hi > lo:
-            q, hit, score = best(queries[asker[a:b]], own[asker[a:b]], rows[lo:hi], ids[lo:hi], k)
-            found.append((asker[a:b][q], hit, score))
-    if not found:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    q, hit, score = map(np.concatenate, zip(*found))
-    order = np.lexsort((hit, -score, q))
-    q, hit, score = q[order], hit[order], score[order]
-    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
-    return q[keep], hit[keep], score[keep]
+    for at in range(0, len(order), _STEP):
+        some = order[at:at + _STEP]
+        names = np.unique([c for i in some for c in wanted[i]]).astype(cells.dtype)
+        lo, hi = np.searchsorted(cells, names), np.searchsorted(cells, names, "right")
+        near = slice(lo[0], hi[-1]) if len(names) and (hi - lo).sum() == hi[-1] - lo[0] else \
+            np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)] or [np.zeros(0, int)])
+        q, hit, score = best(queries[some], own[some], rows[near], ids[near], k)
+        found.append((some[q], hit, score))
+    return tuple(map(np.concatenate, zip(*found))) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
 
 
 def _valid(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:

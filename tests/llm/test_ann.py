@@ -53,15 +53,19 @@ def test_recall_and_exact_scores(spark, kind, groups):
     assert hit >= 0.95 * 10 * len(want)
 
 
-def test_a_query_sees_the_rows_of_its_cells_only():
+def test_queries_are_scored_with_the_cells_they_want(monkeypatch):
     rng = np.random.default_rng(5)
     x, cells = rng.normal(size=(40, 4)), np.sort(rng.integers(0, 6, 40))
     ids, wanted = np.arange(40), [[0, 3], [5], [], [2, 1, 4, 9]]
+    monkeypatch.setattr(A, "_STEP", 1)  # no query shares its rows
     q, hit, score = A.best_of_cells(x[:4], ids[:4], wanted, x, ids, cells, 5)
     for i, w in enumerate(wanted):
         seen = [j for j in range(40) if cells[j] in w and j != i]
         best = sorted(seen, key=lambda j: (-(x[i] * x[j]).sum(), j))[:5]
         assert hit[q == i].tolist() == best and np.allclose(score[q == i], [(x[i] * x[j]).sum() for j in best])
+    monkeypatch.setattr(A, "_STEP", 4)
+    q, hit, _ = A.best_of_cells(x[:4], ids[:4], wanted, x, ids, cells, 5)
+    assert all(hit[q == i].tolist() == sorted((j for j in range(40) if j != i), key=lambda j: (-(x[i] * x[j]).sum(), j))[:5] for i in range(4))
 
 
 def test_every_query_gets_k_rows_where_one_cell_holds_few(spark):
