@@ -7,6 +7,10 @@ nulls and arrays stay distinguishable. A run is one extraction of a source: its
 applied after those of earlier runs, in the order of the run ids with digits read as
 numbers; pages without a run folder are one run, in which a page landed again comes after
 its earlier landing. A source either has run folders or has none.
+
+A folder and a file for each page cost more than the page once there are many, so pages may
+also lie packed in ``page=packed/<file>``, a line ``<page>\\t<text in base64>`` each and up to
+``PACKED_PAGES`` in a file (see ``pack_pages``). A packed page's ``file`` is that of its line.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from linkmart.sources.tables import _fs
 
 # Records per page; pages end at the first empty or short page.
 PAGE_SIZE = 50
+PACKED = "packed"
+PACKED_PAGES = 256
 
 #: Digits to which a number in a run id is padded.
 _DIGITS = 40
@@ -60,15 +66,36 @@ def run_order(run: Column) -> Column:
     return F.regexp_replace(padded, rf"\d*(\d{{{_DIGITS}}})", "$1")
 
 
+def pack_pages(pages: DataFrame, path: str, mode: str) -> None:
+    """Land ``source[, run], page, value``, the text of each page, packed. Rows that lie together
+    by ``PACKED_PAGES`` consecutive page numbers give few files."""
+    line = F.concat(F.coalesce(F.col("page").cast("string"), F.lit("")), F.lit("\t"), F.translate(F.base64(F.col("value").cast("binary")), "\r\n", ""))
+    keys = [c for c in ("source", "run") if c in pages.columns]
+    (pages.select(*keys, F.lit(PACKED).alias("page"), line.alias("value"))
+     .write.mode(mode).option("maxRecordsPerFile", PACKED_PAGES).partitionBy(*keys, "page").text(path))
+
+
+def _unpacked(files: DataFrame, page: Column) -> DataFrame:
+    """One row per page: ``files`` with ``_page`` (text), ``_file`` and ``_content`` for path and content.
+    (``inline_outer`` for the reason given in ``page_rows``.)"""
+    lines = F.filter(F.split(F.col("content").cast("string"), "\n"), lambda x: x != "")
+    packed = F.transform(lines, lambda x, i: F.struct(
+        F.split_part(x, F.lit("\t"), F.lit(1)).alias("_page"), F.concat("path", F.lit("#"), F.lpad(i.cast("string"), 9, "0")).alias("_file"),
+        F.unbase64(F.split_part(x, F.lit("\t"), F.lit(2))).alias("_content")))
+    single = F.array(F.struct(page.alias("_page"), F.col("path").alias("_file"), F.col("content").alias("_content")))
+    kept = [c for c in files.columns if c not in ("content", "length")]
+    return files.select(*kept, F.inline_outer(F.when(page == PACKED, packed).otherwise(single))).where("_file IS NOT NULL")
+
+
 def _located(files: DataFrame, source: Column, run: Column, page: Column) -> DataFrame:
-    """``source, run, page, file, modified, records`` of whole files.
+    """``source, run, page, file, modified, records`` of whole pages; ``page`` is the folder's text.
 
     ``records`` holds the elements of ``data`` as ``(value VARIANT, text)``; it is NULL for a
     page that is cut off, no JSON object, or whose ``data`` is neither an array nor missing.
     In a whole page in which single records do not parse, the others do, and those have a
     NULL value and their ``text``."""
-    text = F.try_validate_utf8(F.col("content").cast("string"))
-    parsed = files.select(source.alias("source"), run.alias("run"), page.alias("page"), F.col("path").alias("file"),
+    text = F.try_validate_utf8(F.col("_content").cast("string"))
+    parsed = _unpacked(files, page).select(source.alias("source"), run.alias("run"), F.col("_page").try_cast("int").alias("page"), F.col("_file").alias("file"),
                           F.col("modificationTime").alias("modified"), text.alias("_t"), F.try_parse_json(exact_numbers(text)).alias("_v"))
     data = F.try_variant_get("_v", "$.data", "variant")
     kind = json_kind(data)
@@ -88,14 +115,14 @@ _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def read_pages(spark: SparkSession, path: str, runs: list[tuple[str, str, str]] | None = None) -> DataFrame:
-    """Landed pages, one row per file (see ``_located``), however their JSON is laid out.
+    """Landed pages, one row per page (see ``_located``), however their JSON is laid out.
 
     Source, run and page are the partition columns of the folders, as text, so a filter on
     them prunes the files read. ``runs`` (of ``landed_runs``) restricts the read, and the
     listing of page files, to those runs. Spark's scans leave zero-byte files out: such a
     page is missing (see ``missing_pages``)."""
     runs = landed_runs(spark, path) if runs is None else runs
-    place = [F.col("source"), F.coalesce("run", F.lit("")), F.col("page").try_cast("int")]
+    place = [F.col("source"), F.coalesce("run", F.lit("")), F.col("page")]
     out = None
     for keys, folders in (("source string, run string, page string", [f for _, run, f in runs if run]),
                           ("source string, page string", [f for _, run, f in runs if not run])):
@@ -121,7 +148,7 @@ def read_pages_stream(spark: SparkSession, path: str, files_per_trigger: int = 1
 
     files = spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", True) \
         .option("maxFilesPerTrigger", files_per_trigger).load(path)
-    return _located(files, place("source"), F.coalesce(place("run"), F.lit("")), place("page").try_cast("int"))
+    return _located(files, place("source"), F.coalesce(place("run"), F.lit("")), place("page"))
 
 
 def load_id(rows: DataFrame) -> Column:

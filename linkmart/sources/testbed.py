@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkmart.sources.pages import PAGE_SIZE
+from linkmart.sources.pages import PACKED_PAGES, PAGE_SIZE, pack_pages
 
 # Fixed values used by both the Spark side and the oracle SQL.
 BASE_URL = "https://api.example.test/v1"
@@ -247,18 +247,17 @@ def broken_extraction_page() -> Column:
 def land_pages(records: DataFrame, out_dir: str, source: str = "source", page: str = "page",
                pos: str = "pos", json: str = "json", run: str | None = None,
                body: Column | None = None, mode: str = "overwrite") -> None:
-    """Write one JSON page file per (source[, run], page) from one-record-per-row input.
+    """Land one JSON page per (source[, run], page), packed, from one-record-per-row input.
 
     Pages are bounded groups (``pos < PAGE_SIZE``), so gathering a page's records is a
-    bounded ``collect_list``; ``sort_array`` on (pos, json) fixes the record order.
-    ``body`` (over source/page and the page's text ``_b``) replaces what is written.
-    ``mode="append"`` lands more pages next to earlier ones."""
+    bounded ``collect_list``; ``sort_array`` on (pos, json) fixes the record order. One exchange
+    brings the pages of a file together. ``body`` (over source/page and the page's text ``_b``)
+    replaces what is written. ``mode="append"`` lands more pages next to earlier ones."""
     keys = ["source", *(["run"] if run else []), "page"]
     columns = dict(zip(keys, [source, *([run] if run else []), page]))
-    grouped = records.groupBy(*[F.col(c).alias(k) for k, c in columns.items()]).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(json).alias("j"))))
-        .alias("_r"))
+    rows = records.select(*[F.col(c).alias(k) for k, c in columns.items()], F.col(pos).alias("p"), F.col(json).alias("j"))
+    rows = rows.withColumn("_file", F.floor(F.col("page") / PACKED_PAGES)).repartition(*keys[:-1], "_file")
+    grouped = rows.groupBy(*keys, "_file").agg(F.sort_array(F.collect_list(F.struct("p", "j"))).alias("_r"))
     grouped = grouped.withColumn("_b", F.concat(
         F.lit('{"data":['), F.array_join(F.transform("_r", lambda x: x["j"]), ","), F.lit("]}")))
-    (grouped.select(*keys, (F.col("_b") if body is None else body).alias("value"))
-     .write.mode(mode).partitionBy(*keys).text(out_dir))
+    pack_pages(grouped.select(*keys, (F.col("_b") if body is None else body).alias("value")), out_dir, mode)

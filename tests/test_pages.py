@@ -6,8 +6,10 @@ import os
 from pyspark.sql import functions as F
 
 from linkmart.operators.records import label_records
+from linkmart.sources import testbed as tb
 from linkmart.sources.pages import (
-    explode_records, ingest_pages, landed_runs, malformed_pages, missing_pages, read_pages, run_key, run_order,
+    explode_records, ingest_pages, landed_runs, malformed_pages, missing_pages, read_pages, read_pages_stream, run_key,
+    run_order,
 )
 
 
@@ -76,3 +78,30 @@ def test_runs_are_ordered_with_digits_as_numbers(spark):
     rows = spark.createDataFrame([(r,) for r in runs], "run string").select("run", run_order(F.col("run")).alias("k")).collect()
     assert {r["run"]: r["k"] for r in rows} == {r: run_key(r) for r in runs}
     assert sorted(["10", "9", "2024-01-10", "2024-01-02"], key=run_key) == ["9", "10", "2024-01-02", "2024-01-10"]
+
+
+def test_landed_pages_are_packed_and_read_as_single_ones(spark, scratch):
+    # 600 pages of one run: a folder and a file each before, now a file for 256 of them
+    rows = [("s", "1", p, 0, '{"id": "%d",\n\t"name": "ä %s"}' % (p, "x" * 100)) for p in range(600)]
+    frame = spark.createDataFrame(rows, "source string, run string, page int, pos int, json string")
+    path = scratch("packed")
+    cut = F.when(F.col("page") == 5, F.lit('{"data":[')).otherwise(F.col("_b"))
+    tb.land_pages(frame, path, run="run", body=cut)
+    tb.land_pages(frame.where("page = 7"), path, run="run", mode="append")  # page 7 is landed again
+    os.makedirs(f"{path}/source=s/run=1/page=600")
+    with open(f"{path}/source=s/run=1/page=600/p.json", "w") as f:
+        f.write('{"data": []}')
+    files = [f for _, _, names in os.walk(path) for f in names if not f.startswith((".", "_"))]
+    assert len(files) <= 6
+    pages = read_pages(spark, path)
+    assert [r[0] for r in pages.select("page").orderBy("page").collect()] == sorted([*range(601), 7])
+    assert pages.select("file").distinct().count() == 602  # the place of each landing
+    assert [(r["run"], r["page"]) for r in malformed_pages(pages).collect()] == [("1", 5)]
+    ids = [r["id"] for r in label_records(explode_records(pages)).where("reason IS NULL").collect()]
+    assert sorted(ids) == sorted([*(str(p) for p in range(600) if p != 5), "7"])
+    seen = []
+    q = read_pages_stream(spark, path, 256).writeStream.foreachBatch(
+        lambda batch, _: seen.extend(tuple(r) for r in batch.select("source", "run", "page", "file").collect())) \
+        .option("checkpointLocation", scratch("cp")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(seen) == sorted(tuple(r) for r in pages.select("source", "run", "page", "file").collect())
