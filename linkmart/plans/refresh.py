@@ -29,7 +29,7 @@ from linkmart.operators.snapshots import scd2_bucketed, scd2_step, snapshot_sour
 from linkmart.operators.upsert import latest_per_key, upsert_bucketed, upsert_changed
 from linkmart.plans.extract import extract, mark_applied, store_quarantine, stored_quarantine
 from linkmart.plans.models import build_models
-from linkmart.plans.spec import Catalog
+from linkmart.plans.spec import Catalog, EntitySpec
 from linkmart.sources.buckets import BucketedSnapshotStore, BucketedTable
 from linkmart.sources.tables import SnapshotStore, VersionedTable
 
@@ -66,7 +66,7 @@ def generated_checks(catalog: Catalog, models) -> list[Check]:
     return checks
 
 
-def _parallel(fn, items, workers: int = 4) -> list:
+def parallel(fn, items, workers: int = 4) -> list:
     """Run independent per-entity/per-table Spark jobs from a few driver threads, so
     small jobs overlap on the cluster instead of queueing one after the other."""
     items = list(items)
@@ -76,6 +76,16 @@ def _parallel(fn, items, workers: int = 4) -> list:
         return list(pool.map(fn, items))
 
 
+def take_snapshot(spark: SparkSession, spec: EntitySpec, raw: DataFrame, out_dir: str, now,
+                  buckets: int | None = None) -> SnapshotStore:
+    """Merge a raw table into its entity's snapshot store, committed; returns the store."""
+    path, source = f"{out_dir.rstrip('/')}/snapshots/{spec.name}", snapshot_source(raw, spec)
+    store = BucketedSnapshotStore(spark, path, spec.key, buckets) if buckets else SnapshotStore(spark, path)
+    closed, current_next = (scd2_bucketed if buckets else scd2_step)(store.current(), source, now, spec.key)
+    store.commit(closed, current_next, now)
+    return store
+
+
 def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
                         now, snapshots: bool = True, keep_versions: int | None = None,
                         on_duplicate: str = "error", buckets: int | None = None) -> tuple[dict, dict]:
@@ -106,16 +116,13 @@ def ingest_and_snapshot(spark: SparkSession, catalog: Catalog, incoming: dict, o
                 table.vacuum(keep_versions)
         if current is None or not snapshots:
             return spec.name, current, None
-        path, source = f"{out}/snapshots/{spec.name}", snapshot_source(current, spec)
-        store = BucketedSnapshotStore(spark, path, spec.key, buckets) if buckets else SnapshotStore(spark, path)
-        closed, current_next = (scd2_bucketed if buckets else scd2_step)(store.current(), source, now, spec.key)
-        store.commit(closed, current_next, now)
+        store = take_snapshot(spark, spec, current, out, now, buckets)
         if keep_versions:
             store.current_table.vacuum(keep_versions)
         return spec.name, current, store.snapshot()
 
     raw, snaps = {}, {}
-    for name, r, snap in _parallel(one, catalog.entities):
+    for name, r, snap in parallel(one, catalog.entities):
         if r is not None:
             raw[name] = r
         if snap is not None:
@@ -138,7 +145,7 @@ def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
                                      keep_versions=keep_versions, on_duplicate=on_duplicate, buckets=buckets)
     models = build_models(catalog, raw, snaps)
     written: dict[str, DataFrame] = {}
-    dims = _parallel(lambda kv: (kv[0], _write(kv[1], f"{out}/marts/dim_{kv[0]}")),
+    dims = parallel(lambda kv: (kv[0], _write(kv[1], f"{out}/marts/dim_{kv[0]}")),
                      models.dims.items())
     written.update({f"dim_{k}": v for k, v in dims})
     models.dims = {k: written[f"dim_{k}"] for k in models.dims}
@@ -158,7 +165,7 @@ def refresh(spark: SparkSession, catalog: Catalog, incoming: dict, out_dir: str,
     quarantine = stored_quarantine(spark, out)  # of this and of earlier runs
     jobs.append(("dead_letters", f"{out}/intermediate/dead_letters",
                  dead_letters(raw, catalog.entities, quarantine)))
-    for name, df in _parallel(lambda j: (j[0], _write(j[2], j[1])), jobs):
+    for name, df in parallel(lambda j: (j[0], _write(j[2], j[1])), jobs):
         written[name] = df
     models.facts = {k: v for k, v in written.items()
                     if not k.startswith("dim_") and k != "dead_letters"}
