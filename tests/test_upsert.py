@@ -81,3 +81,23 @@ def test_sequence_equals_per_record_upserts(spark):
     got = {r["id"]: (r["payload"], r["extracted_at"])
            for r in upsert_sequence(cur, inc, ["page", "pos"], "now").collect()}
     assert got == {"1": ("a", _d(T2)), "2": ("z", _d(T0)), "3": ("n", _d(T2))}
+
+
+def test_an_upsert_reads_its_batch_once(spark, scratch):
+    # before: the batch was read, made canonical and shuffled twice, for its fingerprints and for its rows
+    cur = upsert_changed(None, spark.range(100).selectExpr("cast(id as string) id", """concat('{"n":', id, '}') payload"""), T0)
+    cur.unionByName(cur.where("id = '7'")).write.parquet(cp := scratch("cur"))  # a key that the table has twice is replaced once
+    inc = spark.range(100).selectExpr("cast(nullif(id, 3) as string) id", """concat('{ "n":', if(id % 7 = 0, -id, id), '}') payload""")
+    inc.write.parquet(ip := scratch("inc"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = upsert_changed(spark.read.parquet(cp), spark.read.parquet(ip), T1)
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    final = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert final.count("FileScan parquet") == 3  # the table's pairs, its rows, the batch
+    got = {r["id"]: (r["payload"], r["extracted_at"]) for r in rows}
+    assert len(rows) == len(got) == 100 and got["3"] == ('{"n":3}', _d(T0))
+    assert got["7"] == ('{"n":-7}', _d(T1)) and got["8"] == ('{"n":8}', _d(T0))
