@@ -29,7 +29,8 @@ def _col(c) -> Column:
 # doubles. Such texts are rewritten before they are parsed: a number with an exponent in
 # plain digits, and one of more digits as a string behind a mark that is taken off again.
 _MARK = "\ue000#"
-_UNUSUAL = r"[0-9][eE][+-]?[0-9]|[0-9][0-9.]{38}"
+# The look for them starts at a digit, so that texts without one cost little.
+_UNUSUAL = r"[0-9](?:[eE][+-]?[0-9]|[0-9.]{38})"
 _TOKENS = r'"(?:[^"\\]|\\.)*+"|-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|[^"0-9-]++|.'
 _NUMBER = r"^(-?)([0-9]+)(?:\.([0-9]+))?(?:[eE]([+-]?[0-9]{1,9}))?$"
 #: Numbers with a larger exponent stay as they are written.

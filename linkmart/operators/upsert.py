@@ -16,7 +16,7 @@ from linkmart.functions.json_ops import canonical_json
 from linkmart.operators.records import _ts
 from linkmart.operators.scan import blocked, neighbour
 from linkmart.session import guard_union_partitioning
-from linkmart.sources.buckets import BucketedTable, merged
+from linkmart.sources.buckets import BucketedTable, merged, staged
 
 
 class DuplicateKeyError(ValueError):
@@ -65,10 +65,14 @@ def changed_keys(current: DataFrame, incoming: DataFrame, key: str, cols: list[s
         key, F.col("_cf").isNull().alias("_new")).dropDuplicates([key])
 
 
+def _canonical(payload: Column) -> Column:
+    """The payload as it is stored: canonical JSON, or text that is not JSON as it is."""
+    return F.coalesce(canonical_json(payload), payload)
+
+
 def _batch(incoming: DataFrame, key: str, payload: str, on_duplicate: str) -> DataFrame:
     """``(key, payload)`` of a batch: canonical payloads, each key once."""
-    text = F.coalesce(canonical_json(payload), F.col(payload))
-    incoming = incoming.select(key, text.alias(payload))
+    incoming = incoming.select(key, _canonical(F.col(payload)).alias(payload))
     return (latest_per_key(incoming, key, [payload], "last") if on_duplicate == "last"
             else require_unique(incoming, key))
 
@@ -111,28 +115,39 @@ def upsert_bucketed(table: BucketedTable, incoming: DataFrame, now, payload: str
                     derive: Callable[[DataFrame], DataFrame] | None = None) -> bool:
     """``upsert_changed`` on a table bucketed by its key, with the commit; whether there was one.
 
-    The batch is shuffled into the table's buckets; the table itself is neither shuffled nor
-    sorted: one merge join compares payloads and gives the rows of the next version, each in
-    its bucket. A batch that changes nothing commits nothing, which the first look at
-    (key, fingerprint) pairs tells. A row without a key is taken by the first load only, as by
-    ``upsert_changed``."""
+    The batch is written once into buckets like the table's (see ``staged``); the table itself is
+    neither shuffled nor sorted: one merge join compares payloads and gives the rows of the
+    next version, each in its bucket. A payload that is the stored text is unchanged; others are
+    made canonical and compared in the join. A batch that changes nothing commits nothing,
+    which a look for the first change tells. A row without a key is taken by the first load
+    only, as by ``upsert_changed``."""
     key, current = table.key, table.current()
     if current is None:
         table.commit(upsert_changed(None, incoming, now, key, payload, ts, on_duplicate, derive))
         return True
     derive = derive or (lambda rows: rows)
-    current, batch = derive(current), _batch(incoming, key, payload, on_duplicate)
-    if table.in_place() and changed_keys(current, batch.where(F.col(key).isNotNull()), key, [payload]).isEmpty():
-        return False
-    moved = F.col("_s").isNotNull() & (F.col("_c").isNull() | ~F.col("_c")[payload].eqNullSafe(F.col("_s")[payload]))
-    rows = merged(current, batch, key).withColumn("_moved", moved)
-    # a payload that stays is NULL here, so that nothing is derived from it again
-    fresh = derive(rows.select(key, F.when(F.col("_moved"), F.col("_s")[payload]).alias(payload), _ts(now).alias(ts), "_c", "_moved"))
-    table.commit(fresh.select(key, *[
-        F.when(F.col("_moved"), F.col(c)).otherwise(F.col("_c")[c]).alias(c) for c in current.columns if c != key]), aligned=True)
+    current = derive(current)
+    batch = (_batch(incoming, key, payload, on_duplicate) if on_duplicate == "last"
+             else require_unique(incoming.select(key, payload), key))
+    with staged(batch.where(F.col(key).isNotNull()), key, table.buckets) as batch:
+        if table.in_place() and _compared(current.select(key, payload), batch, key, payload).where("_moved").isEmpty():
+            return False
+        rows = _compared(current, batch, key, payload)
+        # a payload that stays is NULL here, so that nothing is derived from it again
+        fresh = derive(rows.select(key, F.when(F.col("_moved"), F.col("_t")).alias(payload), _ts(now).alias(ts), "_c", "_moved"))
+        table.commit(fresh.select(key, *[
+            F.when(F.col("_moved"), F.col(c)).otherwise(F.col("_c")[c]).alias(c) for c in current.columns if c != key]), aligned=True)
     return True
 
 
+def _compared(current: DataFrame, batch: DataFrame, key: str, payload: str) -> DataFrame:
+    """``merged`` rows with ``_t``, the batch's payload as it is stored, and ``_moved``, whether it is new
+    or changed. CASE makes a payload canonical only where its text is not the stored one."""
+    stored, text = F.col("_c")[payload], F.col("_s")[payload]
+    rows = merged(current, batch, key).withColumn("_t", F.when(stored.eqNullSafe(text), text).otherwise(_canonical(text)))
+    return rows.withColumn("_moved", F.col("_s").isNotNull() & (F.col("_c").isNull() | ~stored.eqNullSafe(F.col("_t"))))
+
+
 def upsert_replay(changes: DataFrame, key: str, batch_col: str, payload: str = "payload",
                   batch_ts: str | Column | None = None) -> DataFrame:
     """The table after applying every batch in ``batch_col`` order.

@@ -71,7 +71,7 @@ def _attributes(entity: str, k: Column) -> dict[str, Column]:
 def records(spark: SparkSession, sf_dir: str, entity: str, batch: int) -> DataFrame:
     """``(id, payload)`` of one entity's batch (see the module)."""
     table, key = TABLES[entity]
-    rows, k = tb.table(spark, sf_dir, table), F.col(key)
+    rows, k = tb.spread(tb.table(spark, sf_dir, table), key), F.col(key)
     star = F.lit("")
     if batch == 2:
         rows, star = rows.where(k % 41 != 0), F.when(k % 3 == 0, F.lit("*")).otherwise(F.lit(""))

@@ -9,11 +9,14 @@ buckets (or with another number) is taken over by the next commit.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkmart.sources.tables import SnapshotStore, VersionedTable
+from linkmart.session import scratch_dir
+from linkmart.sources.tables import SnapshotStore, VersionedTable, _fs
 
 BUCKETS = "buckets"
 
@@ -84,6 +87,21 @@ class BucketedSnapshotStore(SnapshotStore):
         return super().commit(closed, current_next, now, aligned=True)
 
 
+@contextmanager
+def staged(rows: DataFrame, key: str, buckets: int) -> Iterator[DataFrame]:
+    """``rows`` written once in ``buckets`` buckets to the shared scratch folder and read back: however
+    often they are used, they are computed and shuffled once. Deleted at the end."""
+    spark, path = rows.sparkSession, scratch_dir(rows.sparkSession, "staged")
+    table = BucketedTable(spark, path, key, buckets)
+    try:
+        table.commit(rows)
+        yield table.current()
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table._name(table.path(1))}")
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+
+
 def merged(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``key``, ``_c``, ``_s``: the rows of both sides of a key as structs, NULL where a side has none.
     A row of ``right`` without a key is left out. A full outer merge join, so with a bucketed

@@ -34,6 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` dealt over the cluster by their key. A file is read by as many tasks as it has
+    row groups or splits, and records cost far more to make than their columns to read."""
+    return rows.repartition(key)
+
+
 def url(entity: str, key) -> Column:
     k = F.col(key) if isinstance(key, str) else key
     return F.concat(F.lit(f"{BASE_URL}/{entity}/"), k.cast("string"))
@@ -62,7 +68,7 @@ def _mod(k: Column, m: int) -> Column:
 
 
 def order_records(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     k = F.col("o_orderkey")
     if batch == 2:
         o = o.where(~_mod(k, 41))
@@ -98,7 +104,7 @@ def order_records(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame
 
 
 def customer_records(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
+    c = spread(table(spark, sf_dir, "customer"), "c_custkey")
     k = F.col("c_custkey")
     seg = F.col("c_mktsegment")
     if batch == 2:

@@ -144,3 +144,39 @@ def test_refresh_with_buckets_equals_refresh_without(spark, scratch):
         assert rows_of(raw[name]) == rows_of(raw2[name]) and rows_of(snaps[name]) == rows_of(snaps2[name])
     # the third run changed nothing
     assert VersionedTable(spark, f"{outs[1]}/raw/orders").versions() == [1, 2]
+
+
+def test_a_batch_is_computed_once_and_stored_texts_are_not_parsed(spark, scratch):
+    table = BucketedTable(spark, scratch("raw"), "id", 4)
+    upsert_bucketed(table, batch(spark, 40, set()), T[0])
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        made.add(1)
+        return text
+
+    for n, (changed, commits) in enumerate([({3, 7}, True), ({3, 7}, False), (set(), True)], 1):
+        incoming = batch(spark, 40, changed).withColumn("payload", counted("payload"))
+        assert upsert_bucketed(table, incoming, T[1]) == commits
+        assert made.value == 40 * n  # the look and the merge share what was staged
+    names = {r["name"] for r in spark.sql("SHOW TABLES").selectExpr("tableName AS name").collect()}
+    assert not [f for n in names if n.startswith("linkmart_") for f in spark.table(n).inputFiles() if "/staged-" in f]
+
+
+def test_keys_and_spellings_in_one_batch(spark, scratch):
+    table, plain = BucketedTable(spark, scratch("raw"), "id", 3), VersionedTable(spark, scratch("plain"))
+    first = [("a", '{"x":1,"y":"e"}'), ("b", None), ("c", "not json"), ("d", '{"x":2}'), (None, "{}")]
+    second = [("a", '{ "y":"e", "x":1e0 }'), ("b", None), ("c", "not  json"), ("d", None), ("e", None), ("f", '{"n":1.50}')]
+    for rows, now in ((first, T[0]), (second, T[1]), (second, T[2])):
+        upsert_bucketed(table, records(spark, rows), now)
+        plain.commit(upsert_changed(plain.current(), records(spark, rows), now))
+        assert rows_of(table.current()) == rows_of(plain.current())
+    assert table.versions() == [1, 2]
+
+
+def test_records_of_one_row_group_are_made_by_all_cores(spark):
+    from linkmart.sources import testbed as tb
+
+    for rows, key in ((tb.order_records, "o_orderkey"), (tb.customer_records, "c_custkey")):
+        assert f"Exchange hashpartitioning({key}" in plan_of(rows(spark, "/root/testdata/sf0.001", 2))
