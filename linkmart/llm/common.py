@@ -19,6 +19,13 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def merging(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is never broadcast. For tables that grow with the input:
+    Spark sizes a stored table by its compressed files and an ``explode`` like what it explodes, so
+    one of gigabytes can look smaller than ``spark.sql.autoBroadcastJoinThreshold``."""
+    return df.hint("merge")
+
+
 def crc_mod(id_col: str | Column, n: int) -> Column:
     """crc32 of the id written as text, modulo ``n`` (NULL for a NULL id)."""
     return F.crc32(F.col(id_col).cast("string") if isinstance(id_col, str) else id_col.cast("string")) % n

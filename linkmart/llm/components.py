@@ -2,7 +2,8 @@
 
 Every round is two joins and one partial aggregate over tables in the shared scratch
 folder. A hub's edges sit on the probe side of a join whose other side holds one row per
-node, so AQE can split them; nothing but one change count reaches the driver.
+node, so AQE can split them. No side is broadcast: all of them grow with the edges, and nothing
+but one row of a look for changes reaches the driver.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkmart.llm.common import stored
+from linkmart.llm.common import merging, stored
 
 
 def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -27,16 +28,16 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     )
     while True:
         near = (
-            both.join(labels.select(F.col("node").alias("b"), "root"), "b")
+            both.join(merging(labels.select(F.col("node").alias("b"), "root")), "b")
             .groupBy(F.col("a").alias("node")).agg(F.min("root").alias("m"))
         )
         hooked = stored(
             spark,
-            labels.join(near, "node").select("node", F.least("root", "m").alias("root"), F.col("root").alias("was")),
+            labels.join(merging(near), "node").select("node", F.least("root", "m").alias("root"), F.col("root").alias("was")),
             "cc-hook",
         )
         jump = hooked.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        nxt = stored(spark, hooked.join(jump, "root").select("node", F.col("top").alias("root"), "was"), "cc-labels")
+        nxt = stored(spark, hooked.join(merging(jump), "root").select("node", F.col("top").alias("root"), "was"), "cc-labels")
         labels = nxt.select("node", "root")
         if nxt.where("root <> was").isEmpty():
             return labels

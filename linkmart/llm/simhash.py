@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkmart.llm.common import stored, utf8
+from linkmart.llm.common import merging, stored, utf8
 from linkmart.llm.components import connected_components
 
 SEED = 42
@@ -97,13 +97,13 @@ def links(spark: SparkSession, fps: DataFrame, max_bits: int = MAX_BITS, hot: in
         raise ValueError("two halves with one wildcard cover at most 2 differing bits")
     entries = _entries(fps)
     sizes = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(spark, entries.join(sizes, "key"), "simhash-members")
+    members = stored(spark, entries.join(merging(sizes), "key"), "simhash-members")
 
     cool = members.where(F.col("n") <= hot)
     a, b = cool.select("key", "v", "fp").alias("a"), cool.select("key", "fp").alias("b")
     x = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
     near = a.join(
-        b,
+        merging(b),
         (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp"))
         & (F.bit_count(x) <= max_bits) & _first_shared(x, F.col("a.v")),
     ).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
@@ -116,7 +116,7 @@ def links(spark: SparkSession, fps: DataFrame, max_bits: int = MAX_BITS, hot: in
         flips = crowd.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("v"))
         at = flips.selectExpr("fp", "struct(v, fp & ~shiftleft(1L, v)) AS point")
     least = at.groupBy("point").agg(F.min("fp").alias("least"), F.count("*").alias("n")).where("n > 1")
-    starred = at.join(least, "point").where("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b"))
+    starred = at.join(merging(least), "point").where("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b"))
     return near.union(starred)
 
 
@@ -134,9 +134,9 @@ def simhash_components(
     prints = stored(spark, fingerprints(docs, id_col, text_col, width), "simhash-prints")
     distinct = stored(spark, prints.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     roots = connected_components(spark, links(spark, distinct.select("fp"), max_bits, hot))
-    placed = distinct.join(roots, distinct.fp == roots.node, "left").select(
+    placed = distinct.join(merging(roots), distinct.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = stored(spark, placed, "simhash-placed")
     named = placed.groupBy("root").agg(F.min("least").alias("component"))
-    by_print = stored(spark, placed.join(named, "root").select("fp", "component"), "simhash-named")
-    return prints.join(by_print, "fp").select("id", "fp", "component")
+    by_print = stored(spark, placed.join(merging(named), "root").select("fp", "component"), "simhash-named")
+    return prints.join(merging(by_print), "fp").select("id", "fp", "component")

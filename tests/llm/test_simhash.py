@@ -82,3 +82,26 @@ def test_empty_and_null_ids(spark):
     df = spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (None, "q r s t")], "doc_id long, text string")
     got = {(r.id, r.component) for r in S.simhash_components(spark, df).collect()}
     assert got == {(None, 4), (4, 4), (None, None)}
+
+
+def test_nothing_that_grows_is_broadcast(spark, monkeypatch):
+    # before: Spark sized 64 entries a fingerprint like one and sent them all to the driver
+    from linkmart.llm import components
+    from linkmart.llm.common import stored
+
+    plans = []
+
+    def seen(spark, df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(spark, df, name)
+
+    monkeypatch.setattr(S, "stored", seen)
+    monkeypatch.setattr(components, "stored", seen)
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(9))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) >= 10 << 20
+    found = S.simhash_components(spark, docs, hot=2)
+    seen(spark, found, "simhash-result")
+    assert {"simhash-members", "cc-edges", "cc-hook", "cc-labels", "simhash-placed", "simhash-named"} <= {name for name, _ in plans}
+    assert [name for name, plan in plans if "Broadcast" in plan] == []
