@@ -125,3 +125,23 @@ def test_stages_decide_by_row(spark, tmp_path):
     clean = C.decontaminate(spark, docs, str(tmp_path))
     assert clean.columns == docs.columns
     assert state(clean) == sorted([(d, t) for d, t in rows if item not in t], key=str)
+
+
+def test_near_duplicates_broadcast_nothing_that_grows(spark, monkeypatch):
+    # before: the 64 entries of each fingerprint went through the driver where Spark took them for small
+    from linkmart.llm import components, simhash
+    from linkmart.llm.common import stored
+
+    plans = {}
+
+    def seen(spark, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(spark, df, name)
+
+    for module in (C, components, simhash):
+        monkeypatch.setattr(module, "stored", seen)
+    docs, _ = rows()
+    df = spark.createDataFrame([(d, t, lang) for d, t, lang in docs], "doc_id long, text string, lang string")
+    assert C.near_duplicates(spark, df, "").count() < len(docs)
+    assert {"simhash-members", "cc-hook", "simhash-named", "pipeline-groups"} <= plans.keys()
+    assert [name for name, plan in plans.items() if "Broadcast" in plan] == []
